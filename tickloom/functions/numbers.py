@@ -47,3 +47,12 @@ def pct_change(new: Column | str, old: Column | str) -> Column:
     """Change in percent of ``old``; 0 where ``old`` is 0."""
     new, old = _col(new), _col(old)
     return F.when(old != 0, (new - old) / old * 100).otherwise(F.lit(0.0))
+
+
+def round_numeric(x: Column, digits: int) -> Column:
+    """Half-up rounding of a double by its 12-decimal value.
+
+    A mean such as 0.12155 is often stored a hair below the tie; rounding the binary value
+    would send it down.
+    """
+    return F.round(x.cast("decimal(38,12)"), digits).cast("double")

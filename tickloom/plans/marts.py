@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import clock, labels
-from tickloom.functions.numbers import decimal_avg
+from tickloom.functions.numbers import decimal_avg, round_numeric
 from tickloom.operators.ordering import latest_per
 from tickloom.plans import staging
 
@@ -53,7 +53,7 @@ def mart_daily_performance(
             F.count("*").alias("candle_count"),
             F.count_if("is_bullish").alias("bullish_candles"),
             F.count_if(~F.col("is_bullish")).alias("bearish_candles"),
-            F.round(_mean("amplitude", 6), 4).alias("avg_amplitude"),
+            round_numeric(_mean("amplitude", 6), 4).alias("avg_amplitude"),
         )
         .orderBy(F.col("date").desc(), "symbol")
     )
@@ -99,7 +99,7 @@ def mart_orderflow_summary(
     return recent.select(
         "symbol", "total_buy", "total_sell",
         (F.col("total_buy") + F.col("total_sell")).alias("total_volume"), "net_flow",
-        F.round(share, 2).alias("buy_pct"), F.round(100 - share, 2).alias("sell_pct"),
+        round_numeric(share, 2).alias("buy_pct"), round_numeric(100 - share, 2).alias("sell_pct"),
         labels.pressure_by_share(share).alias("pressure_state"),
         clock.whole_seconds("_latest").alias("as_of"),
     )
@@ -115,10 +115,10 @@ def mart_spread_by_session(
         .filter(F.col("snapshot_time") > since)
         .groupBy("symbol", "trading_session")
         .agg(
-            F.round(_mean("spread_pct", 6), 4).alias("avg_spread_pct"),
-            F.round(_mean("spread", 8), 8).alias("avg_spread_abs"),
-            F.round(_mean("liquidity_imbalance", 6), 4).alias("avg_imbalance"),
-            F.round(decimal_avg(depth, F.count("*")), 4).alias("avg_total_qty"),
+            round_numeric(_mean("spread_pct", 6), 4).alias("avg_spread_pct"),
+            round_numeric(_mean("spread", 8), 8).alias("avg_spread_abs"),
+            round_numeric(_mean("liquidity_imbalance", 6), 4).alias("avg_imbalance"),
+            round_numeric(decimal_avg(depth, F.count("*")), 4).alias("avg_total_qty"),
             F.count("*").alias("snapshot_count"),
         )
         .orderBy(F.col("avg_spread_pct").desc(), "symbol", "trading_session")
@@ -159,8 +159,8 @@ def daily_summary(tables, day: Date) -> DataFrame:
             F.min("low").alias("day_low"),
             F.max("high").alias("day_high"),
             _sum("volume").alias("day_volume"),
-            F.round(F.try_divide(high - low, low) * 100, 4).alias("day_change_pct"),
-            F.round(F.try_divide(final - first, first) * 100, 4).alias("open_close_pct"),
+            round_numeric(F.try_divide(high - low, low) * 100, 4).alias("day_change_pct"),
+            round_numeric(F.try_divide(final - first, first) * 100, 4).alias("open_close_pct"),
         )
         .orderBy(F.col("day_change_pct").desc(), "symbol")
     )

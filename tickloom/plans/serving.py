@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import clock, labels
+from tickloom.functions.numbers import round_numeric
 from tickloom.operators.ordering import asof_previous, latest_per, newest, tail
 from tickloom.plans.staging import INDICATORS, natural_key, stg_spread_snapshot
 
@@ -66,7 +67,7 @@ def latest_prices(tables, gap_ms: int = 60_000) -> DataFrame:
             "vwap", "volume", "trade_count",
             clock.whole_seconds("window_start").alias("updated_at"),
             F.coalesce(F.col("close") - F.col("prev_close"), F.lit(0)).alias("price_change"),
-            F.when(before != 0, F.round((last - before) / before * 100, 4))
+            F.when(before != 0, round_numeric((last - before) / before * 100, 4))
             .otherwise(F.lit(0.0)).alias("price_change_pct"),
         )
         .orderBy("symbol")
@@ -101,7 +102,7 @@ def orderflow_summary(
     def share(part: str) -> Column:
         all_ = F.col("total_volume").cast("double")
         return F.when(
-            all_ > 0, F.round(F.col(part).cast("double") / all_ * 100, 2)
+            all_ > 0, round_numeric(F.col(part).cast("double") / all_ * 100, 2)
         ).otherwise(F.lit(50.0))
 
     return sums.select(
