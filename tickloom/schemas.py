@@ -2,23 +2,53 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+)
+
+_TYPES = {
+    "string": StringType(), "long": LongType(), "int": IntegerType(),
+    "double": DoubleType(), "boolean": BooleanType(),
+}
+
+
+def _type(name: str) -> DataType:
+    if name.startswith("decimal"):
+        return DecimalType(*map(int, re.findall(r"\d+", name)))
+    return _TYPES[name]
+
+
+def columns(text: str) -> StructType:
+    """``"a int, b decimal(18,8)"`` as a schema, without needing a session."""
+    out = StructType()
+    for field in re.split(r",\s+", text):
+        name, kind = field.split(" ")
+        out = out.add(name, _type(kind))
+    return out
 
 # Message layouts.
-TRADE = StructType.fromDDL(
+TRADE = columns(
     "event_type string, symbol string, trade_id long, price double, quantity double, "
     "buyer_maker boolean, trade_time long, ingested_at long"
 )
-KLINE = StructType.fromDDL(
+KLINE = columns(
     "event_type string, symbol string, interval string, open_time long, close_time long, "
     "open double, high double, low double, close double, volume double, trade_count int, "
     "is_closed boolean, ingested_at long"
 )
-BOOKTICKER = StructType.fromDDL(
+BOOKTICKER = columns(
     "event_type string, symbol string, bid_price double, bid_qty double, "
     "ask_price double, ask_qty double, ingested_at long"
 )
@@ -47,7 +77,7 @@ class Fact:
 
 def _fact(name, ddl, keys, time, days, references, nullable=()):
     return Fact(
-        name, StructType.fromDDL(ddl), tuple(keys), time, days,
+        name, columns(ddl), tuple(keys), time, days,
         tuple(references), frozenset(nullable),
     )
 
