@@ -3,6 +3,9 @@
 A window partitioned by symbol alone would sort a symbol's whole history in one task. Here a
 series is cut into blocks of fixed length, each with what it needs from before it, so the
 parallelism grows with the covered time and no task holds more than a block.
+
+``block_ms=None`` leaves a series whole: for spans known to fit in one block, such as a
+micro-batch with its look-back, the cutting would only add steps.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from tickloom.functions.clock import floor_div
 
 
 def _with_borrowed_rows(
-    df: DataFrame, keys: list[str], ts: str, depth: int, block_ms: int
+    df: DataFrame, keys: list[str], ts: str, depth: int, block_ms: int | None
 ) -> DataFrame:
     """Rows by ``_block``, plus copies (``_own`` false) of the ``depth`` rows before each.
 
@@ -23,6 +26,8 @@ def _with_borrowed_rows(
     one borrows from several: how many rows each earlier block lends is worked out on the
     small table of row counts.
     """
+    if block_ms is None:
+        return df.withColumn("_block", F.lit(0)).withColumn("_own", F.lit(True))
     own = df.withColumn("_block", floor_div(ts, block_ms)).withColumn("_own", F.lit(True))
     by_block = [*keys, "_block"]
     newest_first = Window.partitionBy(*by_block).orderBy(F.col(ts).desc())
@@ -59,7 +64,7 @@ def _with_borrowed_rows(
 
 
 def over_last_rows(
-    df: DataFrame, keys: list[str], ts: str, depth: int, block_ms: int,
+    df: DataFrame, keys: list[str], ts: str, depth: int, block_ms: int | None,
     columns: dict[str, Column],
 ) -> DataFrame:
     """Adds aggregates over each row and the ``depth`` rows before it in its series.
@@ -76,7 +81,7 @@ def over_last_rows(
 
 
 def with_previous(
-    df: DataFrame, keys: list[str], ts: str, block_ms: int, columns: dict[str, str]
+    df: DataFrame, keys: list[str], ts: str, block_ms: int | None, columns: dict[str, str]
 ) -> DataFrame:
     """Adds columns of the row before, null for a series' first row."""
     w = Window.partitionBy(*keys, "_block").orderBy(ts)
@@ -88,8 +93,8 @@ def with_previous(
 
 
 def trailing_avg(
-    df: DataFrame, keys: list[str], ts: str, value: Column, span_ms: int, block_ms: int,
-    name: str = "baseline",
+    df: DataFrame, keys: list[str], ts: str, value: Column, span_ms: int,
+    block_ms: int | None, name: str = "baseline",
 ) -> DataFrame:
     """Adds the mean of a DECIMAL ``value`` over ``[ts - span_ms, ts]`` of each row's series.
 
@@ -105,12 +110,30 @@ def trailing_avg(
         F.lit(-1).cast("long").alias("_n"), F.lit(False).alias("_row"),
     )
     changes = enters.unionByName(leaves, allowMissingColumns=True)
-    changes = changes.withColumn("_block", floor_div("_at", block_ms))
+    running = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    if block_ms is None:
+        changes = changes.withColumn("_block", F.lit(0))
+    else:
+        changes = changes.withColumn("_block", floor_div("_at", block_ms))
+        carried = _carried(changes, keys, block_ms)
+        changes = changes.unionByName(carried, allowMissingColumns=True)
+    total, n = F.sum("_v").over(running), F.sum("_n").over(running)
+    return (
+        changes.withColumn("_total", total).withColumn("_count", n)
+        .filter("_row")
+        .withColumn(name, F.col("_total").cast("double") / F.col("_count"))
+        .select(*df.columns, name)
+    )
+
 
+def _carried(changes: DataFrame, keys: list[str], block_ms: int) -> DataFrame:
+    """One row a block with the net total of the blocks before it, placed at its start."""
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    carried = (
+    return (
         changes.groupBy(*keys, "_block")
         .agg(F.sum("_v").alias("_v"), F.sum("_n").alias("_n"))
         .withColumn("_v", F.sum("_v").over(earlier))
@@ -118,14 +141,3 @@ def trailing_avg(
         .withColumn("_at", F.col("_block") * block_ms)
         .withColumn("_row", F.lit(False))
     )
-    running = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    total, n = F.sum("_v").over(running), F.sum("_n").over(running)
-    return (
-        changes.unionByName(carried, allowMissingColumns=True)
-        .withColumn("_total", total).withColumn("_count", n)
-        .filter("_row")
-        .withColumn(name, F.col("_total").cast("double") / F.col("_count"))
-        .select(*df.columns, name)
-    )

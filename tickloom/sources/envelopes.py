@@ -27,18 +27,22 @@ def _has_all(payload: Column, keys: tuple[str, ...]) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+def _parsed_once(df: DataFrame, name: str, parsed: Column) -> DataFrame:
+    """Adds a parsed column as a generated row.
+
+    As a plain projection it would be copied into every later filter and parsed again there.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def parse_envelopes(df: DataFrame) -> DataFrame:
     """Adds ``data``, ``candle`` and ``route``: trade, kline, bookticker, ignored, malformed."""
-    parsed = df.withColumn(
-        "_e",
-        F.from_json(
-            F.col("value").cast("string"), _ENVELOPE,
-            {"columnNameOfCorruptRecord": "_broken"},
-        ),
-    )
-    parsed = parsed.withColumn("data", F.col("_e.data")).withColumn(
-        "candle", F.from_json(F.try_element_at("data", F.lit("k")), "map<string,string>")
+    envelope = F.from_json(
+        F.col("value").cast("string"), _ENVELOPE, {"columnNameOfCorruptRecord": "_broken"}
     )
+    parsed = _parsed_once(df, "_e", envelope).withColumn("data", F.col("_e.data"))
+    candle = F.from_json(F.try_element_at("data", F.lit("k")), "map<string,string>")
+    parsed = _parsed_once(parsed, "candle", candle)
     kind = F.coalesce(F.try_element_at("data", F.lit("e")), F.lit(""))
     stream = F.coalesce(F.col("_e.stream"), F.lit(""))
     data, candle = F.col("data"), F.col("candle")

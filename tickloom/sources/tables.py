@@ -126,22 +126,33 @@ class Tables:
             .write.mode("append").partitionBy("dt").parquet(self.path(name))
         )
 
-    def insert(self, df: DataFrame, name: str, order_by: list[Column] | None = None) -> None:
+    def insert(
+        self, df: DataFrame, name: str, order_by: list[Column] | None = None,
+        span: tuple[int, int] | None = None, unique: bool = False,
+    ) -> None:
         """Adds the rows whose natural key is not stored yet; the first of a key wins.
 
-        Safe to repeat: a replayed or half-written batch adds only what is missing.
+        Safe to repeat: a replayed or half-written batch adds only what is missing. ``span``
+        is the time range of the rows if the caller knows it; only its days are compared.
+        ``unique`` says that the rows come from a grouping by the key, so none repeats.
         """
         spec = FACTS[name]
-        incoming = conform(df, name).persist()
+        incoming = conform(df, name)
+        held = incoming.persist() if span is None else None
         try:
-            low, high = incoming.agg(F.min(spec.time), F.max(spec.time)).first()
+            low, high = span or incoming.agg(F.min(spec.time), F.max(spec.time)).first()
             if low is None:
                 return
-            known = self.fact(name, low, high)
+            known, keys = self.fact(name, low, high), list(spec.keys)
             order = order_by or [F.col(c) for c in spec.columns]
-            self.append(insert_if_absent(known, incoming, list(spec.keys), order), name)
+            fresh = (
+                incoming.join(known.select(*keys), keys, "left_anti") if unique
+                else insert_if_absent(known, incoming, keys, order)
+            )
+            self.append(fresh, name)
         finally:
-            incoming.unpersist()
+            if held is not None:
+                held.unpersist()
 
     def expire(self, name: str, as_of_ms: int) -> int:
         """Applies the fact's retention; returns the number of deleted rows.

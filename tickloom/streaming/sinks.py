@@ -20,17 +20,34 @@ from tickloom.streaming.queries import trigger
 Sink = Callable[[DataFrame, int], None]
 
 
-def fan_out(df: DataFrame, tables, writes: dict[str, Callable[[DataFrame], DataFrame]]) -> None:
-    """Writes one batch to several facts, computing it once."""
+def fan_out(
+    df: DataFrame, tables, writes: dict[str, Callable[[DataFrame], DataFrame]]
+) -> tuple[int, int] | None:
+    """Writes a batch of closed windows to several facts, computing it once.
+
+    Returns the time range of the batch, ``None`` for an empty one.
+    """
     batch = df.persist()
     try:
-        if not batch.isEmpty():
+        span = _span(batch, "window_start")
+        if span:
             for name, transform in writes.items():
-                tables.insert(transform(batch), name)
+                tables.insert(transform(batch), name, span=span, unique=True)
+        return span
     finally:
         batch.unpersist()
 
 
+def _span(df: DataFrame, ts: str) -> tuple[int, int] | None:
+    low, high = df.agg(F.min(ts), F.max(ts)).first()
+    return None if low is None else (low, high)
+
+
+def _block(since: int | None, last: int, block_ms: int) -> int | None:
+    """Cuts long spans into blocks; a batch with its look-back mostly is a short one."""
+    return None if since is not None and last - since <= block_ms else block_ms
+
+
 def _dims(tables) -> dict[str, DataFrame]:
     return {n: tables.dim(n) for n in ("symbol", "window_type", "kline_interval")}
 
@@ -38,12 +55,13 @@ def _dims(tables) -> dict[str, DataFrame]:
 def trades_batch(tables) -> Sink:
     """Closed trade windows into the OHLCV and order-flow facts."""
     dims = _dims(tables)
+    writes = {
+        "trade_agg": lambda batch: trade_agg_fact(batch, dims),
+        "order_flow": lambda batch: order_flow_fact(batch, dims),
+    }
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        fan_out(df, tables, {
-            "trade_agg": lambda b: trade_agg_fact(b, dims),
-            "order_flow": lambda b: order_flow_fact(b, dims),
-        })
+        fan_out(df, tables, writes)
 
     return sink
 
@@ -53,15 +71,11 @@ def quotes_batch(tables) -> Sink:
     dims = _dims(tables)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        fan_out(df, tables, {"spread_snapshot": lambda b: spread_fact(b, dims)})
+        fan_out(df, tables, {"spread_snapshot": lambda batch: spread_fact(batch, dims)})
 
     return sink
 
 
-def _span(keys: DataFrame, ts: str) -> tuple[int, int]:
-    return tuple(keys.agg(F.min(ts), F.max(ts)).first())
-
-
 def indicators_batch(tables, block_ms: int = BLOCK_MS) -> Sink:
     """Closed candles into the candle fact and, over the stored history, the indicator fact.
 
@@ -74,88 +88,82 @@ def indicators_batch(tables, block_ms: int = BLOCK_MS) -> Sink:
     def sink(df: DataFrame, batch_id: int) -> None:
         facts = kline_fact(df, dims).persist()
         try:
-            if facts.isEmpty():
+            span = _span(facts, "open_time")
+            if span is None:
                 return
-            tables.insert(facts, "kline_closed", [F.col("close_time"), F.col("trade_count")])
-            keys = facts.select(*series, "open_time").distinct()
-            first, last = _span(keys, "open_time")
+            first, last = span
+            order = [F.col("close_time"), F.col("trade_count")]
+            tables.insert(facts, "kline_closed", order, span)
             since = tables.reach_back(
-                "kline_closed", keys.select(*series).distinct(), first, MACD_FRAME - 1
+                "kline_closed", facts.select(*series).distinct(), first, MACD_FRAME - 1
             )
             stored = tables.fact("kline_closed", since, last)
-            wanted = technical_indicators(stored, block_ms).join(
-                keys, [*series, "open_time"], "left_semi"
+            wanted = technical_indicators(stored, _block(since, last, block_ms)).join(
+                facts.select(*series, "open_time"), [*series, "open_time"], "left_semi"
             )
-            tables.insert(wanted, "technical_indicator")
+            tables.insert(wanted, "technical_indicator", span=span, unique=True)
         finally:
             facts.unpersist()
 
     return sink
 
 
-def _store_alerts(tables, found: list[DataFrame], keys: DataFrame) -> None:
-    """Stores the alerts of the batch's own rows."""
-    fresh = rules.alert_fact(found, tables.dim("alert_type")).join(
-        keys.select("symbol_key", F.col("ts").alias("triggered_at")),
-        ["symbol_key", "triggered_at"], "left_semi",
+def _store_alerts(tables, found: list[DataFrame], span: tuple[int, int]) -> None:
+    """Stores the alerts of the batch's own time range."""
+    fresh = rules.alert_fact(found, tables.dim("alert_type")).filter(
+        F.col("triggered_at").between(*span)
     )
-    tables.insert(fresh, "price_alert")
+    tables.insert(fresh, "price_alert", span=span, unique=True)
 
 
 def trade_alerts_batch(tables, t: rules.Thresholds = rules.DEFAULTS) -> Sink:
     """Stores 5-second windows and judges each against its own past."""
-    store, dims = trades_batch(tables), _dims(tables)
+    dims, symbols = _dims(tables), tables.symbols().select("symbol_key")
+    writes = {
+        "trade_agg": lambda batch: trade_agg_fact(batch, dims),
+        "order_flow": lambda batch: order_flow_fact(batch, dims),
+    }
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        batch = df.persist()
-        keys = trade_agg_fact(batch, dims).select(
-            "symbol_key", F.col("window_start").alias("ts")
-        ).persist()
-        try:
-            if keys.isEmpty():
-                return
-            store(batch, batch_id)
-            first, last = _span(keys, "ts")
-            since = tables.reach_back("trade_agg", keys.select("symbol_key").distinct(), first, 1)
-            recent = {"from_ms": first - t.surge_span_ms, "to_ms": last}
-            _store_alerts(tables, [
-                rules.price_spikes_replay(
-                    tables.windowed("trade_agg", "5s", from_ms=since, to_ms=last), t
-                ),
-                rules.volume_surges_replay(tables.windowed("trade_agg", "5s", **recent), t),
-            ], keys)
-        finally:
-            keys.unpersist()
-            batch.unpersist()
+        span = fan_out(df, tables, writes)
+        if span is None:
+            return
+        first, last = span
+        since = tables.reach_back("trade_agg", symbols, first, 1)
+        surge_since = first - t.surge_span_ms
+        _store_alerts(tables, [
+            rules.price_spikes_replay(
+                tables.windowed("trade_agg", "5s", from_ms=since, to_ms=last), t,
+                _block(since, last, rules.BLOCK_MS),
+            ),
+            rules.volume_surges_replay(
+                tables.windowed("trade_agg", "5s", from_ms=surge_since, to_ms=last), t,
+                _block(surge_since, last, rules.BLOCK_MS),
+            ),
+        ], span)
 
     return sink
 
 
 def quote_alerts_batch(tables, t: rules.Thresholds = rules.DEFAULTS) -> Sink:
     """Stores spread snapshots and judges each against its own past."""
-    store, dims = quotes_batch(tables), _dims(tables)
+    dims = _dims(tables)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        batch = df.persist()
-        keys = spread_fact(batch, dims).select(
-            "symbol_key", F.col("snapshot_time").alias("ts")
-        ).persist()
-        try:
-            if keys.isEmpty():
-                return
-            store(batch, batch_id)
-            first, last = _span(keys, "ts")
-
-            def recent(span_ms: int) -> DataFrame:
-                return rules.active_snapshots(tables, from_ms=first - span_ms, to_ms=last)
-
-            _store_alerts(tables, [
-                rules.spread_widening_replay(recent(t.widening_span_ms), t),
-                rules.low_liquidity_replay(recent(t.liquidity_span_ms), t),
-            ], keys)
-        finally:
-            keys.unpersist()
-            batch.unpersist()
+        span = fan_out(df, tables, {"spread_snapshot": lambda batch: spread_fact(batch, dims)})
+        if span is None:
+            return
+        first, last = span
+
+        def judged(rule, span_ms: int) -> DataFrame:
+            since = first - span_ms
+            rows = rules.active_snapshots(tables, from_ms=since, to_ms=last)
+            return rule(rows, t, _block(since, last, rules.BLOCK_MS))
+
+        _store_alerts(tables, [
+            judged(rules.spread_widening_replay, t.widening_span_ms),
+            judged(rules.low_liquidity_replay, t.liquidity_span_ms),
+        ], span)
 
     return sink
 

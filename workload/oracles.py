@@ -525,6 +525,11 @@ select route, cast(sum(messages) as bigint) as messages from envelope_counts gro
 union all select 'ignored', (select count(*) from events)
 union all select 'malformed', (select count(*) from broken_trades)
   + (select count(*) from quotes where symbol is null) + 2 * (select count(*) from events)""",
+        "malformed": """
+select 'trade' as kind, (select count(*) from broken_trades) as messages
+union all select 'bookTicker', (select count(*) from quotes where symbol is null)
+  + (select count(*) from events)
+union all select 'none', (select count(*) from events)""",
         "topic_payload": f"select 'trade' as event_type, {TRADE_COLUMNS} from trades",
         "valid_trades": f"select {TRADE_COLUMNS} from good_trades",
         "closed_klines": f"""

@@ -145,8 +145,12 @@ def ingest_counts(spark, sf_dir):
 
 @query
 def malformed(spark, sf_dir):
+    """Rejected messages by the kind their stream name gives, if it can be read at all."""
     lines = envelopes.malformed(mixed_envelopes(spark, sf_dir))
-    return lines.groupBy("value").agg(F.count("*").alias("messages"))
+    kind = F.substring_index(F.get_json_object("value", "$.stream"), "@", -1)
+    return lines.groupBy(F.coalesce(kind, F.lit("none")).alias("kind")).agg(
+        F.count("*").alias("messages")
+    )
 
 
 @query
