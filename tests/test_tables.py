@@ -134,3 +134,40 @@ def test_symbol_universe(spark):
     assert [r.symbol for r in dims.active_symbols(symbols, ["btcusdt"]).collect()] == ["BTCUSDT"]
     off = symbols.withColumn("is_active", F.col("symbol") != "BTCUSDT")
     assert dims.active_symbols(off).count() == 7
+
+
+def test_latest_reads_stop_at_the_newest_days_that_suffice(spark, tables):
+    from tickloom.plans import serving
+
+    def window(symbol, day, close, window_key=1):
+        start = D0 + day * clock.DAY
+        return (symbol, window_key, start, float(close))
+
+    def store(rows):
+        df = spark.createDataFrame(
+            rows, "symbol_key int, window_key int, window_start long, close double")
+        tables.append(
+            df.withColumn("datetime_key", clock.datetime_key("window_start")).withColumns({
+                "window_end": F.col("window_start") + 1000, "trade_count": F.lit(1),
+                **{c: F.col("close") for c in ("open", "high", "low", "vwap", "volume")},
+                **{c: F.lit(0) for c in ("price_change", "price_change_pct")},
+            }), "trade_agg")
+
+    store([window(s, d, 100 * s + d) for s in range(1, 9) for d in range(20)])
+    got = {r.symbol: r for r in serving.latest_prices(tables).collect()}
+    assert float(got["BTCUSDT"].last_price) == 119 and float(got["BTCUSDT"].price_change) == 1
+    plan = serving.latest_prices(tables)._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-20" in plan  # the scans start at the last stored days
+    store([window(1, 25, 500), window(1, 26, 600, 2)])  # only one symbol goes on
+    got = {r.symbol: r for r in serving.latest_prices(tables).collect()}
+    assert len(got) == 8 and float(got["ETHUSDT"].last_price) == 219
+    assert float(got["BTCUSDT"].last_price) == 500
+    # The newest window of any length sets the cutoff, so the previous row is day 25 itself.
+    assert float(got["BTCUSDT"].price_change) == 0
+    history = serving.price_history(tables, "ETHUSDT", "1s", 5).collect()
+    assert [float(r.close) for r in history] == [215, 216, 217, 218, 219]
+    # An inactive symbol is served too, from however far back its last rows are.
+    off = dims.seed(spark, "symbol").withColumn("is_active", F.col("symbol") != "ETHUSDT")
+    quiet = Tables(spark, root=tables.root, calendar=tables.calendar, dimensions={"symbol": off})
+    assert serving.latest_prices(quiet).count() == 8
+    assert serving.price_history(quiet, "ETHUSDT", "1s", 5).count() == 5

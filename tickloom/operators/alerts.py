@@ -209,8 +209,7 @@ def alert_fact(detected: list[DataFrame], dim_alert_type: DataFrame) -> DataFram
 
 def detect_alerts(tables, as_of_ms: int | Column | None = None, t: Thresholds = DEFAULTS):
     """All four rules on the newest rows, as alert facts."""
-    trades = tables.windowed("trade_agg", "5s")
-    quotes = active_snapshots(tables)
+    trades, quotes = _recent_rows(tables, as_of_ms, t)
     detected = [
         price_spikes(trades, as_of_ms, t), volume_surges(trades, as_of_ms, t),
         spread_widening(quotes, as_of_ms, t), low_liquidity(quotes, as_of_ms, t),
@@ -218,6 +217,32 @@ def detect_alerts(tables, as_of_ms: int | Column | None = None, t: Thresholds =
     return alert_fact(detected, tables.dim("alert_type"))
 
 
+def _recent_rows(tables, as_of_ms, t: Thresholds) -> tuple[DataFrame, DataFrame]:
+    """The stored days that hold all baselines and each symbol's last two rows.
+
+    A time that is a column is not known before the query runs; then everything is read.
+    """
+
+    def trades(low: int | None, high: int | None = None) -> DataFrame:
+        return tables.windowed("trade_agg", "5s", from_ms=low, to_ms=high)
+
+    def quotes(low: int | None, high: int | None = None) -> DataFrame:
+        return active_snapshots(tables, from_ms=low, to_ms=high)
+
+    def since(name: str, rows, span_ms: int) -> int | None:
+        if not isinstance(as_of_ms, int):
+            return None
+        symbols = tables.symbols().select("symbol_key")
+        start = tables.reach_back(name, symbols, as_of_ms + 1, 2, rows)
+        return None if start is None else min(start, as_of_ms - span_ms)
+
+    quote_span = max(t.widening_span_ms, t.liquidity_span_ms)
+    return (
+        trades(since("trade_agg", trades, t.surge_span_ms)),
+        quotes(since("spread_snapshot", quotes, quote_span)),
+    )
+
+
 def replay_alerts(tables, t: Thresholds = DEFAULTS, block_ms: int = BLOCK_MS):
     """All four rules on every stored row, as alert facts."""
     trades = tables.windowed("trade_agg", "5s")

@@ -34,28 +34,53 @@ def require_rows(df: DataFrame, symbol: str) -> DataFrame:
 
 def _of_symbol(tables, df: DataFrame, symbol: str) -> DataFrame:
     """Rows of one symbol: its key is looked up first, so the scan can skip by it."""
-    names = tables.dim("symbol").filter(F.col("symbol") == symbol.upper())
-    key = names.select("symbol_key").scalar()
+    key = _named(tables, symbol).select("symbol_key").scalar()
     return df.filter(F.col("symbol_key") == key).withColumn("symbol", F.lit(symbol.upper()))
 
 
+def _named(tables, symbol: str) -> DataFrame:
+    return tables.dim("symbol").filter(F.col("symbol") == symbol.upper())
+
+
 def _of_window(tables, df: DataFrame, window: str) -> DataFrame:
-    labels_ = tables.dim("window_type").filter(F.col("window_label") == window)
-    return df.filter(F.col("window_key") == labels_.select("window_key").scalar())
+    return df.filter(F.col("window_key") == tables.window_key(window))
+
+
+def _tail_of(tables, name: str, symbol: str, limit: int, window: str | None) -> DataFrame:
+    """Enough of a symbol's newest stored days to hold its last ``limit`` rows."""
+
+    def rows(low: int | None, high: int | None = None) -> DataFrame:
+        found = _of_symbol(tables, tables.fact(name, low, high), symbol)
+        return found if window is None else _of_window(tables, found, window)
+
+    return rows(tables.newest_from(name, rows, limit, symbols=_named(tables, symbol)))
 
 
 def latest_prices(tables, gap_ms: int = 60_000) -> DataFrame:
-    """Newest one-second price a symbol, with its change against ``gap_ms`` earlier."""
-    facts = tables.fact("trade_agg")
-    seconds = _of_window(tables, facts, "1s")
+    """Newest one-second price a symbol, with its change against ``gap_ms`` earlier.
+
+    Reads the newest stored days that hold each symbol's last row and, for the earlier price,
+    those that hold a row before the earliest symbol's cutoff.
+    """
+    def seconds(low: int | None, high: int | None = None) -> DataFrame:
+        return _of_window(tables, tables.fact("trade_agg", low, high), "1s")
+
     names = tables.dim("symbol").select("symbol_key", "symbol", "display_name", "category")
+    since = tables.newest_from("trade_agg", seconds, symbols=names)
+    recent = tables.fact("trade_agg", from_ms=since)
     newest_any = (
-        facts.groupBy("symbol_key").agg(F.max("window_start").alias("newest"))
+        recent.groupBy("symbol_key").agg(F.max("window_start").alias("newest"))
         .join(names.select("symbol_key"), "symbol_key")
     )
-    latest = latest_per(seconds, ["symbol_key"], [F.col("window_start").desc()])
+    latest = latest_per(
+        _of_window(tables, recent, "1s"), ["symbol_key"], [F.col("window_start").desc()]
+    )
+    first = newest_any.agg(F.min("newest")).first()[0]
+    symbols = names.select("symbol_key")
+    cutoff = None if first is None else first - gap_ms
+    earlier = seconds(tables.reach_back("trade_agg", symbols, cutoff, 1, seconds))
     previous = asof_previous(
-        seconds.select("symbol_key", "window_start", F.col("close").alias("prev_close")),
+        earlier.select("symbol_key", "window_start", F.col("close").alias("prev_close")),
         newest_any, "symbol_key", "window_start", gap_ms, tables.few_symbols,
     ).select("symbol_key", "prev_close")
     last, before = F.col("close").cast("double"), F.col("prev_close").cast("double")
@@ -77,7 +102,7 @@ def latest_prices(tables, gap_ms: int = 60_000) -> DataFrame:
 def price_history(tables, symbol: str, window: str = "1s", limit: int = 60) -> DataFrame:
     _one_of("window", window, WINDOWS)
     _limit(limit, 1440)
-    rows = _of_window(tables, _of_symbol(tables, tables.fact("trade_agg"), symbol), window)
+    rows = _tail_of(tables, "trade_agg", symbol, limit, window)
     return tail(rows, "window_start", limit).select(
         "window_start", "open", "high", "low", "close", "volume", "vwap", "trade_count",
         "price_change_pct",
@@ -115,7 +140,7 @@ def orderflow_summary(
 
 def orderflow_history(tables, symbol: str, limit: int = 60) -> DataFrame:
     _limit(limit, 300)
-    rows = _of_window(tables, _of_symbol(tables, tables.fact("order_flow"), symbol), "1s")
+    rows = _tail_of(tables, "order_flow", symbol, limit, "1s")
     return tail(rows, "window_start", limit).select(
         "window_start", "buy_volume", "sell_volume", "total_volume", "buy_count",
         "sell_count", "buy_pct", "net_flow",
@@ -125,11 +150,16 @@ def orderflow_history(tables, symbol: str, limit: int = 60) -> DataFrame:
 def technical(tables, symbol: str, limit: int = 1) -> DataFrame:
     _limit(limit, 200)
     key = ["symbol_key", "interval_key", "open_time"]
-    signals = _of_symbol(tables, tables.fact("technical_indicator"), symbol)
-    candles = _of_symbol(tables, tables.fact("kline_closed"), symbol).select(
-        *key, "close_time", "open", "high", "low", "close", "volume", "is_bullish"
-    )
-    rows = newest(signals.join(candles, key), "open_time", limit)
+
+    def signals(low: int | None, high: int | None = None) -> DataFrame:
+        facts = tables.fact("technical_indicator", low, high)
+        candles = tables.fact("kline_closed", low, high).select(
+            *key, "close_time", "open", "high", "low", "close", "volume", "is_bullish"
+        )
+        return _of_symbol(tables, facts, symbol).join(candles, key)
+
+    since = tables.newest_from("technical_indicator", signals, limit, symbols=_named(tables, symbol))
+    rows = newest(signals(since), "open_time", limit)
     return rows.select(
         "symbol",
         clock.whole_seconds("open_time").alias("open_time"),
@@ -172,8 +202,15 @@ def alerts(
 
 def spread_history(tables, symbol: str, limit: int = 60) -> DataFrame:
     _limit(limit, 1440)
-    rows = stg_spread_snapshot(tables).filter(F.col("symbol") == symbol.upper())
-    return tail(rows, "snapshot_time", limit).select(
+
+    def snapshots(low: int | None, high: int | None = None) -> DataFrame:
+        rows = stg_spread_snapshot(tables, from_ms=low, to_ms=high)
+        return rows.filter(F.col("symbol") == symbol.upper())
+
+    since = tables.newest_from(
+        "spread_snapshot", snapshots, limit, key="symbol", symbols=_named(tables, symbol)
+    )
+    return tail(snapshots(since), "snapshot_time", limit).select(
         "snapshot_time", "bid_price", "ask_price", "mid_price", "spread", "spread_pct",
         "bid_qty", "ask_qty", "liquidity_imbalance",
     )

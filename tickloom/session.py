@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +30,11 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tickloom-")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``.
 
@@ -39,6 +45,5 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, timedelta
 from functools import cached_property
 
@@ -94,27 +94,51 @@ class Tables:
                 df = df.filter(getattr(F.col("dt"), keep)(clock.day(limit)))
         return df.select(*spec.columns)
 
-    def reach_back(self, name: str, keys: DataFrame, before_ms: int, depth: int) -> int | None:
+    def reach_back(
+        self, name: str, keys: DataFrame, before_ms: int | None, depth: int,
+        rows: Callable[[int, int | None], DataFrame] | None = None,
+    ) -> int | None:
         """A time from which each of ``keys`` has ``depth`` rows before ``before_ms``.
 
         Looks at 1, 4, 16, … stored days back until all keys have enough rows or the table
         ends, so usually only the last day is read. ``None`` means: from the beginning.
+        ``before_ms=None`` starts at the newest row. ``rows(from_ms, to_ms)`` gives the rows
+        to count where not all rows of the fact do.
         """
-        by = keys.columns
-        first = date(1970, 1, 1) + timedelta(milliseconds=before_ms)
-        days = [d for d in self.days(name) if d <= first]
+        if name in self._facts:
+            return None
+        days, last = self.days(name), None
+        if before_ms is not None:
+            last = before_ms - 1
+            days = [d for d in days if (d - date(1970, 1, 1)).days * clock.DAY <= last]
+        if rows is None:
+            rows = lambda low, high: self.fact(name, low, high)
         back = 1
         while back < len(days):
             start = (days[-back] - date(1970, 1, 1)).days * clock.DAY
-            seen = self.fact(name, start, before_ms - 1).groupBy(*by).agg(
-                F.count("*").alias("_n")
-            )
-            short = keys.join(seen.filter(F.col("_n") >= depth), by, "left_anti")
+            seen = rows(start, last).groupBy(*keys.columns).agg(F.count("*").alias("_n"))
+            short = keys.join(seen.filter(F.col("_n") >= depth), keys.columns, "left_anti")
             if short.isEmpty():
                 return start
             back *= 4
         return None
 
+    def newest_from(
+        self, name: str, rows: Callable[[int | None, int | None], DataFrame], depth: int = 1,
+        key: str = "symbol_key", symbols: DataFrame | None = None,
+    ) -> int | None:
+        """A time from which each of the symbols has its newest ``depth`` rows.
+
+        ``symbols`` must be all those that the caller's ``rows`` can hold: by default the
+        active ones.
+        """
+        keys = (self.symbols() if symbols is None else symbols).select(key)
+        return self.reach_back(name, keys, None, depth, rows)
+
+    def window_key(self, window_type: str) -> Column:
+        labels = self.dim("window_type").filter(F.col("window_label") == window_type)
+        return labels.select("window_key").scalar()
+
     # -- writing ------------------------------------------------------------------------
 
     def append(self, df: DataFrame, name: str) -> None:

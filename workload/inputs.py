@@ -147,7 +147,13 @@ class Warehouse(Tables):
             self._build(name)
         return super().fact(name, from_ms, to_ms)
 
+    def days(self, name: str):
+        if name not in self._built:
+            self._build(name)
+        return super().days(name)
+
     def _build(self, name: str) -> None:
+        self._built.add(name)
         if name == "price_alert":
             derived = replay_alerts(self)
         elif name == "technical_indicator":
@@ -156,7 +162,6 @@ class Warehouse(Tables):
             derived = fact(self.spark, self._sf_dir, "spread_snapshot_calendar")
         else:
             derived = fact(self.spark, self._sf_dir, name)
-        self._built.add(name)
         self.append(derived, name)
 
 

@@ -100,8 +100,7 @@ def run_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).awaitTermination()
 
     in_slices(inputs.raw_trades(spark, sf_dir), ts, f"{root}/topic", run)
-    stored = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return stored.schema(
+    return spark.read.schema(
         ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.TRADE)
         + ", year string, month string, day string, hour string"
     ).parquet(f"{root}/archive")
