@@ -103,13 +103,15 @@ def trailing_avg(
     A block starts from the net total of the blocks before it. The decimals are exact, hence
     nothing is lost by subtracting.
     """
-    rows = df.withColumn("_at", F.col(ts)).withColumn("_v", value)
-    enters = rows.withColumn("_n", F.lit(1).cast("long")).withColumn("_row", F.lit(True))
-    leaves = rows.select(
-        *keys, (F.col("_at") + (span_ms + 1)).alias("_at"), (-F.col("_v")).alias("_v"),
-        F.lit(-1).cast("long").alias("_n"), F.lit(False).alias("_row"),
+    row, count = F.struct(*df.columns), F.lit(1).cast("long")
+    enter = F.struct(
+        F.col(ts).alias("_at"), value.alias("_v"), count.alias("_n"), row.alias("_row")
     )
-    changes = enters.unionByName(leaves, allowMissingColumns=True)
+    leave = F.struct(
+        (F.col(ts) + (span_ms + 1)).alias("_at"), (-value).alias("_v"), (-count).alias("_n"),
+        F.when(F.lit(False), row).alias("_row"),
+    )
+    changes = df.select(*keys, F.inline(F.array(enter, leave)))
     running = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -122,9 +124,8 @@ def trailing_avg(
     total, n = F.sum("_v").over(running), F.sum("_n").over(running)
     return (
         changes.withColumn("_total", total).withColumn("_count", n)
-        .filter("_row")
-        .withColumn(name, F.col("_total").cast("double") / F.col("_count"))
-        .select(*df.columns, name)
+        .filter(F.col("_row").isNotNull())
+        .select("_row.*", (F.col("_total").cast("double") / F.col("_count")).alias(name))
     )
 
 
@@ -139,5 +140,4 @@ def _carried(changes: DataFrame, keys: list[str], block_ms: int) -> DataFrame:
         .withColumn("_v", F.sum("_v").over(earlier))
         .withColumn("_n", F.sum("_n").over(earlier))
         .withColumn("_at", F.col("_block") * block_ms)
-        .withColumn("_row", F.lit(False))
     )

@@ -78,9 +78,11 @@ def raw_klines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min(price).alias("low"), F.max_by(price, order).alias("close"),
             F.sum(F.col("k") + 1).cast("double").alias("volume"),
             F.count("*").cast("int").alias("trade_count"),
+            # Aggregated, so that joins see a column and not a constant.
+            F.max(F.lit("1m")).alias("interval"),
         )
         .selectExpr(
-            "'kline' as event_type", "symbol", "'1m' as interval",
+            "'kline' as event_type", "symbol", "interval",
             f"bucket * {KLINE_MS} as open_time", f"bucket * {KLINE_MS} + {KLINE_MS - 1} as close_time",
             "open", "high", "low", "close", "volume", "trade_count",
             "bucket % 17 <> 0 as is_closed",
