@@ -591,7 +591,10 @@ select series as symbol, open_time, bb_upper, bb_middle, bb_lower, bb_width from
         "low_liquidity": stg("now_thin"),
         "detect_alerts": f"select {F_ALERT} from f_alert_now",
         "price_spikes_replay": stg("replay_spike"),
-        "volume_surges_replay": stg("replay_surge"),
+        "volume_surges_replay": _fires(
+            "volume_surge", "r_surge", RATIO, f">= {LIMITS.surge_ratio}",
+            _graded(LIMITS.surge_high_ratio),
+        ),
         "spread_widening_replay": stg("replay_wide"),
         "low_liquidity_replay": stg("replay_thin"),
         "mart_latest_prices": """

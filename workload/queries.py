@@ -403,7 +403,7 @@ def price_spikes_replay(spark, sf_dir):
 
 @query
 def volume_surges_replay(spark, sf_dir):
-    return rules.volume_surges_replay(_windows_of(spark, sf_dir))
+    return rules.volume_surges_replay(_windows_of(spark, sf_dir), LIMITS)
 
 
 @query
