@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds what a Python worker holds at once; read when a plan is made."""
+def python_settings(spark: SparkSession) -> None:
+    """Bounds what a Python worker holds at once, and lets workers import this package.
+
+    Call it before a text function is used: both are read when a plan is made. Where executors don't
+    share the driver's folders, the package is installed there or sent with ``--py-files``.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    root = str(Path(__file__).resolve().parents[2])
+    own = spark.sparkContext.environment
+    if root not in (paths := own.get("PYTHONPATH", "").split(os.pathsep)):
+        own["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
 def per_batch(make: Callable[[], Callable[[list], list[tuple]]], fields: dict[str, str]) -> Callable[..., Column]:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import per_batch, small_batches
+from tickloom.llm.common import per_batch, python_settings
 
 try:
     from re import _constants as op
@@ -219,11 +219,11 @@ _redact = per_batch(_redacted, {"text": "string", "n_spans": "long"})
 
 def scan(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
     """``docs`` with a struct of counts, the digest of the base spans, and all spans."""
-    small_batches(docs.sparkSession)
+    python_settings(docs.sparkSession)
     return docs.withColumn(into, digest(text))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with each secret (or run of overlapping ones) replaced by ``[kind]``; no row is dropped."""
-    small_batches(docs.sparkSession)
+    python_settings(docs.sparkSession)
     return docs.withColumn(text, _redact(text)["text"])
