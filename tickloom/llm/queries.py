@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import licences, quality, secret_scan
+from tickloom.llm import licences, main_text, quality, secret_scan, tokens
 from tickloom.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+#: The vocabulary whose pieces are counted: a file beside its tokenizer's library, never copied.
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -38,3 +41,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licences.scan(docs).select("doc_id", "licence.*")
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, VOCABULARY).select("doc_id", "tokens.*")
+
+
+@query
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.main_text(pages).select("page_id", "url", "main.*")
