@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import licences, main_text, quality, secret_scan, tokens
+from tickloom.llm import langid, licences, main_text, quality, secret_scan, tokens
 from tickloom.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return main_text.main_text(pages).select("page_id", "url", "main.*")
+
+
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = docs.withColumn("held_out", held_out)
+    texts = langid.training_texts(docs.where(~F.col("held_out")))
+    return langid.identify(docs, texts).select("doc_id", "held_out", "language.*")
