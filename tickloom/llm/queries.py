@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import langid, licences, main_text, quality, secret_scan, tokens
+from tickloom.llm import decontaminate, langid, licences, main_text, mixing, quality, secret_scan, sql, tokens
 from tickloom.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = sql.QUERIES
 #: The vocabulary whose pieces are counted: a file beside its tokenizer's library, never copied.
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -62,3 +62,24 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("held_out", held_out)
     texts = langid.training_texts(docs.where(~F.col("held_out")))
     return langid.identify(docs, texts).select("doc_id", "held_out", "language.*")
+
+
+def mix_domain() -> Column:
+    out = F.lit("curated")
+    for name, sources in sql.MIX_DOMAINS.items():
+        out = F.when(F.col("source").isin(*sources), F.lit(name)).otherwise(out)
+    return out
+
+
+@query
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix(docs, mix_domain(), sql.MIX_WEIGHTS, sql.MIX_SHARE, sql.MIX_EPOCHS, sql.MIX_SEED)
+    return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return decontaminate.decontaminate(docs, items).select("doc_id", "contamination.*")
