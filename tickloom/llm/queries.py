@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, langid, licences, main_text, mixing, quality, secret_scan, sql, tokens, urls
+from tickloom.llm import decontaminate, jaccard, langid, licences, main_text, mixing, quality, secret_scan, sql, tokens, urls
 from tickloom.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.classes(docs, width=4, percent=85)
