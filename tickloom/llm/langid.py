@@ -91,21 +91,21 @@ class Model:
         self.table[_letters()] = 1  # any other letter
         self.table[common] = np.arange(2, 2 + len(common))
         self.alphabet = 2 + len(common)
-        states, roots, self.bits = [], [], []
+        states, fresh, self.bits = [], [], []
         base = 0
         for _, t in texts:
             symbols = self.symbols(_codes(t))
             a = automaton(symbols.tolist(), self.alphabet)
-            roots.append(base)
-            states.append(np.where(a < 0, -1, a + base))
-            base += len(a)
+            # One more state, where any symbol begins a phrase: at the start, and after an unknown
+            # symbol, which is a phrase of its own. A step that begins a phrase is stored as the
+            # bitwise complement of where it leads.
+            own = np.vstack([np.where(a < 0, -1, a + base), np.full((1, self.alphabet), -1)])
+            fresh.append(base + len(a))
+            begin = np.where(own[0] < 0, fresh[-1], own[0])
+            states.append(np.where(own < 0, ~begin[None, :], own))
+            base += len(own)
             self.bits.append(np.log2(max(2, len(symbols))))
-        self.roots, self.bits = np.array(roots, np.int64), np.array(self.bits)
-        # A missing transition ends the phrase: it is stored as the bitwise complement of where the
-        # next phrase goes from the root with the same symbol (or the root, if that is unknown).
-        for k, s in enumerate(states):
-            start = np.where(s[0] < 0, roots[k], s[0])
-            s[:] = np.where(s < 0, ~start[None, :], s)
+        self.fresh, self.bits = np.array(fresh, np.int64), np.array(self.bits)
         self.steps = np.concatenate(states).astype(np.int32).ravel() if states else np.zeros(0, np.int32)
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
@@ -130,13 +130,13 @@ class Model:
         order = np.argsort(-size, kind="stable")
         owner, begin, size = owner[order], begin[order], size[order]
         active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")  # stretches that long
-        state = np.repeat(self.roots[None, :], len(owner), 0)
-        count = np.ones(state.shape, np.int32)  # the phrase that the stretch's end cuts off
+        state = np.repeat(self.fresh[None, :], len(owner), 0)
+        count = np.zeros(state.shape, np.int32)
         for t, n in enumerate(active.tolist()):
             to = self.steps[state[:n] * self.alphabet + flat[begin[:n] + t, None]]
-            ended = to >> 31
-            count[:n] -= ended
-            state[:n] = to ^ ended
+            begun = to >> 31
+            count[:n] -= begun
+            state[:n] = to ^ begun
         np.add.at(out, owner, count)
         return out
 

@@ -72,17 +72,18 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     linked = 0
     held: list[tuple[str, bool, bool]] = []  # open holders: tag, beside, core
     beside = core = False
+    alone = False  # the line's own element is beside the main text
     link = False
     at = 0
 
     def end_line() -> None:
-        nonlocal linked
+        nonlocal linked, alone
         text = " ".join(unescape("".join(parts)).split())
         if text:
             own = len(text) - linked if linked <= LINKS * len(text) else 0
-            lines.append((text, -1 if beside else max(own, 0), core))
+            lines.append((text, -1 if beside or alone else max(own, 0), core))
         parts.clear()
-        linked = 0
+        linked, alone = 0, False
 
     def add(text: str) -> None:
         nonlocal linked
@@ -128,6 +129,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
                 own = _aside(tag, attributes, core)
                 held.append((tag, own, tag in CORE and not own))
                 beside, core = beside or own, core or held[-1][2]
+            elif tag not in HOLDERS:
+                alone = _aside(tag, attributes, core)
     add(html[at:])
     end_line()
     return lines
