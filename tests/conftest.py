@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
             "spark.driver.memory": "4g", "spark.driver.bindAddress": "127.0.0.1",
+            "spark.driver.host": "127.0.0.1",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
