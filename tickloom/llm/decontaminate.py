@@ -4,11 +4,12 @@ A window is ``WINDOW`` consecutive words of an item (all words of a shorter one)
 only if every shingle of ``WIDTH`` words does, so one necessary shingle finds all its places: the rarest
 one in the documents, the prefix of the window's shingles by rarity. The join is of that shingle only;
 the place of a match fixes where the window would begin, which must fit within the document (positional
-and length bound), and what is left is verified word by word.
+and length bound), and what is left is verified over the whole window.
 
-One pass over the documents hashes their shingles and keeps those that any item has; frequencies,
-prefixes and candidates come from that small table, and texts are read again for the verdict. Item
-tables are broadcast if they have at most ``MOST_BROADCAST`` rows, else shuffled.
+One pass over the documents hashes their shingles (64 bits) and keeps those that any item has;
+frequencies, prefixes, candidates and verification come from that small table: a window occurs where all
+its shingles stand, each at its place. Texts are never shuffled. Item tables are broadcast if they have
+at most ``MOST_BROADCAST`` rows, else shuffled.
 
 Defined results: null and empty texts have no words and are clean; items without words are skipped;
 items that share an id are one item, a null id counts as the empty one; rows with the same id and text
@@ -81,8 +82,9 @@ def _keys() -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("_k1"), F.xxhash64(F.lit("text"), "text", "doc_id").alias("_k2")]
 
 
-def candidates(docs: DataFrame, items: DataFrame) -> DataFrame | None:
-    """(_k1, _k2, places): where windows may begin in a document; None if there are no windows."""
+def hits(docs: DataFrame, items: DataFrame) -> DataFrame | None:
+    """(_k1, _k2, _hit, _items) of the documents in which windows occur: words inside them, and the items'
+    ids; None if there are no windows."""
     windows = stored(windows_of(items), "windows")
     widths = sorted(r[0] for r in windows.select("width").distinct().collect())
     if not widths:
@@ -94,7 +96,7 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame | None:
         hit = rows.join(broadcast_if(own.where(F.col("width") == width).drop("width"), MOST_BROADCAST), "h")
         hit = hit.select("_k1", "_k2", "n", "at", "h", F.lit(width).alias("width"))
         found = hit if found is None else found.unionByName(hit)
-    postings = stored(found, "postings")
+    postings = stored(found.distinct(), "postings")
     frequency = postings.groupBy("width", "h").agg(F.count("*").alias("df"))
     prefix = (windows.select("window", "size", "width", F.posexplode("shingles").alias("offset", "h"))
               .join(frequency, ["width", "h"], "left")
@@ -106,33 +108,33 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame | None:
     places = (postings.join(broadcast_if(stored(prefix, "prefixes"), MOST_BROADCAST), ["width", "h"])
               .where((start >= 0) & (start + F.col("size") <= F.col("n")))
               .select("_k1", "_k2", "window", start.alias("start")).distinct())
-    named = places.join(broadcast_if(windows.select("window", "size", "words", "items"), MOST_BROADCAST), "window")
-    return named.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("start", "size", "words", "items")).alias("_places"))
+    needed = places.join(broadcast_if(windows.select("window", "width", "shingles"), MOST_BROADCAST), "window").select(
+        "_k1", "_k2", "window", "start", "width", F.size("shingles").alias("all"), F.posexplode("shingles").alias("offset", "h"))
+    standing = (needed.withColumn("at", F.col("start") + F.col("offset"))
+                .join(postings, ["_k1", "_k2", "width", "at", "h"])
+                .groupBy("_k1", "_k2", "window", "start", "all").agg(F.count("*").alias("stand")).where("stand = all"))
+    named = standing.join(broadcast_if(windows.select("window", "size", "items"), MOST_BROADCAST), "window")
+    grouped = named.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("start", "size", "items")).alias("ps"))
+    return grouped.select(
+        "_k1", "_k2",
+        F.size(F.array_distinct(F.flatten(F.transform(
+            "ps", lambda p: F.sequence(p["start"], p["start"] + p["size"] - 1))))).cast("bigint").alias("_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform("ps", lambda p: p["items"])))).alias("_items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, into: str = "contamination") -> DataFrame:
     """``docs`` with a struct: n_words, n_hit (words inside windows that occur), n_items, items_sha256,
     contaminated."""
     n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    none = F.array().cast("array<string>")
-    at = candidates(docs, items)
-    if at is None:
-        hits = F.named_struct(F.lit("n_hit"), F.lit(0), F.lit("items"), none)
-        joined = docs
+    own = docs.withColumns({"_k1": _keys()[0], "_k2": _keys()[1], "_n": n_words})
+    found = hits(docs, items)
+    if found is None:
+        own = own.withColumns({"_hit": F.lit(0).cast("bigint"), "_items": F.array().cast("array<string>")})
     else:
-        at = stored(at, "candidates")
-        joined = (docs.withColumns(dict(zip(("_k1", "_k2"), _keys(), strict=True)))
-                  .join(broadcast_if(at, MOST_BROADCAST // 20), ["_k1", "_k2"], "left").drop("_k1", "_k2"))
-        holds = let(words_of(F.col("text")), lambda w: F.filter(
-            "_places", lambda p: F.slice(w, p["start"] + 1, p["size"]) == p["words"]))
-        hits = F.when(F.col("_places").isNotNull(), let(holds, lambda ps: F.named_struct(
-            F.lit("n_hit"), F.size(F.array_distinct(F.flatten(F.transform(
-                ps, lambda p: F.sequence(p["start"], p["start"] + p["size"] - 1))))),
-            F.lit("items"), F.array_sort(F.array_distinct(F.flatten(F.transform(ps, lambda p: p["items"]))))))
-        ).otherwise(F.named_struct(F.lit("n_hit"), F.lit(0), F.lit("items"), none))
-    result = let(hits, lambda h: F.named_struct(
-        F.lit("n_words"), n_words, F.lit("n_hit"), h["n_hit"].cast("bigint"),
-        F.lit("n_items"), F.size(h["items"]).cast("bigint"),
-        F.lit("items_sha256"), F.sha2(F.array_join(h["items"], ","), 256),
-        F.lit("contaminated"), h["n_hit"] > 0))
-    return joined.withColumn(into, result).drop("_places")
+        own = own.join(broadcast_if(stored(found, "hits"), MOST_BROADCAST), ["_k1", "_k2"], "left")
+    listed = F.coalesce("_items", F.array().cast("array<string>"))
+    result = F.struct(
+        F.col("_n").alias("n_words"), F.coalesce("_hit", F.lit(0)).alias("n_hit"),
+        F.size(listed).cast("bigint").alias("n_items"), F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
+        (F.coalesce("_hit", F.lit(0)) > 0).alias("contaminated"))
+    return own.withColumn(into, result).drop("_k1", "_k2", "_n", "_hit", "_items")
