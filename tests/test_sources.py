@@ -23,7 +23,8 @@ def feed(spark):
         {"stream": "x", "data": TRADE}, {"stream": "x", "data": KLINE},
         {"stream": "bnbusdt@bookTicker", "data": QUOTE},
         {"stream": "x", "data": {**QUOTE, "e": "bookTicker"}},
-        {"stream": "x", "data": {**TRADE, "m": None}},  # a null value is not a missing key
+        {"stream": "x", "data": {**TRADE, "m": None}}, {"stream": "x", "data": {**TRADE, "p": "abc"}},
+        {"stream": "x", "data": {**TRADE, "s": None}}, {"stream": "x", "data": {**TRADE, "T": "1.5x"}},
         {"stream": "x", "data": {"e": "depth"}}, {},  # ignored
         {"stream": "x", "data": _without(TRADE, "T")},
         {"stream": "x", "data": {**KLINE, "k": _without(KLINE["k"], "x")}},
@@ -34,8 +35,11 @@ def feed(spark):
 
 def test_routes(feed):
     got = {r.route: r.messages for r in envelopes.ingest_counts(feed).collect()}
-    assert got == {"trade": 2, "kline": 1, "bookticker": 2, "ignored": 2, "malformed": 4}
-    assert envelopes.malformed(feed).count() == 4
+    assert got == {"trade": 1, "kline": 1, "bookticker": 2, "ignored": 2, "malformed": 8}
+    assert envelopes.malformed(feed).count() == 8
+    typed = envelopes.typed_envelopes(feed)
+    assert typed.where("trade is not null and kline is null").first().trade.symbol == "BTCUSDT"
+    assert typed.where("coalesce(trade.symbol, kline.symbol, bookticker.symbol) is not null").count() == 4
 
 
 def test_normalized_rows_keep_keys_that_differ_by_case(feed):

@@ -1,4 +1,6 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +173,30 @@ def test_latest_reads_stop_at_the_newest_days_that_suffice(spark, tables):
     quiet = Tables(spark, root=tables.root, calendar=tables.calendar, dimensions={"symbol": off})
     assert serving.latest_prices(quiet).count() == 8
     assert serving.price_history(quiet, "ETHUSDT", "1s", 5).count() == 5
+
+
+def test_writers_side_by_side_lose_nothing(spark, tables):
+    """Appends of several writers, and of one writer from two threads, at the same time."""
+    def write(writer, first):
+        own = tables.written_by(writer)
+        for k in range(4):
+            rows = [(first + k, t * 1000, 1.0) for t in range(20)]
+            own.append(_snap(spark, rows), "spread_snapshot", rows=20)
+
+    with ThreadPoolExecutor(3) as pool:
+        for done in [pool.submit(write, *job) for job in (("a", 10), ("b", 20), ("b", 30))]:
+            done.result()
+    assert tables.fact("spread_snapshot").count() == 3 * 4 * 20
+    tables.written_by("c").insert(_snap(spark, [(10, 0, 5.0), (99, 0, 5.0)]), "spread_snapshot")
+    assert tables.fact("spread_snapshot").count() == 3 * 4 * 20 + 1  # keys hold across writers
+
+
+def test_known_batches_leave_the_planned_files_and_days_are_compacted(spark, tables):
+    path = Path(tables.path("spread_snapshot"))
+    for k in range(3):
+        rows = [(s, k * 1000, 1.0) for s in range(50)]
+        tables.append(_snap(spark, rows).repartition(7), "spread_snapshot", rows=len(rows))
+    assert len(list(path.rglob("part-*.parquet"))) == 3
+    before = _bids(tables)
+    tables.compact("spread_snapshot", date(2024, 1, 1))
+    assert len(list(path.rglob("part-*.parquet"))) == 1 and _bids(tables) == before

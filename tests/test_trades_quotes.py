@@ -97,3 +97,20 @@ def test_joins_with_dims_do_not_shuffle_or_use_udfs(spark, sf):
     plan = inputs.fact(spark, sf, "trade_agg")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_tiny_trades_keep_their_amounts(spark):
+    df = _trades(spark, [
+        ("BTCUSDT", 1, 0.00001234, 0.001, True, 0), ("ETHUSDT", 2, 0.00001, 1e-9, True, 0),
+        ("ETHUSDT", 3, 0.00003, 1e-9, True, 1), ("BNBUSDT", 4, 1e9, 1e9, True, 0),
+    ])
+    rows = {r.symbol: r for r in trades.ohlcv(df, "1 second").collect()}
+    assert rows["BTCUSDT"].vwap == pytest.approx(0.00001234, rel=1e-12)
+    assert rows["ETHUSDT"].vwap == pytest.approx(0.00002, rel=1e-12)
+    assert float(rows["ETHUSDT"].volume) == 2e-9 and float(rows["BNBUSDT"].notional) == 1e18
+
+
+def test_outliers_fit_the_fact(spark):
+    df = _trades(spark, [("BTCUSDT", 1, 1e-4, 1.0, True, 0), ("BTCUSDT", 2, 1e6, 1.0, True, 1)])
+    row = trades.trade_agg_fact(trades.ohlcv(df, "1 second"), seed_dims(spark)).first()
+    assert float(row.price_change_pct) == pytest.approx(1e12, rel=1e-6)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 100_000_000  # 8 decimals, as the facts store
+NANO = 1_000_000_000
+DIGITS = 15  # significant decimal digits that a double holds
 
 
 def _col(c: Column | str) -> Column:
@@ -13,18 +14,45 @@ def _col(c: Column | str) -> Column:
 
 
 def exact_sum(x: Column | str) -> Column:
-    """Sum of a double at 8 decimals, as DECIMAL(38,8).
+    """Sum of a double, as DECIMAL(38,18).
 
-    Whole units and the fraction are summed as two longs, so the result does not depend on
-    the order in which shuffled rows arrive (a retried task gives the same number), and the
-    aggregation keeps plain long buffers instead of wide decimals.
+    Each row keeps the 15 significant digits that a double holds (18 decimals below 1), split
+    into whole units, billionths and billionths of these. They are summed as longs, so the
+    result does not depend on the order in which shuffled rows arrive (a retried task gives
+    the same number), and the aggregation keeps plain long buffers instead of wide decimals.
     """
     x = _col(x)
-    whole = F.floor(x)
-    fraction = F.floor((x - whole) * F.lit(float(SCALE)) + 0.5)
-    units = F.sum(whole).cast("decimal(20,0)")
-    parts = F.sum(fraction).cast("decimal(20,0)")
-    return (units + parts * F.lit("0.00000001").cast("decimal(9,8)")).cast("decimal(38,8)")
+    size = F.abs(x)
+    # Of a number from 1 on: its digits as a whole number, and the power of ten they are scaled by.
+    power = F.pow(F.lit(10.0), F.greatest(DIGITS - 1 - F.floor(F.log10(size)), F.lit(0))).cast("long")
+    scaled = F.rint(size * power).cast("long")
+    large = size >= 1
+    whole = F.when(large, _div(scaled, power)).when(x.isNotNull(), F.lit(0))
+    small = F.rint(size * F.lit(1e18)).cast("long")
+    rest = F.when(large, scaled % power * _div(F.lit(NANO * NANO), power)).otherwise(small)
+    sign = F.signum(x).cast("long")
+    units, nanos, attos = (
+        F.sum(sign * part) for part in (whole, _div(rest, F.lit(NANO)), rest % NANO)
+    )
+    nanos, attos = _carry(nanos, attos)
+    units, nanos = _carry(units, nanos)
+    total = units.cast("decimal(18,0)")
+    for part, unit, scale in ((nanos, "1e-9", 9), (attos, "1e-18", 18)):
+        total = total + part.cast("decimal(9,0)") * F.lit(unit).cast(f"decimal({scale},{scale})")
+    # Beyond 18 digits a double has no decimals.
+    huge = F.abs(units) >= NANO * NANO
+    return F.when(huge, units.cast("decimal(38,18)")).otherwise(total.cast("decimal(38,18)"))
+
+
+def _div(a: Column, b: Column) -> Column:
+    """Whole division of longs."""
+    return F.call_function("div", a, b)
+
+
+def _carry(high: Column, low: Column) -> tuple[Column, Column]:
+    """The same sum with ``low`` in ``[0, 1e9)``."""
+    rest = F.pmod(low, F.lit(NANO))
+    return high + _div(low - rest, F.lit(NANO)), rest
 
 
 def exact_avg(x: Column | str) -> Column:

@@ -6,6 +6,7 @@ newest row of each symbol; the replay form feeds it every row with its own trail
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,7 +18,7 @@ from tickloom.functions.clock import DAY, HOUR, MINUTE, as_of_or_now, datetime_k
 from tickloom.functions.numbers import decimal_avg
 from tickloom.operators.blocks import trailing_avg, with_previous
 from tickloom.operators.keys import resolve_alert_type
-from tickloom.operators.ordering import last_rows, latest_per
+from tickloom.operators.ordering import last_rows
 from tickloom.schemas import conform
 
 BLOCK_MS = 6 * HOUR
@@ -124,14 +125,17 @@ def _newest_with_baseline(
 ) -> DataFrame:
     """Newest row of each symbol, with the mean of its rows in ``[as_of - span, as_of]``."""
     now = as_of_or_now(as_of_ms)
-    past = df.filter(F.col("ts") <= now)
-    baseline = (
-        past.filter(F.col("ts") >= now - span_ms)
-        .groupBy(*KEY)
-        .agg(decimal_avg(F.sum("value"), F.count("value")).alias("baseline"))
+    recent = F.when(F.col("ts") >= now - span_ms, F.col("value"))
+    both = (
+        df.filter(F.col("ts") <= now).groupBy(*KEY)
+        .agg(
+            F.max(F.struct("ts", "value")).alias("_newest"),
+            decimal_avg(F.sum(recent), F.count(recent)).alias("baseline"),
+        )
+        .filter(F.col("baseline").isNotNull())
+        .select(*KEY, "_newest.ts", "_newest.value", "baseline")
     )
-    newest = latest_per(_fresh(past, now, max_age_ms), KEY, [F.col("ts").desc()])
-    return newest.join(baseline, KEY)
+    return _fresh(both, now, max_age_ms)
 
 
 def _fresh(df: DataFrame, now: Column, max_age_ms: int | None) -> DataFrame:
@@ -208,7 +212,9 @@ def alert_fact(detected: list[DataFrame], dim_alert_type: DataFrame) -> DataFram
 
 
 def detect_alerts(tables, as_of_ms: int | Column | None = None, t: Thresholds = DEFAULTS):
-    """All four rules on the newest rows, as alert facts."""
+    """All four rules on the newest rows, as alert facts; by default as of now."""
+    if as_of_ms is None:  # a number, so that stored days can be chosen by it
+        as_of_ms = int(time.time() * 1000)
     trades, quotes = _recent_rows(tables, as_of_ms, t)
     detected = [
         price_spikes(trades, as_of_ms, t), volume_surges(trades, as_of_ms, t),
@@ -217,6 +223,19 @@ def detect_alerts(tables, as_of_ms: int | Column | None = None, t: Thresholds =
     return alert_fact(detected, tables.dim("alert_type"))
 
 
+def store_alerts(tables, as_of_ms: int, t: Thresholds = DEFAULTS) -> None:
+    """Detects and stores; an alert that is stored already is not stored again."""
+    found = detect_alerts(tables, as_of_ms, t).persist()
+    try:
+        low, high, rows = found.agg(
+            F.min("triggered_at"), F.max("triggered_at"), F.count("*")
+        ).first()
+        if rows:
+            tables.insert(found, "price_alert", span=(low, high), unique=True, rows=rows)
+    finally:
+        found.unpersist()
+
+
 def _recent_rows(tables, as_of_ms, t: Thresholds) -> tuple[DataFrame, DataFrame]:
     """The stored days that hold all baselines and each symbol's last two rows.
 

@@ -21,9 +21,10 @@ def latest_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return last_rows(df, keys, order, 1).drop("_rank")
 
 
-def newest(df: DataFrame, order: str, n: int) -> DataFrame:
-    """Last ``n`` rows, newest first."""
-    return df.orderBy(F.col(order).desc()).limit(n)
+def newest(df: DataFrame, order: str | list[str], n: int) -> DataFrame:
+    """Last ``n`` rows, newest first; further columns settle ties."""
+    columns = [order] if isinstance(order, str) else order
+    return df.orderBy(*[F.col(c).desc() for c in columns]).limit(n)
 
 
 def tail(df: DataFrame, order: str, n: int) -> DataFrame:

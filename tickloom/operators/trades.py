@@ -56,7 +56,8 @@ def ohlcv(df: DataFrame, duration: str) -> DataFrame:
 
 
 def _vwap():
-    return (F.col("notional").cast("double") / F.col("volume").cast("double")).alias("vwap")
+    mean = F.try_divide(F.col("notional").cast("double"), F.col("volume").cast("double"))
+    return F.coalesce(mean, F.col("close")).alias("vwap")  # quantities under 5e-19 weigh nothing
 
 
 def rollup(windows: DataFrame, duration_ms: int) -> DataFrame:
@@ -74,7 +75,7 @@ def rollup(windows: DataFrame, duration_ms: int) -> DataFrame:
             F.min("low").alias("low"),
             F.max_by("close", "window_start").alias("close"),
             *[
-                F.sum(c).cast("decimal(38,8)").alias(c)
+                F.sum(c).cast("decimal(38,18)").alias(c)
                 for c in ("volume", "notional", "buy_volume", "sell_volume")
             ],
             *[F.sum(c).alias(c) for c in ("trade_count", "buy_count", "sell_count")],

@@ -159,7 +159,7 @@ def technical(tables, symbol: str, limit: int = 1) -> DataFrame:
         return _of_symbol(tables, facts, symbol).join(candles, key)
 
     since = tables.newest_from("technical_indicator", signals, limit, symbols=_named(tables, symbol))
-    rows = newest(signals(since), "open_time", limit)
+    rows = newest(signals(since), ["open_time", "interval_key"], limit)
     return rows.select(
         "symbol",
         clock.whole_seconds("open_time").alias("open_time"),

@@ -85,7 +85,8 @@ def _fact(name, ddl, keys, time, days, references, nullable=()):
 _SYMBOL = ("symbol_key", "symbol")
 _WINDOW = ("window_key", "window_type")
 
-# Stored types, keys and retention of the six facts.
+# Stored types, keys and retention of the six facts. Percentages, ratios and
+# observed values have room for any outlier: one must not stop a stream.
 FACTS = {
     f.name: f
     for f in (
@@ -94,7 +95,7 @@ FACTS = {
             "symbol_key int, datetime_key long, window_key int, window_start long, "
             "window_end long, open decimal(18,8), high decimal(18,8), low decimal(18,8), "
             "close decimal(18,8), volume decimal(24,8), vwap decimal(18,8), trade_count int, "
-            "price_change decimal(18,8), price_change_pct decimal(10,6)",
+            "price_change decimal(18,8), price_change_pct decimal(24,6)",
             ["symbol_key", "window_start", "window_key"], "window_start", 90,
             [_SYMBOL, _WINDOW],
         ),
@@ -111,8 +112,8 @@ FACTS = {
             "symbol_key int, datetime_key long, interval_key int, open_time long, "
             "close_time long, open decimal(18,8), high decimal(18,8), low decimal(18,8), "
             "close decimal(18,8), volume decimal(24,8), trade_count int, "
-            "price_change decimal(18,8), price_change_pct decimal(10,6), "
-            "amplitude decimal(10,6), is_bullish boolean",
+            "price_change decimal(18,8), price_change_pct decimal(24,6), "
+            "amplitude decimal(24,6), is_bullish boolean",
             ["symbol_key", "interval_key", "open_time"], "open_time", 90,
             [_SYMBOL, ("interval_key", "kline_interval")],
         ),
@@ -121,7 +122,7 @@ FACTS = {
             "symbol_key int, datetime_key long, interval_key int, open_time long, "
             "rsi_14 decimal(8,4), macd decimal(18,8), macd_signal decimal(18,8), "
             "macd_hist decimal(18,8), bb_upper decimal(18,8), bb_middle decimal(18,8), "
-            "bb_lower decimal(18,8), bb_width decimal(10,6), atr_14 decimal(18,8), "
+            "bb_lower decimal(18,8), bb_width decimal(24,6), atr_14 decimal(18,8), "
             "obv decimal(24,8)",
             ["symbol_key", "interval_key", "open_time"], "open_time", 90,
             [_SYMBOL],
@@ -132,15 +133,15 @@ FACTS = {
             "spread_snapshot",
             "symbol_key int, datetime_key long, snapshot_time long, bid_price decimal(18,8), "
             "ask_price decimal(18,8), mid_price decimal(18,8), spread decimal(18,8), "
-            "spread_pct decimal(10,6), bid_qty decimal(24,8), ask_qty decimal(24,8), "
-            "liquidity_imbalance decimal(10,6)",
+            "spread_pct decimal(24,6), bid_qty decimal(24,8), ask_qty decimal(24,8), "
+            "liquidity_imbalance decimal(24,6)",
             ["symbol_key", "snapshot_time"], "snapshot_time", 30,
             [_SYMBOL],
         ),
         _fact(
             "price_alert",
             "symbol_key int, datetime_key long, alert_type_key int, triggered_at long, "
-            "trigger_value decimal(18,8), threshold_pct decimal(10,6), severity string, "
+            "trigger_value decimal(24,8), threshold_pct decimal(24,6), severity string, "
             "is_resolved boolean, resolved_at long",
             ["symbol_key", "alert_type_key", "triggered_at"], "triggered_at", 90,
             [_SYMBOL, ("alert_type_key", "alert_type")],

@@ -6,25 +6,41 @@ cannot hold, so it is parsed as a string map and looked up by key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.clock import now_ms
 from tickloom.schemas import BOOKTICKER, KLINE, TRADE
 
-# The payload keys each record needs.
-TRADE_KEYS = ("s", "t", "p", "q", "m", "T")
-KLINE_KEYS = ("i", "t", "T", "o", "h", "l", "c", "v", "n", "x")
-QUOTE_KEYS = ("s", "b", "B", "a", "A")
+# The fields of each record, their payload keys and types.
+TRADE_FIELDS = {
+    "trade_id": ("t", "long"), "price": ("p", "double"), "quantity": ("q", "double"),
+    "buyer_maker": ("m", "boolean"), "trade_time": ("T", "long"),
+}
+KLINE_FIELDS = {
+    "interval": ("i", "string"), "open_time": ("t", "long"), "close_time": ("T", "long"),
+    "open": ("o", "double"), "high": ("h", "double"), "low": ("l", "double"),
+    "close": ("c", "double"), "volume": ("v", "double"), "trade_count": ("n", "int"),
+    "is_closed": ("x", "boolean"),
+}
+QUOTE_FIELDS = {
+    "bid_price": ("b", "double"), "bid_qty": ("B", "double"),
+    "ask_price": ("a", "double"), "ask_qty": ("A", "double"),
+}
 
 _ENVELOPE = "stream string, data map<string,string>, _broken string"
 
 
-def _has_all(payload: Column, keys: tuple[str, ...]) -> Column:
-    found = F.lit(True)
-    for key in keys:
-        found = found & F.map_contains_key(payload, key)
-    return F.coalesce(found, F.lit(False))
+def _value(source: str, key: str, kind: str) -> Column:
+    value = F.try_element_at(source, F.lit(key))
+    return value if kind == "string" else value.try_cast(kind)
+
+
+def _readable(source: str, fields: dict[str, tuple[str, str]]) -> Column:
+    """Whether every field is there and can be read as its type."""
+    return reduce(Column.__and__, [_value(source, *f).isNotNull() for f in fields.values()])
 
 
 def _parsed_once(df: DataFrame, name: str, parsed: Column) -> DataFrame:
@@ -45,21 +61,18 @@ def parse_envelopes(df: DataFrame) -> DataFrame:
     parsed = _parsed_once(parsed, "candle", candle)
     kind = F.coalesce(F.try_element_at("data", F.lit("e")), F.lit(""))
     stream = F.coalesce(F.col("_e.stream"), F.lit(""))
-    data, candle = F.col("data"), F.col("candle")
+    named = _value("data", "s", "string").isNotNull()
 
     def routed(name: str, complete: Column) -> Column:
-        return F.when(complete, name).otherwise("malformed")
+        return F.when(named & complete, name).otherwise("malformed")
 
     route = (
         F.when(F.col("_e").isNull() | F.col("_e._broken").isNotNull(), "malformed")
-        .when(kind == "trade", routed("trade", _has_all(data, TRADE_KEYS)))
-        .when(
-            kind == "kline",
-            routed("kline", _has_all(data, ("s", "k")) & _has_all(candle, KLINE_KEYS)),
-        )
+        .when(kind == "trade", routed("trade", _readable("data", TRADE_FIELDS)))
+        .when(kind == "kline", routed("kline", _readable("candle", KLINE_FIELDS)))
         .when(
             (kind == "bookTicker") | stream.contains("bookTicker"),
-            routed("bookticker", _has_all(data, QUOTE_KEYS)),
+            routed("bookticker", _readable("data", QUOTE_FIELDS)),
         )
         .otherwise("ignored")
     )
@@ -67,11 +80,7 @@ def parse_envelopes(df: DataFrame) -> DataFrame:
 
 
 def _fields(source: str, spec: dict[str, tuple[str, str]]) -> list[Column]:
-    def number(key: str, kind: str) -> Column:
-        value = F.try_element_at(source, F.lit(key))
-        return value.try_cast(kind) if kind != "string" else value
-
-    return [number(key, kind).alias(name) for name, (key, kind) in spec.items()]
+    return [_value(source, *field).alias(name) for name, field in spec.items()]
 
 
 def _symbol() -> Column:
@@ -86,11 +95,7 @@ def normalize_trades(df: DataFrame, ingested_at: Column | None = None) -> DataFr
     """Typed trades out of parsed envelopes."""
     return df.filter(F.col("route") == "trade").select(
         F.lit("trade").alias("event_type"), _symbol(),
-        *_fields("data", {
-            "trade_id": ("t", "long"), "price": ("p", "double"),
-            "quantity": ("q", "double"), "buyer_maker": ("m", "boolean"),
-            "trade_time": ("T", "long"),
-        }),
+        *_fields("data", TRADE_FIELDS),
         _stamp(ingested_at),
     ).select(*TRADE.fieldNames())
 
@@ -99,12 +104,7 @@ def normalize_klines(df: DataFrame, ingested_at: Column | None = None) -> DataFr
     """Typed candles out of parsed envelopes."""
     return df.filter(F.col("route") == "kline").select(
         F.lit("kline").alias("event_type"), _symbol(),
-        *_fields("candle", {
-            "interval": ("i", "string"), "open_time": ("t", "long"),
-            "close_time": ("T", "long"), "open": ("o", "double"), "high": ("h", "double"),
-            "low": ("l", "double"), "close": ("c", "double"), "volume": ("v", "double"),
-            "trade_count": ("n", "int"), "is_closed": ("x", "boolean"),
-        }),
+        *_fields("candle", KLINE_FIELDS),
         _stamp(ingested_at),
     ).select(*KLINE.fieldNames())
 
@@ -113,10 +113,7 @@ def normalize_booktickers(df: DataFrame, ingested_at: Column | None = None) -> D
     """Typed quotes out of parsed envelopes."""
     return df.filter(F.col("route") == "bookticker").select(
         F.lit("bookticker").alias("event_type"), _symbol(),
-        *_fields("data", {
-            "bid_price": ("b", "double"), "bid_qty": ("B", "double"),
-            "ask_price": ("a", "double"), "ask_qty": ("A", "double"),
-        }),
+        *_fields("data", QUOTE_FIELDS),
         _stamp(ingested_at),
     ).select(*BOOKTICKER.fieldNames())
 
@@ -131,6 +128,21 @@ def route_envelopes(df: DataFrame, ingested_at: Column | None = None) -> dict[st
     }
 
 
+def typed_envelopes(df: DataFrame) -> DataFrame:
+    """Every message in one pass: its route and the record as one of three structs, else null.
+
+    For a batch that is written to several outputs: persist this, then filter by route.
+    """
+    def record(route: str, source: str, spec: dict[str, tuple[str, str]]) -> Column:
+        fields = F.struct(_symbol(), *_fields(source, spec))
+        return F.when(F.col("route") == route, fields).alias(route)
+
+    return parse_envelopes(df).select(
+        "route", record("trade", "data", TRADE_FIELDS), record("kline", "candle", KLINE_FIELDS),
+        record("bookticker", "data", QUOTE_FIELDS),
+    )
+
+
 def malformed(df: DataFrame) -> DataFrame:
     return parse_envelopes(df).filter(F.col("route") == "malformed").select("value")
 

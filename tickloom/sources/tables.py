@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import copy
+import re
+import threading
+from collections import defaultdict
 from collections.abc import Callable, Mapping
 from datetime import date, timedelta
 from functools import cached_property
@@ -17,20 +21,35 @@ from tickloom.sources import dims
 # The calendar range of the star schema.
 DEFAULT_CALENDAR = dims.Calendar(date(2025, 1, 1), date(2027, 1, 1))
 SMALL_DIM_ROWS = 100_000
+ROWS_PER_FILE = 2_000_000
+
+_locks: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)
+_locking = threading.Lock()
+
+
+def _lock(path: str) -> threading.Lock:
+    with _locking:
+        return _locks[path]
+
+
+def _day(ms: int) -> date:
+    return date(1970, 1, 1) + timedelta(days=ms // clock.DAY)
 
 
 class Tables:
-    """Facts by name, either given as DataFrames or stored as Parquet by day under ``root``."""
+    """Facts by name, either given as DataFrames or stored as Parquet by writer and day under
+    ``root``. Queries that write side by side each take a catalog of :meth:`written_by`."""
 
     def __init__(
         self, spark: SparkSession, root: str | None = None,
         facts: Mapping[str, DataFrame] | None = None,
         calendar: dims.Calendar | DataFrame = DEFAULT_CALENDAR,
-        dimensions: dict[str, DataFrame] | None = None,
+        dimensions: dict[str, DataFrame] | None = None, writer: str = "main",
     ):
         self.spark = spark
         self.root = root.rstrip("/") if root else None
         self.calendar = calendar
+        self.writer = writer
         self._facts = {} if facts is None else facts
         self._dims = {**dims.seed_dims(spark), **(dimensions or {})}
 
@@ -60,14 +79,19 @@ class Tables:
             raise LookupError(f"fact {name} is not given and the catalog has no root")
         return f"{self.root}/fact_{name}"
 
+    def _folders(self, name: str) -> list[tuple[str, date]]:
+        """(writer, day) of the stored folders; no file is listed."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/writer=*/dt=*")
+        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        listed = " ".join(s.getPath().toString() for s in fs.globStatus(path) or [])
+        return sorted(
+            (w, date.fromisoformat(d))
+            for w, d in re.findall(r"/writer=([^/]+)/dt=(\d{4}-\d\d-\d\d)", listed)
+        )
+
     def days(self, name: str) -> list[date]:
         """Days the stored fact has, from the folder names."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(date.fromisoformat(n[3:]) for n in names if n.startswith("dt="))
+        return sorted({d for _, d in self._folders(name)})
 
     def fact(
         self, name: str, from_ms: int | Column | None = None, to_ms: int | Column | None = None
@@ -76,15 +100,15 @@ class Tables:
         spec = FACTS[name]
         if name in self._facts:
             df = self._facts[name]
-        elif not self.days(name):
+        elif not (paths := self._paths(name, from_ms, to_ms)):
             return self.spark.range(0).filter(F.lit(False)).select(
                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema]
             )
         else:
-            df = self.spark.read.schema(
+            df = self.spark.read.option("basePath", self.path(name)).schema(
                 ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.schema)
                 + ", dt date"
-            ).parquet(self.path(name))
+            ).parquet(*paths)
         for bound, keep in ((from_ms, "__ge__"), (to_ms, "__le__")):
             if bound is None:
                 continue
@@ -94,6 +118,17 @@ class Tables:
                 df = df.filter(getattr(F.col("dt"), keep)(clock.day(limit)))
         return df.select(*spec.columns)
 
+    def _paths(self, name: str, from_ms, to_ms) -> list[str]:
+        """The day folders that can hold rows of the range: no other is opened or listed."""
+        low, high = (
+            _day(b) if isinstance(b, int) else edge
+            for b, edge in ((from_ms, date.min), (to_ms, date.max))
+        )
+        return [
+            f"{self.path(name)}/writer={w}/dt={d}"
+            for w, d in self._folders(name) if low <= d <= high
+        ]
+
     def reach_back(
         self, name: str, keys: DataFrame, before_ms: int | None, depth: int,
         rows: Callable[[int, int | None], DataFrame] | None = None,
@@ -141,30 +176,82 @@ class Tables:
 
     # -- writing ------------------------------------------------------------------------
 
-    def append(self, df: DataFrame, name: str) -> None:
-        """Adds rows under their days; the rebalance splits large days and merges small ones."""
+    def written_by(self, writer: str) -> Tables:
+        """The same catalog for one of several queries that write side by side.
+
+        Each writes to a folder of its own under a fact; readers see all of them.
+        """
+        other = copy.copy(self)
+        other.writer = writer
+        return other
+
+    def append(self, df: DataFrame, name: str, rows: int | None = None) -> None:
+        """Adds rows under their days, sorted by symbol and time within a file.
+
+        ``rows``, if known, sets the number of writing tasks: a stream's batches are not
+        rebalanced at run time. Otherwise a rebalance splits large days and merges small ones.
+        """
         spec = FACTS[name]
         stored = conform(df, name).withColumn("dt", clock.day(spec.time))
-        (
-            stored.hint("rebalance", "dt")
-            .write.mode("append").partitionBy("dt").parquet(self.path(name))
+        dealt = (
+            stored.hint("rebalance", "dt") if rows is None
+            else stored.repartition(1 + rows // ROWS_PER_FILE, *spec.keys)
         )
+        path = f"{self.path(name)}/writer={self.writer}"
+        with _lock(path):  # two appends of one writer would clear each other's temporary files
+            (
+                dealt.sortWithinPartitions("dt", "symbol_key", spec.time)
+                .write.mode("append").partitionBy("dt").parquet(path)
+            )
+
+    def compact(self, name: str, day: date) -> None:
+        """Rewrites a closed day, a few large files for each of its writers."""
+        for writer, d in self._folders(name):
+            if d == day:
+                self._rewrite(name, writer, day, lambda df: df)
+
+    def _rewrite(
+        self, name: str, writer: str, day: date, keep: Callable[[DataFrame], DataFrame]
+    ) -> bool:
+        """Replaces one writer's day by what is kept of it; whether anything is."""
+        spec, path = FACTS[name], f"{self.path(name)}/writer={writer}"
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.schema)
+        kept = keep(self.spark.read.schema(schema).parquet(f"{path}/dt={day}")).persist()
+        try:
+            rows = kept.count()
+            if rows:
+                (
+                    kept.withColumn("dt", F.lit(day))
+                    .repartition(1 + rows // ROWS_PER_FILE, *spec.keys)
+                    .sortWithinPartitions("symbol_key", spec.time)
+                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("dt").parquet(path)
+                )
+            return rows > 0
+        finally:
+            kept.unpersist()
 
     def insert(
         self, df: DataFrame, name: str, order_by: list[Column] | None = None,
-        span: tuple[int, int] | None = None, unique: bool = False,
+        span: tuple[int, int] | None = None, unique: bool = False, rows: int | None = None,
     ) -> None:
         """Adds the rows whose natural key is not stored yet; the first of a key wins.
 
         Safe to repeat: a replayed or half-written batch adds only what is missing. ``span``
-        is the time range of the rows if the caller knows it; only its days are compared.
+        is the time range of the rows if the caller knows it, ``rows`` their number; only the
+        days of the range are compared.
         ``unique`` says that the rows come from a grouping by the key, so none repeats.
         """
         spec = FACTS[name]
         incoming = conform(df, name)
         held = incoming.persist() if span is None else None
         try:
-            low, high = span or incoming.agg(F.min(spec.time), F.max(spec.time)).first()
+            if span is None:
+                low, high, rows = incoming.agg(
+                    F.min(spec.time), F.max(spec.time), F.count("*")
+                ).first()
+            else:
+                low, high = span
             if low is None:
                 return
             known, keys = self.fact(name, low, high), list(spec.keys)
@@ -173,7 +260,7 @@ class Tables:
                 incoming.join(known.select(*keys), keys, "left_anti") if unique
                 else insert_if_absent(known, incoming, keys, order)
             )
-            self.append(fresh, name)
+            self.append(fresh, name, rows)
         finally:
             if held is not None:
                 held.unpersist()
@@ -186,24 +273,20 @@ class Tables:
         spec = FACTS[name]
         cutoff = as_of_ms - spec.retention_days * clock.DAY
         edge = date(1970, 1, 1) + timedelta(days=cutoff // clock.DAY)
-        gone = [d for d in self.days(name) if d < edge]
-        deleted = self.fact(name, to_ms=cutoff - 1).count() if self.days(name) else 0
-        if edge in self.days(name) and cutoff % clock.DAY:
-            day_ms = cutoff // clock.DAY * clock.DAY
-            kept = retained(
-                self.fact(name, day_ms, day_ms + clock.DAY - 1), spec.time,
-                spec.retention_days, as_of_ms,
-            )
-            if kept.isEmpty():
-                gone.append(edge)
-            else:
-                (
-                    kept.withColumn("dt", F.lit(edge)).write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("dt").parquet(self.path(name))
+        stored = self._folders(name)
+        deleted = self.fact(name, to_ms=cutoff - 1).count() if stored else 0
+        gone = [(w, d) for w, d in stored if d < edge]
+        if cutoff % clock.DAY:
+            gone += [
+                (w, d) for w, d in stored if d == edge and not self._rewrite(
+                    name, w, d,
+                    lambda df: retained(df, spec.time, spec.retention_days, as_of_ms),
                 )
-        for d in gone:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/dt={d}")
+            ]
+        for writer, d in gone:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(
+                f"{self.path(name)}/writer={writer}/dt={d}"
+            )
             fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
             fs.delete(folder, True)
         return deleted

@@ -29,18 +29,19 @@ def fan_out(
     """
     batch = df.persist()
     try:
-        span = _span(batch, "window_start")
-        if span:
-            for name, transform in writes.items():
-                tables.insert(transform(batch), name, span=span, unique=True)
-        return span
+        *span, rows = _measured(batch, "window_start")
+        if not rows:
+            return None
+        for name, transform in writes.items():
+            tables.insert(transform(batch), name, span=tuple(span), unique=True, rows=rows)
+        return tuple(span)
     finally:
         batch.unpersist()
 
 
-def _span(df: DataFrame, ts: str) -> tuple[int, int] | None:
-    low, high = df.agg(F.min(ts), F.max(ts)).first()
-    return None if low is None else (low, high)
+def _measured(df: DataFrame, ts: str) -> tuple[int | None, int | None, int]:
+    """First and last time, and the number of rows."""
+    return tuple(df.agg(F.min(ts), F.max(ts), F.count("*")).first())
 
 
 def _block(since: int | None, last: int, block_ms: int) -> int | None:
@@ -88,20 +89,23 @@ def indicators_batch(tables, block_ms: int = BLOCK_MS) -> Sink:
     def sink(df: DataFrame, batch_id: int) -> None:
         facts = kline_fact(df, dims).persist()
         try:
-            span = _span(facts, "open_time")
-            if span is None:
+            first, last, rows = _measured(facts, "open_time")
+            if not rows:
                 return
-            first, last = span
+            span = first, last
             order = [F.col("close_time"), F.col("trade_count")]
-            tables.insert(facts, "kline_closed", order, span)
+            tables.insert(facts, "kline_closed", order, span, rows=rows)
             since = tables.reach_back(
                 "kline_closed", facts.select(*series).distinct(), first, MACD_FRAME - 1
             )
-            stored = tables.fact("kline_closed", since, last)
+            # Only the batch's own series: a new listing widens the look-back, not the work.
+            stored = tables.fact("kline_closed", since, last).join(
+                facts.select(*series).distinct(), series, "left_semi"
+            )
             wanted = technical_indicators(stored, _block(since, last, block_ms)).join(
                 facts.select(*series, "open_time"), [*series, "open_time"], "left_semi"
             )
-            tables.insert(wanted, "technical_indicator", span=span, unique=True)
+            tables.insert(wanted, "technical_indicator", span=span, unique=True, rows=rows)
         finally:
             facts.unpersist()
 
@@ -112,8 +116,11 @@ def _store_alerts(tables, found: list[DataFrame], span: tuple[int, int]) -> None
     """Stores the alerts of the batch's own time range."""
     fresh = rules.alert_fact(found, tables.dim("alert_type")).filter(
         F.col("triggered_at").between(*span)
-    )
-    tables.insert(fresh, "price_alert", span=span, unique=True)
+    ).persist()
+    try:  # few rows: they are counted to size the write
+        tables.insert(fresh, "price_alert", span=span, unique=True, rows=fresh.count())
+    finally:
+        fresh.unpersist()
 
 
 def trade_alerts_batch(tables, t: rules.Thresholds = rules.DEFAULTS) -> Sink:
@@ -129,7 +136,10 @@ def trade_alerts_batch(tables, t: rules.Thresholds = rules.DEFAULTS) -> Sink:
         if span is None:
             return
         first, last = span
-        since = tables.reach_back("trade_agg", symbols, first, 1)
+        since = tables.reach_back(
+            "trade_agg", symbols, first, 1,
+            lambda low, high: tables.windowed("trade_agg", "5s", from_ms=low, to_ms=high),
+        )
         surge_since = first - t.surge_span_ms
         _store_alerts(tables, [
             rules.price_spikes_replay(
@@ -177,7 +187,9 @@ def archive_stream(
     Rows of a folder are spread over a few tasks, so a busy symbol is not written by one and
     a batch does not leave one file a task in every folder.
     """
-    rows = add_partition_cols(archivable(df), ts)
+    rows = add_partition_cols(archivable(df), ts).select(*df.columns, *[
+        c for c in partition_cols if c not in df.columns
+    ])
     spread = F.pmod(F.xxhash64(ts, "symbol"), F.lit(files_per_folder))
     writer = (
         rows.repartition(*[F.col(c) for c in partition_cols], spread)

@@ -53,6 +53,14 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def small_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades of tiny prices and quantities."""
+    return raw_trades(spark, sf_dir).withColumns({
+        "price": F.expr("cast(1000 + trade_id % 997 as double) / 1e8D"),
+        "quantity": F.expr("cast(1 + trade_id % 13 as double) / 1e9D"),
+    })
+
+
 def raw_quotes(spark: SparkSession, sf_dir: str, clock: str = "tick_ms") -> DataFrame:
     return ev(spark, sf_dir).selectExpr(
         "'bookticker' as event_type",
@@ -149,13 +157,12 @@ class Warehouse(Tables):
             self._build(name)
         return super().fact(name, from_ms, to_ms)
 
-    def days(self, name: str):
+    def _folders(self, name: str):
         if name not in self._built:
             self._build(name)
-        return super().days(name)
+        return super()._folders(name)
 
     def _build(self, name: str) -> None:
-        self._built.add(name)
         if name == "price_alert":
             derived = replay_alerts(self)
         elif name == "technical_indicator":
@@ -165,6 +172,7 @@ class Warehouse(Tables):
         else:
             derived = fact(self.spark, self._sf_dir, name)
         self.append(derived, name)
+        self._built.add(name)
 
 
 _warehouses: dict[tuple[str, str, str], Warehouse] = {}

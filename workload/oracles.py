@@ -78,11 +78,11 @@ select symbol_key, {_dtkey('window_start')} as datetime_key, window_start as sna
   cast((avg_bid_price + avg_ask_price) / 2 as decimal(18,8)) as mid_price,
   cast(avg_ask_price - avg_bid_price as decimal(18,8)) as spread,
   cast((avg_ask_price - avg_bid_price) / ((avg_bid_price + avg_ask_price) / 2) * 100
-    as decimal(10,6)) as spread_pct,
+    as decimal(24,6)) as spread_pct,
   cast(avg_bid_qty as decimal(24,8)) as bid_qty, cast(avg_ask_qty as decimal(24,8)) as ask_qty,
   cast(case when avg_bid_qty + avg_ask_qty <> 0
     then (avg_bid_qty - avg_ask_qty) / (avg_bid_qty + avg_ask_qty) else 0 end
-    as decimal(10,6)) as liquidity_imbalance
+    as decimal(24,6)) as liquidity_imbalance
 from {source} join dim_symbol using (symbol)
 where avg_bid_price > 0 and avg_ask_price > avg_bid_price"""
 
@@ -215,8 +215,8 @@ def _alert_fact(parts: list[str]) -> str:
     rows = " union all ".join(f"(select * from {p})" for p in parts)
     return f"""
 select symbol_key, {_dtkey('triggered_at')} as datetime_key, alert_type_key, triggered_at,
-  cast(trigger_value as decimal(18,8)) as trigger_value,
-  cast(threshold_pct as decimal(10,6)) as threshold_pct, severity, false as is_resolved,
+  cast(trigger_value as decimal(24,8)) as trigger_value,
+  cast(threshold_pct as decimal(24,6)) as threshold_pct, severity, false as is_resolved,
   cast(null as bigint) as resolved_at
 from ({rows}) join dim_alert_type using (alert_code)"""
 
@@ -276,7 +276,7 @@ select symbol_key, {_dtkey('window_start')} as datetime_key, window_key, window_
   cast(volume as decimal(24,8)) as volume, cast(vwap as decimal(18,8)) as vwap,
   cast(trade_count as int) as trade_count,
   cast(close - open as decimal(18,8)) as price_change,
-  cast(case when open <> 0 then (close - open) / open * 100 else 0 end as decimal(10,6))
+  cast(case when open <> 0 then (close - open) / open * 100 else 0 end as decimal(24,6))
     as price_change_pct
 from bars join dim_symbol using (symbol) join dim_window_type using (window_label)""",
         "f_flow": f"""
@@ -296,9 +296,9 @@ select symbol_key, {_dtkey('open_time')} as datetime_key, interval_key, open_tim
   cast(low as decimal(18,8)) as low, cast(close as decimal(18,8)) as close,
   cast(volume as decimal(24,8)) as volume, trade_count,
   cast(close - open as decimal(18,8)) as price_change,
-  cast(case when open <> 0 then (close - open) / open * 100 else 0 end as decimal(10,6))
+  cast(case when open <> 0 then (close - open) / open * 100 else 0 end as decimal(24,6))
     as price_change_pct,
-  cast(case when open <> 0 then (high - low) / open * 100 else 0 end as decimal(10,6))
+  cast(case when open <> 0 then (high - low) / open * 100 else 0 end as decimal(24,6))
     as amplitude, close >= open as is_bullish
 from good_klines join dim_symbol using (symbol)
   join dim_kline_interval on interval = interval_label""",
@@ -316,7 +316,7 @@ select series as symbol_key, {_dtkey('open_time')} as datetime_key, 1 as interva
   cast(macd_signal as decimal(18,8)) as macd_signal,
   cast(macd_hist as decimal(18,8)) as macd_hist, cast(bb_upper as decimal(18,8)) as bb_upper,
   cast(bb_middle as decimal(18,8)) as bb_middle, cast(bb_lower as decimal(18,8)) as bb_lower,
-  cast(bb_width as decimal(10,6)) as bb_width, cast(atr_14 as decimal(18,8)) as atr_14,
+  cast(bb_width as decimal(24,6)) as bb_width, cast(atr_14 as decimal(18,8)) as atr_14,
   cast(obv as decimal(24,8)) as obv
 from ind""",
         "t5": "select * from f_trade where window_key = 2",
@@ -393,16 +393,13 @@ from f_alert join dim_symbol using (symbol_key) join dim_alert_type using (alert
 
     parts["days"] = f"""
 select symbol, date, round(min(low), 8) as day_low, round(max(high), 8) as day_high,
-  max(case when up = 1 then open end) as day_open,
-  max(case when down = 1 then close end) as day_close,
+  arg_min(open, open_time) as day_open, arg_max(close, open_time) as day_close,
   round({total('volume')}, 8) as day_volume, cast(sum(trade_count) as bigint) as day_trade_count,
   count(*) as candle_count, count(*) filter (where is_bullish) as bullish_candles,
   count(*) filter (where not is_bullish) as bearish_candles,
   {_mean('amplitude', 6, 4)} as avg_amplitude
-from (select *, row_number() over (partition by symbol, date order by open_time) as up,
-    row_number() over (partition by symbol, date order by open_time desc) as down
-  from s_kline where date >= cast(cast(make_timestamp({CALENDAR_AS_OF} * 1000) as date)
-    - interval 30 day as date)::varchar)
+from s_kline where date >= cast(cast(make_timestamp({CALENDAR_AS_OF} * 1000) as date)
+  - interval 30 day as date)::varchar
 group by symbol, date"""
     parts["signals"] = """
 select t.*, k.open, k.high, k.low, k.close, k.volume, k.is_bullish, k.amplitude
@@ -489,6 +486,13 @@ def _select() -> dict[str, str]:
                        {"symbol_key": "symbol", "window_key": "window_type"}),
         "spread_snapshot": ("f_spread", F_SPREAD, "snapshot_time", "symbol_key, snapshot_time",
                             {"symbol_key": "symbol"}),
+        "kline_closed": ("f_kline", F_KLINE, "open_time", "symbol_key, interval_key, open_time",
+                         {"symbol_key": "symbol", "interval_key": "kline_interval"}),
+        "technical_indicator": ("f_tech", "symbol_key, datetime_key, interval_key, open_time", "open_time",
+                                "symbol_key, interval_key, open_time", {"symbol_key": "symbol"}),
+        "price_alert": ("f_alert", F_ALERT.replace(", resolved_at", ""), "triggered_at",
+                        "symbol_key, alert_type_key, triggered_at",
+                        {"symbol_key": "symbol", "alert_type_key": "alert_type"}),
     }
     checks = []
     for fact, (part, columns, ts, keys, refs) in not_null.items():
@@ -503,6 +507,10 @@ def _select() -> dict[str, str]:
             add(f"{key}.references", f"select count(*) from {part} anti join dim_{dim} using ({key})")
         add("datetime_key.references",
             f"select count(*) from {part} anti join dim_datetime using (datetime_key)")
+        if fact == "technical_indicator":
+            add("rsi_14.in_range", f"select count(*) from {part} where rsi_14 < 0 or rsi_14 > 100")
+        if fact == "price_alert":
+            add("severity.accepted", f"select count(*) from {part} where severity not in ('LOW', 'MEDIUM', 'HIGH')")
         if fact == "spread_snapshot":
             add("spread.positive", f"select count(*) from {part} where spread <= 0")
         add("key.unique", f"select count(*) from (select {keys} from {part} group by {keys}"
@@ -524,9 +532,9 @@ select 'bookticker' as event_type, symbol, bid_price, bid_qty, ask_price, ask_qt
 select route, cast(sum(messages) as bigint) as messages from envelope_counts group by route
 union all select 'ignored', (select count(*) from events)
 union all select 'malformed', (select count(*) from broken_trades)
-  + (select count(*) from quotes where symbol is null) + 2 * (select count(*) from events)""",
+  + (select count(*) from quotes where symbol is null) + 4 * (select count(*) from events)""",
         "malformed": """
-select 'trade' as kind, (select count(*) from broken_trades) as messages
+select 'trade' as kind, (select count(*) from broken_trades) + 2 * (select count(*) from events) as messages
 union all select 'bookTicker', (select count(*) from quotes where symbol is null)
   + (select count(*) from events)
 union all select 'none', (select count(*) from events)""",
@@ -562,6 +570,12 @@ from (select make_timestamp(ts_ms * 1000) as t from ev) group by all""",
         "ohlcv_1s": f"select {BARS} from w1",
         "ohlcv_5s": f"select {BARS} from w5",
         "ohlcv_rollup_5s": f"select {BARS} from w5",
+        "ohlcv_small_amounts": """
+select window_start, symbol, sum(q) / 1e9 as volume, sum(cast(p * q as hugeint)) / 1e17 as notional,
+  round(sum(cast(p * q as hugeint)) / sum(q) / 1e8, 12) as vwap, count(*) as trade_count
+from (select trade_time // 5000 * 5000 as window_start, symbol, 1000 + trade_id % 997 as p,
+    1 + trade_id % 13 as q from trades where symbol is not null)
+group by window_start, symbol""",
         "order_flow_1s": f"select {FLOWS} from w1",
         "order_flow_5s": f"select {FLOWS} from w5",
         "spread_snapshot": """
@@ -709,7 +723,9 @@ select symbol, bid_price, count(*) as copies from quotes group by all having cou
         "no_future_timestamps": f"""
 select symbol, window_type, window_start from s_trade
 where window_start > {TICK_AS_OF} - 60000 + 10000""",
-        "rsi_in_range": f"select {F_TECH} from f_tech where rsi_14 < 0 or rsi_14 > 100",
+        "rsi_in_range": f"""
+select {F_TECH} from (select * from f_tech union all select * replace (rsi_14 + 40 as rsi_14) from f_tech)
+where rsi_14 < 0 or rsi_14 > 100""",
         "spread_positive": """
 select * from (select symbol, ingested_at, round(ask_price - bid_price, 8) as spread from quotes)
 where spread <= 0""",
@@ -768,6 +784,17 @@ where case when alert_type_key in (1, 2) then triggered_at + 5000 <= trade_close
 select 'trade' as event_type, {TRADE_COLUMNS}, strftime(t, '%Y') as year,
   strftime(t, '%m') as month, strftime(t, '%d') as day, strftime(t, '%H') as hour
 from (select *, make_timestamp(trade_time * 1000) as t from trades) where symbol is not null""",
+        "stream_archive_klines": f"""
+select 'kline' as event_type, {KLINE_COLUMNS}, open_time + {KLINE_MS} as ingested_at,
+  strftime(t, '%Y') as year, strftime(t, '%m') as month, strftime(t, '%d') as day
+from (select *, make_timestamp(open_time * 1000) as t from klines)""",
+        "stream_archive_bookticker": f"""
+select 'bookticker' as event_type, {QUOTE_COLUMNS}, strftime(t, '%Y') as year,
+  strftime(t, '%m') as month, strftime(t, '%d') as day, strftime(t, '%H') as hour
+from (select *, make_timestamp(ingested_at * 1000) as t from quotes) where symbol is not null""",
+        "stream_trades_1s_and_5s": f"""
+select {F_TRADE} from f_trade, trade_close where window_end <= mark""",
+        "alerts_stored_twice": f"select {F_ALERT} from f_alert_now",
     }
     return out
 

@@ -93,10 +93,13 @@ def _envelope(df, data, suffix):
 
 
 def faulty_envelopes(spark, sf_dir):
-    """Broken JSON, an unknown kind and a quote without symbol, one each for every event."""
+    """Broken JSON, an unknown kind, a price that is no number, a null symbol and a quote
+    without one, one each for every event."""
     events = inputs.ev(spark, sf_dir)
     lines = F.array(
         F.lit("{"), F.lit('{"stream":"x@depth","data":{"e":"depth"}}'),
+        F.lit('{"stream":"x@trade","data":{"e":"trade","s":"X","t":1,"p":"abc","q":"1","m":true,"T":1}}'),
+        F.lit('{"stream":"x@trade","data":{"e":"trade","s":null,"t":1,"p":"1","q":"1","m":true,"T":1}}'),
         F.lit('{"stream":"x@bookTicker","data":{"b":"1"}}'),
     )
     return events.select(F.explode(lines).alias("value"))
@@ -130,12 +133,11 @@ def normalize_booktickers(spark, sf_dir):
 
 @query
 def route_envelopes_counts(spark, sf_dir):
-    routed = envelopes.route_envelopes(mixed_envelopes(spark, sf_dir), F.lit(0).cast("long"))
-    typed = [
-        df.groupBy("event_type", "symbol").agg(F.count("*").alias("messages"))
-        for df in routed.values()
-    ]
-    return typed[0].unionByName(typed[1]).unionByName(typed[2])
+    typed = envelopes.typed_envelopes(mixed_envelopes(spark, sf_dir))
+    symbol = F.coalesce("trade.symbol", "kline.symbol", "bookticker.symbol")
+    return typed.filter(symbol.isNotNull()).groupBy(
+        F.col("route").alias("event_type"), symbol.alias("symbol")
+    ).agg(F.count("*").alias("messages"))
 
 
 @query
@@ -255,6 +257,17 @@ def _ticks(spark, sf_dir):
     return trades.with_event_time(valid, "trade_time")
 
 
+@query
+def ohlcv_small_amounts(spark, sf_dir):
+    """Prices near 1e-5 and quantities from 1e-9: sums must keep what 8 decimals lose."""
+    ticks = inputs.small_trades(spark, sf_dir)
+    bars = trades.ohlcv(trades.with_event_time(trades.valid_trades(ticks), "trade_time"), "5 seconds")
+    return bars.select(
+        "window_start", "symbol", "volume", F.col("notional").cast("double").alias("notional"),
+        F.round("vwap", 12).alias("vwap"), "trade_count",
+    )
+
+
 @query
 def order_flow_1s(spark, sf_dir):
     return trades.order_flow(_ticks(spark, sf_dir), "1 second")
@@ -539,7 +552,10 @@ def no_future_timestamps(spark, sf_dir):
 
 @query
 def rsi_in_range(spark, sf_dir):
-    return quality.rsi_in_range(inputs.fact(spark, sf_dir, "technical_indicator"))
+    """Stored values as they are, and moved up by 40, so that some are out of range."""
+    rows = inputs.fact(spark, sf_dir, "technical_indicator")
+    moved = rows.withColumn("rsi_14", F.col("rsi_14") + 40)
+    return quality.rsi_in_range(rows.unionByName(moved))
 
 
 @query
@@ -598,8 +614,7 @@ def orphans(spark, sf_dir):
 @query
 def run_checks(spark, sf_dir):
     t = inputs.tables(spark, sf_dir)
-    as_of = inputs.tick_as_of(spark, sf_dir) - 60_000
-    return quality.run_checks(t, as_of, ["trade_agg", "order_flow", "spread_snapshot"])
+    return quality.run_checks(t, inputs.tick_as_of(spark, sf_dir) - 60_000)
 
 
 # -- sinks ----------------------------------------------------------------------------------
@@ -656,4 +671,28 @@ def stream_alerts(spark, sf_dir):
 
 @query
 def stream_archive(spark, sf_dir):
-    return streams.run_archive(spark, sf_dir)
+    return streams.run_archive(spark, sf_dir, "trades")
+
+
+@query
+def stream_archive_klines(spark, sf_dir):
+    return streams.run_archive(spark, sf_dir, "klines")
+
+
+@query
+def stream_archive_bookticker(spark, sf_dir):
+    return streams.run_archive(spark, sf_dir, "bookticker")
+
+
+@query
+def stream_trades_1s_and_5s(spark, sf_dir):
+    """Two queries side by side into the same two facts."""
+    return streams.run_both_windows(spark, sf_dir).fact("trade_agg")
+
+
+@query
+def alerts_stored_twice(spark, sf_dir):
+    """The scheduled poll, run twice as of the same time: each alert is stored once."""
+    source = inputs.tables(spark, sf_dir)
+    as_of = inputs.tick_as_of(spark, sf_dir)
+    return streams.poll_alerts(spark, source, as_of, LIMITS, times=2).fact("price_alert")

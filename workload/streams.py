@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schemas
+from tickloom.operators import alerts as rules
 from tickloom.operators import candles, quotes, trades
 from tickloom.operators.archive import ARCHIVES
 from tickloom.session import scratch_dir
@@ -89,18 +90,53 @@ def run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spikes.fact("price_alert").unionByName(spreads.fact("price_alert"))
 
 
-def run_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_both_windows(spark: SparkSession, sf_dir: str) -> Tables:
+    """The one-second and the five-second query, side by side on one catalog."""
+    root = scratch_dir(spark, "both")
+    tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
+
+    def run() -> None:
+        specs = []
+        for name, duration in (("bars_1s", "1 second"), ("bars_5s", "5 seconds")):
+            ticks = trades.valid_trades(_topic(spark, f"{root}/topic", schemas.TRADE))
+            frame = trades.ohlcv(watermarked(ticks, "trade_time"), duration)
+            sink = sinks.trades_batch(tables.written_by(name))
+            specs.append(Spec(name, frame, sink, f"{root}/checkpoint-{name}"))
+        run_all(spark, specs)
+
+    in_slices(inputs.raw_trades(spark, sf_dir), "trade_time", f"{root}/topic", run)
+    return tables
+
+
+def poll_alerts(
+    spark: SparkSession, source: Tables, as_of_ms: int, limits: rules.Thresholds, times: int
+) -> Tables:
+    """Detects on ``source`` as of one time, and stores the alerts in a catalog of their own."""
+    facts = {n: source.fact(n) for n in ("trade_agg", "spread_snapshot")}
+    tables = Tables(spark, root=scratch_dir(spark, "alerts"), facts=facts, calendar=inputs.CALENDAR)
+    for _ in range(times):
+        rules.store_alerts(tables, as_of_ms, limits)
+    return tables
+
+
+def run_archive(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     root = scratch_dir(spark, "archive")
-    columns, ts = ARCHIVES["trades"]
+    columns, ts = ARCHIVES[kind]
+    schema, messages = {
+        "trades": (schemas.TRADE, inputs.raw_trades),
+        "klines": (schemas.KLINE, inputs.raw_klines),
+        "bookticker": (schemas.BOOKTICKER, inputs.raw_quotes),
+    }[kind]
 
     def run() -> None:
-        rows = _topic(spark, f"{root}/topic", schemas.TRADE)
+        rows = _topic(spark, f"{root}/topic", schema)
         sinks.archive_stream(
             rows, f"{root}/archive", list(columns), ts, f"{root}/checkpoint", interval=None
         ).awaitTermination()
 
-    in_slices(inputs.raw_trades(spark, sf_dir), ts, f"{root}/topic", run)
+    in_slices(messages(spark, sf_dir), ts, f"{root}/topic", run)
+    levels = [c for c in columns if c not in schema.fieldNames()]
     return spark.read.schema(
-        ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.TRADE)
-        + ", year string, month string, day string, hour string"
+        ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        + "".join(f", {c} string" for c in levels)
     ).parquet(f"{root}/archive")
