@@ -771,6 +771,15 @@ union all select '(deleted)', count(*) from quotes_c
   where ingested_at < {CALENDAR_AS_OF} - 7 * 86400000""",
         "stream_ohlcv_5s": f"""
 select {F_TRADE} from f_trade, trade_close where window_key = 2 and window_end <= mark""",
+        "stream_late_rows": f"""
+select {F_TRADE} from f_trade, trade_close where window_key = 2 and window_end <= mark""",
+        "stream_interval_trigger": f"""
+select {F_SPREAD} from f_spread, quote_close where snapshot_time + 1000 <= mark""",
+        "expire_stored": f"""
+select symbol_key, count(*) as snapshots, min(snapshot_time) as first_ms from f_spread_c
+where snapshot_time >= {CALENDAR_AS_OF} + (10 - 30) * 86400000 + 43200000 group by symbol_key""",
+        "named_symbols": """
+select symbol, count(*) as trades from trades where symbol in ('BTCUSDT', 'ETHUSDT') group by symbol""",
         "stream_order_flow_1s": f"""
 select {F_FLOW} from f_flow, trade_close where window_key = 1 and window_start + 1000 <= mark""",
         "stream_spread_snapshot": f"""

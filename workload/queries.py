@@ -16,6 +16,8 @@ from tickloom.plans import marts, quality, serving, staging
 from tickloom.schemas import FACTS
 from tickloom.sources import dims, envelopes, topics
 from tickloom import schemas
+from tickloom.session import scratch_dir
+from tickloom.sources.tables import Tables
 from tickloom.streaming import sinks
 from workload import inputs, streams
 
@@ -641,6 +643,26 @@ def retention(spark, sf_dir):
     )
 
 
+@query
+def expire_stored(spark, sf_dir):
+    """A stored fact after its retention: whole days are gone and one is cut."""
+    tables = Tables(spark, root=scratch_dir(spark, "expire"), calendar=inputs.CALENDAR)
+    tables.append(inputs.fact(spark, sf_dir, "spread_snapshot_calendar"), "spread_snapshot")
+    tables.expire("spread_snapshot", inputs.CALENDAR_AS_OF + 10 * clock.DAY + 12 * clock.HOUR)
+    return tables.fact("spread_snapshot").groupBy("symbol_key").agg(
+        F.count("*").alias("snapshots"), F.min("snapshot_time").alias("first_ms")
+    )
+
+
+@query
+def named_symbols(spark, sf_dir):
+    """Trades of the symbols that are asked for, in any case of letters."""
+    asked = dims.active_symbols(dims.seed(spark, "symbol"), ["btcusdt", "ETHUSDT", "nope"])
+    return inputs.raw_trades(spark, sf_dir).join(asked, "symbol").groupBy("symbol").agg(
+        F.count("*").alias("trades")
+    )
+
+
 # -- streams --------------------------------------------------------------------------------
 
 
@@ -649,6 +671,17 @@ def stream_ohlcv_5s(spark, sf_dir):
     return streams.run_trades(spark, sf_dir, "5 seconds", sinks.trades_batch).fact("trade_agg")
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """Rows that come after their windows closed change nothing."""
+    return streams.run_late_trades(spark, sf_dir).fact("trade_agg")
+
+
+@query
+def stream_interval_trigger(spark, sf_dir):
+    return streams.run_on_interval(spark, sf_dir).fact("spread_snapshot")
+
+
 @query
 def stream_order_flow_1s(spark, sf_dir):
     return streams.run_trades(spark, sf_dir, "1 second", sinks.trades_batch).fact("order_flow")

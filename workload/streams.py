@@ -19,7 +19,7 @@ from tickloom.session import scratch_dir
 from tickloom.sources.tables import Tables
 from tickloom.sources.topics import decode, read_topic
 from tickloom.streaming import sinks
-from tickloom.streaming.queries import Spec, run_all, watermarked
+from tickloom.streaming.queries import Spec, run_all, start, watermarked
 from workload import inputs
 
 SLICES = 2
@@ -58,6 +58,44 @@ def run_trades(spark: SparkSession, sf_dir: str, duration: str, sink) -> Tables:
     return tables
 
 
+def run_late_trades(spark: SparkSession, sf_dir: str) -> Tables:
+    """As :func:`run_trades`; at last the first slice comes again, long after its windows closed."""
+    root = scratch_dir(spark, "late")
+    tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
+    messages = inputs.raw_trades(spark, sf_dir)
+
+    def run() -> None:
+        ticks = trades.valid_trades(_topic(spark, f"{root}/topic", schemas.TRADE))
+        frame = trades.ohlcv(watermarked(ticks, "trade_time"), "5 seconds")
+        run_all(spark, [Spec("late", frame, sinks.trades_batch(tables), f"{root}/checkpoint")])
+
+    in_slices(messages, "trade_time", f"{root}/topic", run)
+    low, high = messages.agg(F.min("trade_time"), F.max("trade_time")).first()
+    again = messages.withColumn("price", F.col("price") * 100)  # a late row that counts would show
+    deliver(again, "trade_time", f"{root}/topic", low, low + (high - low) // 2)
+    run()
+    return tables
+
+
+def run_on_interval(spark: SparkSession, sf_dir: str) -> Tables:
+    """A query with a processing-time trigger, stopped once it has read all there is."""
+    root = scratch_dir(spark, "interval")
+    tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
+
+    def run() -> None:
+        valid = quotes.valid_quotes(_topic(spark, f"{root}/topic", schemas.BOOKTICKER))
+        frame = quotes.spread_snapshot(watermarked(valid, "ingested_at"))
+        spec = Spec("interval", frame, sinks.quotes_batch(tables), f"{root}/checkpoint", "1 second")
+        query = start(spec)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    in_slices(inputs.raw_quotes(spark, sf_dir), "ingested_at", f"{root}/topic", run)
+    return tables
+
+
 def run_quotes(spark: SparkSession, sf_dir: str, sink) -> Tables:
     root = scratch_dir(spark, "quotes")
     tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
