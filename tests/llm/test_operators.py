@@ -183,14 +183,17 @@ def test_jaccard_components_of_odd_rows(odd):
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 1, 4, 5, 6, 7, 10]
 
 
-@pytest.mark.parametrize("width,percent", [(4, 85), (5, 80)])
-def test_jaccard_components_of_documents(spark, sf, width, percent):
+@pytest.mark.parametrize("width,percent,few", [(4, 85, 24), (5, 80, 1)])
+def test_jaccard_components_of_documents(spark, sf, monkeypatch, width, percent, few):
+    monkeypatch.setattr(jaccard, "FEW", few)  # small groups list their pairs; larger ones join differences
     docs = table(spark, sf, "documents")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert spark_classes(docs, width, percent) == plain_classes(rows, width, percent)
 
 
-def test_jaccard_of_chains_common_passages_and_repeated_ids(spark):
+@pytest.mark.parametrize("few", [1, 24])
+def test_jaccard_of_chains_common_passages_and_repeated_ids(spark, monkeypatch, few):
+    monkeypatch.setattr(jaccard, "FEW", few)
     passage = [f"p{i}" for i in range(60)]
     base = [f"c{i}" for i in range(90)]
     rows = []
@@ -198,6 +201,12 @@ def test_jaccard_of_chains_common_passages_and_repeated_ids(spark):
         rows.append((100 + k, " ".join(base[4 * k:] + [f"n{i}" for i in range(4 * k)])))
     for k in range(40):  # one passage, otherwise unlike; some with little of their own
         rows.append((200 + k, " ".join(passage + [f"o{k}x{i}" for i in range(2 + 3 * (k % 20))])))
+    group = [f"g{i}" for i in range(150)]
+    for k in range(30):  # one original, copies with few changes and copies with many
+        words = list(group)
+        for i in range(1 + 4 * (k % 3)):
+            words[(13 * k + 29 * i) % 150] = f"e{k}x{i}"
+        rows.append((500 + k, " ".join(words)))
     rows += [(300, "q " * 50), (300, rows[0][1]), (301, "q " * 50), (7, "q " * 50 + "z"), (400, rows[15][1])]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     for width, percent in ((4, 85), (5, 80)):

@@ -61,6 +61,23 @@ def per_batch(make: Callable[[], Callable[[list], list[tuple]]], fields: dict[st
     return F.arrow_udf(run, T.StructType([T.StructField(n, TYPES[t][1]) for n, t in fields.items()]))
 
 
+def per_pair(make: Callable[[], Callable[[str, str], tuple]], fields: dict[str, str]) -> Callable[..., Column]:
+    """As ``per_batch``, of two text columns; ``make()`` gives what maps two texts to a tuple."""
+    kinds = [TYPES[t][0] for t in fields.values()]
+    names = list(fields)
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        f = make()
+        for a, b in batches:
+            out = [f(*texts) for texts in zip(a.to_pylist(), b.to_pylist(), strict=True)]
+            columns = zip(*out, strict=True) if out else [()] * len(names)
+            yield pa.StructArray.from_arrays(
+                [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)], names)
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, T.StructType([T.StructField(n, TYPES[t][1]) for n, t in fields.items()]))
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Writes ``df`` to the shared scratch folder and reads it back: computed once, lineage cut."""
     spark = df.sparkSession
