@@ -64,6 +64,49 @@ def test_masking_joins_overlaps():
     assert secret_scan._masked(text, spans) == "a [assign] b"
 
 
+LINES = ["MIIEowIBAAKCAQEAx" + c * 47 for c in "QVZ"] + ["qL9+/w=="]
+LABELS = ["RSA PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY", "ENCRYPTED PRIVATE KEY", "PGP PRIVATE KEY BLOCK"]
+
+
+@pytest.mark.parametrize("label", LABELS)
+@pytest.mark.parametrize("sep", ["\n", "\r\n", "\\n", "\n    ", "\n> ", '\\n"\n"', " "])
+@pytest.mark.parametrize("headers", [[], ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B", ""], ["Version: X 1", ""]])
+def test_no_letter_of_a_private_key_survives(label, sep, headers):
+    begin, end = f"-----BEGIN {label}-----", f"-----END {label}-----"
+    key = sep.join([begin, *headers, *LINES, end])
+    (out,) = secret_scan._redacted()([f"before\n{key}\nafter that"])
+    assert out[0] == "before\n[pem]\nafter that"
+    if sep != " ":  # without its END line; on one line a header has no end and a short run may be a word
+        (out,) = secret_scan._redacted()([f"before\n{sep.join([begin, *headers, *LINES])}\n\nafter that"])
+        assert out[0].startswith("before\n[pem]") and out[0].endswith("\n\nafter that")
+        assert not any(line in out[0] for line in LINES)
+
+
+def test_private_keys_end_where_they_end():
+    rsa, ec = "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN EC PRIVATE KEY-----"
+    body, rsa_end, ec_end = "\n".join(LINES), "-----END RSA PRIVATE KEY-----", "-----END EC PRIVATE KEY-----"
+    texts = [
+        f"{rsa}\n{body}\n{rsa_end} and {ec}\n{body}\n{ec_end}.", f"{rsa}\n{body}\nplain words here {ec}\n{body}\n{ec_end}.",
+        f"{rsa} is a header", f"{rsa}\n{body}", f"-----BEGIN CERTIFICATE-----\n{body}\n-----END CERTIFICATE-----",
+        f"{rsa}\n{LINES[0]}...", f"{rsa}{LINES[0]}", f"{rsa}\n{body}\n\nPlain words\n\n-- x", f"token={rsa}\n{body}\n{rsa_end}",
+    ]
+    assert [t for t, _ in secret_scan._redacted()(texts)] == [
+        "[pem] and [pem].", "[pem]\nplain words here [pem].", "[pem] is a header", "[pem]", texts[4],
+        "[pem]...", "[pem]", "[pem]\n\nPlain words\n\n-- x", "[assign]",
+    ]
+    query = secret_scan.trigram_query(secret_scan.RULES["pem"][0])  # both parts are mandatory
+    assert query[0] == "and" and {b"beg", b"pri", b"key"} <= secret_scan._grams(query)
+
+
+def test_many_open_private_keys_are_fast():
+    header = "-----BEGIN RSA PRIVATE KEY-----"
+    for filler in ("", "\n", "\n\n  ", " - ", "\nab cd\n", "\n" + "A" * 64):
+        text = (header + filler) * 5_000
+        assert secret_scan.spans_of([text])[0][0][0] == "pem"
+    for filler in ("\n", " \n", ' "', "-", "a\n", "\\", "\\n", "A" * 15 + " \n"):
+        assert secret_scan.spans_of([header + filler * 100_000 + "!"])[0][0][0] == "pem"
+
+
 # -- quality counts --
 
 

@@ -6,6 +6,9 @@ a query unites and intersects postings, and only the rows left are searched with
 without a mandatory trigram (bare hexadecimal) searches every row. The index is over lower-cased
 bytes, so it admits more rows than needed and never fewer: the result is that of a full search.
 
+A private key's span runs from its BEGIN line over the body to its END line, or over the base64 lines
+where the END is missing.
+
 Defined results: null and empty texts have no span; texts are searched whole; spans of different
 kinds may overlap, those of one kind don't; repeated rows are scanned each; an empty table stays
 empty; an existing column of the result's name is replaced.
@@ -31,12 +34,27 @@ except ImportError:  # before Python 3.11
     import sre_constants as op
     import sre_parse as parser
 
+# A private key in PEM or PGP armour: BEGIN, then all up to the END of the same label (no other BEGIN or
+# END between). Where that END is missing: the header lines and base64 runs that follow, over line breaks
+# (also escaped ones), indents and quotes; a short run counts where it fills the rest of its line, since
+# a key's last line is short.
+_BASE64 = r"(?:[A-Za-z0-9+/=]|\\/)"
+_INDENT = r"""[\x20\t>"'`#*|]*+"""
+_BREAK = r"""(?:\r?\n|\r|(?:\\r)?\\n(?:["']\x20*+\r?\n)?)"""
+_GAP = r"""(?:[\s>"'`#*|]|\\[rn])*+"""
+_ARMOUR = (
+    r"-----BEGIN ((?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?)-----(?:"
+    r"[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END \1-----"
+    rf"|(?:{_INDENT}{_BREAK}{_INDENT}(?:Proc-Type|DEK-Info|Version|Comment|Charset|Hash|MessageID):(?:(?!\\[rn])[^\r\n])*+)*+"
+    rf"(?:{_GAP}{_BASE64}{{16,}}+|{_INDENT}{_BREAK}{_INDENT}{_BASE64}++(?=[\x20\t\"'`,;]*+(?:[\r\n]|\\[rn]|\Z)))*+)"
+)
+
 # Fixed values. kind -> (pattern, least length, group whose length counts); kinds in the order of ties.
 RULES: dict[str, tuple[str, int, int]] = {
     "assign": (r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
     "access": (r"AKIA[A-Z0-9]+", 16, 0),
     "hex": (r"[0-9a-f]{32,}", 0, 0),  # the runs of 32 and more are the same, found faster
-    "pem": (r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 0),
+    "pem": (_ARMOUR, 0, 0),
     "github": (r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
     "slack": (r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     "google": (r"AIza[A-Za-z0-9_-]{35,}", 0, 0),
