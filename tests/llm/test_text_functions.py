@@ -296,3 +296,40 @@ def test_prediction_of_odd_texts():
     assert [o[0] for o in out[:6]] == ["und", "und", "und", "en", "de", "en"] and out[6][0] in ("de", "en")
     assert all(0 <= s <= 1 for _, s in out) and model.predict([]) == []
     assert langid.Model(()).predict(["the"]) == [("und", 0.0)]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.randoms(use_true_random=False), st.integers(1, 400))
+def test_cross_parsing_over_many_letters(random, letters):
+    draw = lambda n: "".join(chr(0x4E00 + random.randrange(letters)) for _ in range(n))
+    trained = [(name, draw(random.randrange(1, 300))) for name in "xyz"]
+    model = langid.Model(tuple(trained))
+    texts = [draw(random.randrange(1, 300)) + random.choice(["", "a"]) + trained[0][1][5:40] for _ in range(3)]
+    got = model.phrases([model.symbols(langid._codes(t)) for t in texts])
+    for i, text in enumerate(texts):
+        for j, (_, known) in enumerate(trained):
+            at = count = 0
+            while at < len(text):
+                if at % langid.STRETCH == 0 and at:
+                    break
+                at += max(1, longest(text[:langid.STRETCH], at, known))
+                count += 1
+            assert got[i, j] == count
+
+
+def test_languages_of_large_and_several_alphabets():
+    rng = np.random.default_rng(5)
+
+    def language(first, letters):  # words of one script, the common ones often
+        words = ["".join(chr(first + int(c)) for c in rng.integers(0, letters, rng.integers(1, 4))) for _ in range(600)]
+        return lambda n: " ".join(words[int(599 * x ** 2)] for x in rng.random(n))
+
+    # Two languages over the same 3,000 ideographs, two over the same syllables, then alphabets beside Latin.
+    spoken = {
+        "zh": language(0x4E00, 3000), "yue": language(0x4E00, 3000), "ko": language(0xAC00, 1500), "ko2": language(0xAC00, 1500),
+        "ru": language(0x430, 32), "el": language(0x3B1, 24), "ar": language(0x627, 26), "he": language(0x5D0, 26), "hi": language(0x905, 50),
+        "ka": language(0x10D0, 33), "hy": language(0x561, 38), "th": language(0xE01, 46), "am": language(0x1200, 250), "en": language(0x61, 26),
+    }
+    model = langid.Model(tuple((name, f(4_000)) for name, f in sorted(spoken.items())))
+    for name, f in spoken.items():
+        assert [p for p, _ in model.predict([f(8) for _ in range(25)])].count(name) >= 24, name

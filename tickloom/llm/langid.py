@@ -10,6 +10,9 @@ Training is bounded: for each language the chunks of labelled texts with the low
 ``CHARS`` letters (fewer if there are many languages: ``MOST_CELLS``); copies of a chunk count once.
 Predictions parse whole texts, cut into stretches of ``STRETCH`` letters that are parsed side by side.
 
+Each letter of the training texts has a symbol of its own. Transitions by the ``DENSE`` most common ones
+are a table, those by all others are sorted (state, symbol) keys.
+
 Letters: text is lower-cased; runs of anything else (digits, signs, white space) are one gap.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; with no labelled text
@@ -29,9 +32,9 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import per_batch, python_settings
 
-#: Training letters of a language; letters of a chunk; letters that get a symbol of their own.
-CHARS, CHUNK, SYMBOLS = 120_000, 1_500, 60
-#: Cells of all automata together (four bytes each), and letters that are parsed at once.
+#: Training letters of a language; letters of a chunk; letters whose transitions are a table.
+CHARS, CHUNK, DENSE = 120_000, 1_500, 60
+#: Cells of the tables of all automata together (four bytes each), and letters that are parsed at once.
 MOST_CELLS, STRETCH, AT_ONCE = 60_000_000, 512, 4_000_000
 UNDETERMINED = "und"
 
@@ -46,34 +49,35 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """The suffix automaton of a symbol sequence: a row of transitions for each state, -1 for none."""
-    most = 2 * len(symbols) + 2
-    step = np.full((most, alphabet), -1, np.int32)
-    link, length = [-1] * most, [0] * most
-    size, last = 1, 0
+def automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """The suffix automaton of a symbol sequence: the transitions of each state."""
+    step: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
+    last = 0
     for c in symbols:
-        cur, size = size, size + 1
-        length[cur] = length[last] + 1
+        cur = len(step)
+        step.append({})
+        link.append(0)
+        length.append(length[last] + 1)
         p = last
-        while p != -1 and step[p, c] < 0:
-            step[p, c] = cur
+        while p != -1 and c not in step[p]:
+            step[p][c] = cur
             p = link[p]
-        if p == -1:
-            link[cur] = 0
-        else:
-            q = int(step[p, c])
+        if p != -1:
+            q = step[p][c]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone, size = size, size + 1
-                length[clone], step[clone], link[clone] = length[p] + 1, step[q], link[q]
-                while p != -1 and step[p, c] == q:
-                    step[p, c] = clone
+                clone = len(step)
+                step.append(step[q].copy())
+                link.append(link[q])
+                length.append(length[p] + 1)
+                while p != -1 and step[p].get(c) == q:
+                    step[p][c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    return step[:size]
+    return step
 
 
 class Model:
@@ -86,27 +90,55 @@ class Model:
             own = Counter(_codes(t).tolist())  # by its share in each language
             total = sum(own.values())
             seen.update({c: n * 1_000_000 // total for c, n in own.items() if _letters()[c]})
-        common = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:SYMBOLS]]
-        self.table = np.zeros(0x110000, np.uint8)  # 0 is the gap
-        self.table[_letters()] = 1  # any other letter
-        self.table[common] = np.arange(2, 2 + len(common))
-        self.alphabet = 2 + len(common)
+        letters = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
+        self.table = np.zeros(0x110000, np.int32)  # 0 is the gap
+        self.table[_letters()] = 1  # a letter of no training text
+        self.table[letters] = np.arange(2, 2 + len(letters))
+        self.alphabet, self.width = 2 + len(letters), 2 + min(DENSE, len(letters))
         states, fresh, self.bits = [], [], []
+        keys, targets = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        begins = np.zeros((len(texts), self.alphabet - self.width), np.int32)
         base = 0
-        for _, t in texts:
+        for nth, (_, t) in enumerate(texts):
             symbols = self.symbols(_codes(t))
-            a = automaton(symbols.tolist(), self.alphabet)
+            a = automaton(symbols.tolist())
+            sizes = np.fromiter(map(len, a), np.int64, len(a))
+            most = int(sizes.sum())
+            at = np.repeat(np.arange(len(a)), sizes)
+            by = np.fromiter((c for d in a for c in d), np.int64, most)
+            to = np.fromiter((q for d in a for q in d.values()), np.int32, most)
+            del a
             # One more state, where any symbol begins a phrase: at the start, and after an unknown
             # symbol, which is a phrase of its own. A step that begins a phrase is stored as the
             # bitwise complement of where it leads.
-            own = np.vstack([np.where(a < 0, -1, a + base), np.full((1, self.alphabet), -1)])
-            fresh.append(base + len(a))
-            begin = np.where(own[0] < 0, fresh[-1], own[0])
-            states.append(np.where(own < 0, ~begin[None, :], own))
+            fresh.append(base + len(sizes))
+            begin = np.full(self.alphabet, fresh[-1], np.int32)
+            begin[by[at == 0]] = to[at == 0] + base
+            begins[nth] = ~begin[self.width:]
+            own = np.broadcast_to(~begin[:self.width], (len(sizes) + 1, self.width)).copy()
+            dense = by < self.width
+            own[at[dense], by[dense]] = to[dense] + base
+            states.append(own)
+            # Keys are sorted within a language already but for the symbols of one state.
+            key = (at[~dense] + base) * self.alphabet + by[~dense]
+            order = np.argsort(key, kind="stable")
+            keys.append(key[order])
+            targets.append(to[~dense][order] + base)
             base += len(own)
             self.bits.append(np.log2(max(2, len(symbols))))
         self.fresh, self.bits = np.array(fresh, np.int64), np.array(self.bits)
-        self.steps = np.concatenate(states).astype(np.int32).ravel() if states else np.zeros(0, np.int32)
+        self.steps = np.concatenate(states).ravel() if states else np.zeros(0, np.int32)
+        self.keys, self.targets = np.concatenate(keys), np.concatenate(targets)
+        self.begins = np.ascontiguousarray(begins.T)  # of each sparse symbol, where it begins a phrase
+
+    def sparse(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Steps of rows of states by symbols without a column of their own."""
+        begin = self.begins[symbols - self.width]
+        if not len(self.keys):
+            return begin
+        key = state * self.alphabet + symbols[:, None]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.targets[at], begin)
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         """Letters as symbols, runs of others as one gap."""
@@ -122,6 +154,9 @@ class Model:
         if not lengths.sum() or not len(self.languages):
             return out
         flat = np.concatenate(sequences).astype(np.int64)
+        rare = flat >= self.width
+        column = np.where(rare, 1, flat)
+        rare = rare if rare.any() else None
         pieces = -(-lengths // STRETCH)
         owner = np.repeat(np.arange(len(sequences)), pieces)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -133,7 +168,10 @@ class Model:
         state = np.repeat(self.fresh[None, :], len(owner), 0)
         count = np.zeros(state.shape, np.int32)
         for t, n in enumerate(active.tolist()):
-            to = self.steps[state[:n] * self.alphabet + flat[begin[:n] + t, None]]
+            here = begin[:n] + t
+            to = self.steps[state[:n] * self.width + column[here, None]]
+            if rare is not None and len(rows := np.flatnonzero(rare[here])):
+                to[rows] = self.sparse(state[rows], flat[here[rows]])
             begun = to >> 31
             count[:n] -= begun
             state[:n] = to ^ begun
@@ -180,7 +218,7 @@ def training_texts(labelled: DataFrame, text: str = "text", lang: str = "lang")
     counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.sum(F.ceil(F.length("t") / CHUNK)).alias("n")).collect()}
     if not counts:
         return ()
-    chars = min(CHARS, MOST_CELLS // (2 * (SYMBOLS + 2) * len(counts)))
+    chars = min(CHARS, MOST_CELLS // (2 * (DENSE + 2) * len(counts)))
     most = max(1, chars // CHUNK)
     # A share of all chunks by hash first, so that the exact choice is among few.
     share = F.create_map(*(F.lit(x) for l, n in counts.items() for x in (l, min(1.0, 8.0 * most / max(1, n)))))[F.col("l")]
