@@ -357,3 +357,8 @@ def test_pipeline_stages_take_effect(spark, sf):
     assert {r["doc_id"] for r in rows["source_mix"].collect()} <= lowest - dirty
     whole = corpus_pipeline.run(spark, sf)
     assert sorted((r["doc_id"], r["epoch"]) for r in whole.collect()) == sorted((r["doc_id"], r["epoch"]) for r in rows["source_mix"].collect())
+
+
+def test_token_counts_of_runs_of_spaces(spark):
+    texts = spark.createDataFrame([(" a",), ("a     b",), ("",), (None,)], "text string").coalesce(1)
+    assert [r["n"] for r in tokens.count_tokens(texts, queries.VOCABULARY).select(F.col("tokens.n_tokens").alias("n")).collect()] == [2, 3, 0, 0]

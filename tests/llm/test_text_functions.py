@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer, models, pre_tokenizers
+from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
 
 from tickloom.llm import langid, licences, main_text, quality, secret_scan, tokens
 
@@ -239,6 +239,41 @@ def test_unknown_letters_without_bytes_count_by_runs():
     assert c.word("▁aa") == (2, -2.5)
 
 
+@pytest.fixture(scope="module")
+def unsplit():
+    """The whole text as one stretch: a mark before it, each space a mark."""
+    pieces, unknown, _ = tokens.read_vocabulary(PATH)
+    low = unknown + tokens.UNKNOWN_PENALTY
+    t = Tokenizer(models.Unigram([("<unk>", low), *((f"<0x{i:02X}>", low) for i in range(256)), *pieces], 0, True))
+    t.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
+    return t
+
+
+@pytest.fixture(scope="module")
+def whole():
+    return tokens.Counter(tokens.read_vocabulary(PATH), split=False)
+
+
+def test_runs_of_spaces_count_by_their_pieces(unsplit, whole):
+    code = "def f(x):\n    if x:\n        return   x\n\n\t  y  =    1\n"
+    for t in [*ODD, " a", "  a", "a   b", "a" + " " * 16 + "b", "a" + " " * 40 + "b ", code, "| a   |    b |\n" * 20, "▁ ▁", " \n  \n   a", " " * 3000]:
+        assert whole.text(t)[0] == len(unsplit.encode(t).ids), t
+    assert [whole.text(t)[0] for t in (" a", "a     b", "")] == [2, 3, 0]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="   abcdeth noi\n▁éßꙮ日,.", max_size=60))
+def test_token_counts_of_whole_texts(unsplit, whole, text):
+    assert whole.text(text)[0] == len(unsplit.encode(text).ids)
+
+
+def test_pieces_across_words_are_not_cut():
+    c = tokens.Counter(([("▁", -1.0), ("a", -1.0), ("a▁a", -1.0), ("▁a", -1.5)], -12.0, False), split=False)
+    assert c.text("a a") == (2, -2.0)
+    c = tokens.Counter(([("a", -1.0)], -12.0, False), split=False)  # the mark is unknown too
+    assert [c.text(t)[0] for t in ("x x", "a a")] == [1, 4]
+
+
 # -- main text --
 
 LONG = "word " * 60

@@ -1,8 +1,9 @@
 """Token counts: the best unigram segmentation of a text, without building it.
 
-The vocabulary's pieces and scores come from a SentencePiece file (its path is a parameter). White
-space is marked as the tokenizer marks it, and the text is cut before each mark, where no piece can
-cross. An Aho-Corasick automaton enumerates the pieces that end at each letter of a word; dynamic
+The vocabulary's pieces and scores come from a SentencePiece file (its path is a parameter). As
+SentencePiece does, one mark is put before the text and each space becomes a mark. Some pieces are runs
+of marks, so the text is cut only before a mark that follows something else, where no piece crosses (if
+one does, the text isn't cut). An Aho-Corasick automaton enumerates the pieces that end at each letter of a word; dynamic
 programming keeps only the best score and its number of pieces. Rules of ties, as in unigram
 tokenizers: of equal scores the piece that starts first wins; a letter without a piece of its own is
 unknown at the least score less ten, and costs one token a byte where the vocabulary has bytes, else
@@ -14,6 +15,7 @@ each; an existing column of the result's name is replaced.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from math import inf
 
@@ -40,9 +42,16 @@ def read_vocabulary(path: str) -> Vocabulary:
     return pieces, min(s for _, s in pieces) - UNKNOWN_PENALTY, sum(map(sp.is_byte, ids)) == 256
 
 
+#: A run of marks and what follows it, as far as the next mark.
+_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+
+
 class Counter:
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    """Counts by one vocabulary; ``split`` cuts before every mark, as ``Metaspace(split=True)`` does."""
+
+    def __init__(self, vocabulary: Vocabulary, split: bool = True) -> None:
         pieces, self.unknown, self.bytes = vocabulary
+        self.split = split
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score))
@@ -50,6 +59,8 @@ class Counter:
         self.letters = frozenset(p for p, _ in pieces if len(p) == 1)
         # A letter of no piece is unknown wherever it stands, so a word may be cut there.
         self.cut_lines = self.bytes and not any("\n" in p for p, _ in pieces)
+        # A run of unknown letters, which costs one, may hold marks that are unknown themselves.
+        self.cut_words = (self.bytes or MARK in self.letters) and not any(re.search(f"[^{MARK}]{MARK}", p) for p, _ in pieces)
         self.known: dict[str, tuple[int, float]] = {}
 
     def word(self, word: str) -> tuple[int, float]:
@@ -87,14 +98,15 @@ class Counter:
         if not text:
             return 0, 0.0
         marked = text.replace(" ", MARK)
-        words = marked.removeprefix(MARK).split(MARK)
-        lines = 0
-        if self.cut_lines and "\n" in marked:
-            lines = marked.count("\n")
-            parts = [w.split("\n") for w in words]
+        lines = marked.count("\n") if self.cut_lines else 0
+        if not self.split:
+            parts = (MARK + marked).split("\n") if lines else [MARK + marked]
+            words = [w for p in parts for w in _WORD.findall(p)] if self.cut_words else [p for p in parts if p]
+        elif lines:
+            parts = [w.split("\n") for w in marked.removeprefix(MARK).split(MARK)]
             words = [MARK + p[0] for p in parts] + [x for p in parts for x in p[1:] if x]
         else:
-            words = [MARK + w for w in words]
+            words = [MARK + w for w in marked.removeprefix(MARK).split(MARK)]
         known, tokens, total = self.known, lines, lines * self.unknown
         for w in words:
             if (r := known.get(w)) is None:
@@ -112,7 +124,7 @@ def token_counter(spark: SparkSession, path: str) -> Callable[[str], Column]:
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(path))
 
     def make() -> Callable[[list], list[tuple]]:
-        counter = Counter(vocabulary.value)
+        counter = Counter(vocabulary.value, split=False)
         return lambda texts: [counter.text(t) for t in texts]
 
     return per_batch(make, {"n_tokens": "long", "log_score": "double"})
