@@ -294,6 +294,23 @@ def test_main_text(html, text):
     assert main_text.extract(html) == text
 
 
+MENU = "<div><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></div>"
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"{MENU}<h1>Title</h1><p>By X</p><p>1 May</p><p>{LONG}</p>", f"Title\nBy X\n1 May\n{LONG.strip()}"),
+    (f"<body>{MENU}<div><h1>Title</h1><p>By X</p><p>1 May</p><p>{LONG}</p></div></body>", f"Title\nBy X\n1 May\n{LONG.strip()}"),
+    (f"<div><p>{LONG}</p><div class=ad>a</div><div class=ad>b</div><p class=promo>c</p><p>So.</p><p>End.</p></div><div><p>no</p></div>",
+     f"{LONG.strip()}\nSo.\nEnd."),
+    (f"<div><p>{LONG}</p><p><a href=x>See the list of all</a></p><ul><li>One<li><a href=x>Two</a></ul><p>End.</p></div>",
+     f"{LONG.strip()}\nSee the list of all\nOne\nTwo\nEnd."),
+    (f"<div><h1>T</h1><p>A</p><p>B</p><p>C</p><p>{LONG}</p><nav><a href=x>m</a></nav><footer>f</footer></div>{MENU}", f"T\nA\nB\nC\n{LONG.strip()}"),
+    (f"<div><p>{LONG}</p><div><div><p><a href=x>inner</a></p></div></div></div><div><a href=x>outer</a></div>", f"{LONG.strip()}\ninner"),
+])
+def test_unmarked_pages_keep_all_of_the_text_s_container(html, text):
+    assert main_text.extract(html) == text
+
+
 def test_main_text_of_broken_markup_is_fast():
     main_text.extract("<a \"" * 20_000 + "<p>x" + "<div>" * 20_000)
 

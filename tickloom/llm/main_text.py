@@ -2,9 +2,12 @@
 
 Markup is stripped: each block element begins a line, inline elements don't. A line weighs the letters
 that it has outside links; lines inside menus, headers, footers, side bars, notices, adverts, forms and
-reader comments weigh nothing, and where a page marks its article, so do lines outside it. Sums of the
-weights over sliding windows of lines rise where the main text begins (surge) and fall to nothing where
-it ends (dive); the weighing lines between are kept, in page order.
+reader comments weigh nothing. Where a page marks its article, the marks decide: all lines inside are
+kept and none outside. Elsewhere sums of the weights over sliding windows of lines rise where the main
+text begins (surge) and fall to nothing where it ends (dive). The weighing lines between are kept, and
+the text reaches back and forward to all lines of the containers in which it surges, links and short
+lines included, but not what is beside it. A container is the innermost element that is no list or table,
+with what it holds; the page itself (``body``) only with the lines that are in no other container.
 
 Defined results: null, empty and text-free pages give an empty text; broken markup never fails: an
 unclosed element reaches to the end of what holds it; a page's own order and repetitions are kept;
@@ -37,6 +40,9 @@ ASIDE = frozenset("nav footer aside form dialog menu fieldset search".split())
 HOLDERS = frozenset("""article aside body details dialog div dl fieldset footer form header html main menu nav ol
 search section table td tr ul""".split())
 CORE = frozenset("article main".split())
+#: Holders that are part of the container around them; holders of the whole page.
+PARTS = frozenset("details dl ol table td tr ul".split())
+PAGE = frozenset("body html".split())
 NAMES = re.compile(r"""(?ai)(?<![a-z])(?:ads?|advert\w*|adverts|sponsor\w*|promo\w*|banner|side-?bar|sidenav|nav|navbar|navigation|
 menu|footer|comments?|commentlist|replies|respond|disqus\w*|cookies?|consent|gdpr|notices?|notification|alert|popup|modal|
 newsletter|subscribe|subscription|shar(?:e|ing)|social|related|recommended|breadcrumbs?|widget|masthead|toolbar|
@@ -65,12 +71,17 @@ def _aside(tag: str, attributes: str, in_core: bool) -> bool:
     return bool(of.get("role", "").lower() in ROLES or NAMES.search(names) or (not in_core and HEADER_NAMES.search(names)))
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """(text, letters outside links; -1 beside the main text, in a marked article) of each line."""
-    lines: list[tuple[str, int, bool]] = []
+def lines_of(html: str) -> list[tuple[str, int, bool, tuple]]:
+    """(text, letters outside links; -1 beside the main text, in a marked article, containers) of each line.
+
+    The containers are a chain (number, the next outer container), as ``extract`` follows it.
+    """
+    lines: list[tuple[str, int, bool, tuple]] = []
     parts: list[str] = []
     linked = 0
-    held: list[tuple[str, bool, bool]] = []  # open holders: tag, beside, core
+    held: list[tuple[str, bool, bool, tuple]] = []  # open holders: tag, beside, core, container
+    inner: tuple = (0, None)
+    opened = 0
     beside = core = False
     alone = False  # the line's own element is beside the main text
     link = False
@@ -81,7 +92,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         text = " ".join(unescape("".join(parts)).split())
         if text:
             own = len(text) - linked if linked <= LINKS * len(text) else 0
-            lines.append((text, -1 if beside or alone else max(own, 0), core))
+            lines.append((text, -1 if beside or alone else max(own, 0), core, inner))
         parts.clear()
         linked, alone = 0, False
 
@@ -105,10 +116,11 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
                 link = False
             if tag in BLOCKS or tag in HOLDERS:
                 end_line()
-            if tag in HOLDERS and any(t == tag for t, _, _ in held):
+            if tag in HOLDERS and any(h[0] == tag for h in held):
                 while held.pop()[0] != tag:
                     pass
-                beside, core = any(b for _, b, _ in held), any(c for _, _, c in held)
+                beside, core = any(h[1] for h in held), any(h[2] for h in held)
+                inner = held[-1][3] if held else (0, None)
             continue
         attributes = m[3] or ""
         if tag in SKIPPED:
@@ -127,7 +139,10 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             link = False
             if tag in HOLDERS and not attributes.endswith("/>"):
                 own = _aside(tag, attributes, core)
-                held.append((tag, own, tag in CORE and not own))
+                if tag not in PARTS and tag not in PAGE:
+                    opened += 1
+                    inner = (opened, inner)
+                held.append((tag, own, tag in CORE and not own, inner))
                 beside, core = beside or own, core or held[-1][2]
             elif tag not in HOLDERS:
                 alone = _aside(tag, attributes, core)
@@ -139,16 +154,35 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
 def extract(html: str | None) -> str:
     """The main text of one page, a block a line."""
     lines = lines_of(html or "")
-    if any(c and w >= 0 for _, w, c in lines):  # the page marks its article: all of that weighs
-        weights = [max(w, SURGE + 1) if c and w >= 0 else 0 for _, w, c in lines]
-    else:
-        weights = [max(w, 0) for _, w, _ in lines]
+    if any(c and w >= 0 for _, w, c, _ in lines):  # the page marks its article: all of that, nothing else
+        return "\n".join(text for text, w, c, _ in lines if c and w >= 0)
+    weights = [max(w, 0) for _, w, _, _ in lines]
     sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
     surge = min(SURGE, max(sums, default=0) / 2)
+    # The containers of the text: of each surging window, that of its heaviest line.
+    full = {lines[max(range(i, min(i + WINDOW, len(lines))), key=weights.__getitem__)][3][0]
+            for i, total in enumerate(sums) if total > surge}
+    within: dict[int, bool] = {}
+
+    def reached(container: tuple) -> bool:
+        path = []
+        while container[0] not in within:
+            number, outer = container
+            if number in full or outer is None:
+                within[number] = number in full
+            elif outer[1] is None:  # the page itself has only its own lines
+                within[number] = False
+            else:
+                path.append(number)
+                container = outer
+        for number in path:
+            within[number] = within[container[0]]
+        return within[container[0]]
+
     kept, inside = [], False
-    for (text, _, _), weight, total in zip(lines, weights, sums, strict=True):
+    for (text, own, _, container), weight, total in zip(lines, weights, sums, strict=True):
         inside = total > 0 if inside else total > surge
-        if inside and weight:
+        if (inside and weight) or (own >= 0 and reached(container)):
             kept.append(text)
     return "\n".join(kept)
 
