@@ -362,3 +362,13 @@ def test_pipeline_stages_take_effect(spark, sf):
 def test_token_counts_of_runs_of_spaces(spark):
     texts = spark.createDataFrame([(" a",), ("a     b",), ("",), (None,)], "text string").coalesce(1)
     assert [r["n"] for r in tokens.count_tokens(texts, queries.VOCABULARY).select(F.col("tokens.n_tokens").alias("n")).collect()] == [2, 3, 0, 0]
+
+
+def test_paths_longer_than_the_tree_are_a_step_of_their_own(spark):
+    rules = [("allow", "x.org/a/b/c"), ("block", "x.org/a/b/c/d")]
+    paths = ["/a/b/c"] * 40 + ["/a/b/c/d/e"] * 40 + ["/a/b/z"] * 10
+    rows = spark.createDataFrame([(i, f"http://x.org{p}") for i, p in enumerate(paths)], "id long, url string")
+    got = {(r["path"], r["template"], r["purity"]) for r in urls.judge(rows, rules=rules).collect()}
+    by = {p: (t, x) for p, t, x in got}
+    assert len(got) == 3 and by["/a/b/c/d/e"][0] == by["/a/b/c"][0] + "/**"
+    assert by["/a/b/c/d/e"][1] > 0.9 and by["/a/b/c"][1] < 0.1

@@ -7,7 +7,8 @@ differ significantly are merged into one branch (``{de,nl}``). A template's puri
 blocked URLs among its labelled ones, smoothed by its parent's, the host's by that of all URLs; URLs of
 templates at or over ``IMPURE`` are blocked.
 
-Segments below ``DEPTH`` are one variable rest (``**``). Only counts are grouped: by host and segment,
+Segments below ``DEPTH`` are one variable rest (``**``), a step of its own: longer paths have a template
+and a purity apart from the path that ends there. Only counts are grouped: by host and segment,
 combined before they are shuffled.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and is a template of its
@@ -35,6 +36,8 @@ RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 
 #: Stands for a segment that a path doesn't have: no segment can hold it.
 NONE = "/"
+#: The step for all segments below DEPTH.
+REST = "**"
 
 
 def _rest(url: Column) -> Column:
@@ -62,17 +65,18 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
 
 
 def _segment(k: int) -> Column:
-    """The k-th segment of the path, from 1."""
+    """The k-th segment of the path, from 1; all below ``DEPTH`` are the rest."""
     path = F.col("_path")
     segments = F.split(F.when(path.startswith("/"), F.substring(path, 2, F.length(path))).otherwise(path), "/")
-    return F.when(path == "", NONE).otherwise(F.coalesce(F.get(segments, k - 1), F.lit(NONE)))
+    own = F.get(segments, k - 1) if k <= DEPTH else F.when(F.size(segments) > DEPTH, REST)
+    return F.when(path == "", NONE).otherwise(F.coalesce(own, F.lit(NONE)))
 
 
 def parsed(pages: DataFrame, url: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """``pages`` with _host, _path, _rule and the segments _s1, _s2, ..."""
     own = pages.withColumns({"_host": host_of(F.col(url)), "_path": path_of(F.col(url))})
     return own.withColumn("_rule", rule_of(F.col("_host"), F.col("_path"), rules)).withColumns(
-        {f"_s{k}": _segment(k) for k in range(1, DEPTH + 1)})
+        {f"_s{k}": _segment(k) for k in range(1, DEPTH + 2)})
 
 
 def _generalised(rows: DataFrame, literal: DataFrame, k: int) -> DataFrame:
@@ -120,13 +124,18 @@ def templates(counts: DataFrame) -> DataFrame:
     smoothed = (F.col("blocked") + PRIOR * F.col("_parent")) / (F.col("labelled") + PRIOR)
     nodes = counts.groupBy("_host").agg(*sums).withColumn("_parent", F.lit(prior)).select(
         "_host", F.col("_host").alias("template"), smoothed.alias("purity"))
-    for k in range(1, DEPTH + 1):
+    for k in range(1, DEPTH + 2):
         parent = ["_host", *(f"_t{i}" for i in range(1, k))]
         own = _branches(counts.groupBy(*parent, f"_t{k}").agg(*sums), parent, f"_t{k}")
         above = nodes.withColumnsRenamed({"purity": "_parent", "template": "_above"})
         step = F.when(F.col(f"_t{k}") == NONE, "").otherwise(F.concat(F.lit("/"), F.col("_name")))
+        purity = smoothed
+        if k > DEPTH:  # a node without longer paths stays as it is
+            own = own.withColumn("_longer", F.max(F.col(f"_t{k}") == REST).over(Window.partitionBy(*parent)))
+            step = F.when(F.col(f"_t{k}") == NONE, "").otherwise(f"/{REST}")
+            purity = F.when(F.col("_longer"), smoothed).otherwise(F.col("_parent"))
         nodes = own.join(above, parent).select(
-            *parent, f"_t{k}", F.concat("_above", step).alias("template"), smoothed.alias("purity"))
+            *parent, f"_t{k}", F.concat("_above", step).alias("template"), purity.alias("purity"))
     return nodes
 
 
@@ -134,14 +143,15 @@ def judge(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]] =
     """``pages`` with host, path, rule (or null), verdict, template and purity."""
     rows = parsed(pages, url, rules)
     rule = F.col("_rule")
-    steps = [f"_s{k}" for k in range(1, DEPTH + 1)]
+    steps = [f"_s{k}" for k in range(1, DEPTH + 2)]
     counts = stored(rows.groupBy("_host", *steps).agg(
         F.count("*").alias("n"), F.count(rule).alias("labelled"),
         F.count(F.when(rule["verdict"] == "block", 1)).alias("blocked")), "url-counts")
     for k in range(1, DEPTH + 1):
         literal = stored(_literals(counts, k), f"url-literals-{k}")
         counts, rows = _generalised(counts, literal, k), _generalised(rows, literal, k)
-    keys = ["_host", *(f"_t{k}" for k in range(1, DEPTH + 1))]
+    counts, rows = (df.withColumnRenamed(f"_s{DEPTH + 1}", f"_t{DEPTH + 1}") for df in (counts, rows))
+    keys = ["_host", *(f"_t{k}" for k in range(1, DEPTH + 2))]
     judged = rows.join(stored(templates(stored(counts, "url-paths")), "url-templates").withColumnsRenamed(
         {"template": "_template", "purity": "_purity"}), keys, "left")
     learned = F.when(F.col("_purity") >= IMPURE, "block").otherwise("allow")
