@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, jaccard, langid, licences, main_text, mixing, quality, secret_scan, sql, tokens, urls
+from tickloom.llm import decontaminate, jaccard, langid, licences, main_text, mixing, quality, repair, secret_scan, sql, tokens, trie, urls
 from tickloom.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,26 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.classes(docs, width=4, percent=85)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """``turns`` with drops, repeats and changed rows, by a hash of each row's place; nulls are one space."""
+    space = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = turns.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+                        (F.crc32(place.cast("binary")) % 20).alias("code")).where("code != 0")
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("code") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("code") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repaired(damaged(turns), turns)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(*trie.rebuilt(table(spark, sf_dir, "conversations")))
