@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, jaccard, langid, licences, main_text, mixing, quality, repair, secret_scan, sql, tokens, trie, urls
-from tickloom.llm.common import table
+from tickloom.llm import decontaminate, jaccard, langid, licences, main_text, mixing, personal, quality, repair, secret_scan, sql, tokens, trie, urls
+from tickloom.llm.common import stored, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = sql.QUERIES
@@ -97,6 +97,13 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(docs, width=4, percent=85)
 
 
+@query
+def op11_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    proposed = stored(personal.propose(docs).drop("text"), "personal-candidates")
+    return personal.decide(proposed, personal.fit(proposed)).select("doc_id", "personal.*")
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """``turns`` with drops, repeats and changed rows, by a hash of each row's place; nulls are one space."""
     space = F.lit(" ")
