@@ -1,3 +1,6 @@
+import re
+import subprocess
+import sys
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from pathlib import Path
@@ -9,6 +12,7 @@ from tickloom.functions import clock
 from tickloom.operators.upsert import apply_retention, insert_if_absent
 from tickloom.plans import staging
 from tickloom.sources import dims
+from tickloom.sources.shared import Busy
 from tickloom.sources.tables import Tables
 from workload import inputs
 
@@ -158,8 +162,8 @@ def test_latest_reads_stop_at_the_newest_days_that_suffice(spark, tables):
     store([window(s, d, 100 * s + d) for s in range(1, 9) for d in range(20)])
     got = {r.symbol: r for r in serving.latest_prices(tables).collect()}
     assert float(got["BTCUSDT"].last_price) == 119 and float(got["BTCUSDT"].price_change) == 1
-    plan = serving.latest_prices(tables)._jdf.queryExecution().executedPlan().toString()
-    assert "2024-01-20" in plan  # the scans start at the last stored days
+    # The last row of each symbol, and the last one a minute before it.
+    assert _opened(serving.latest_prices(tables)) == {"2024-01-19", "2024-01-20"}
     store([window(1, 25, 500), window(1, 26, 600, 2)])  # only one symbol goes on
     got = {r.symbol: r for r in serving.latest_prices(tables).collect()}
     assert len(got) == 8 and float(got["ETHUSDT"].last_price) == 219
@@ -199,4 +203,127 @@ def test_known_batches_leave_the_planned_files_and_days_are_compacted(spark, tab
     assert len(list(path.rglob("part-*.parquet"))) == 3
     before = _bids(tables)
     tables.compact("spread_snapshot", date(2024, 1, 1))
+    assert len(tables.fact("spread_snapshot").inputFiles()) == 1 and _bids(tables) == before
+    tables.vacuum("spread_snapshot", 0)  # what readers may still hold is kept until then
     assert len(list(path.rglob("part-*.parquet"))) == 1 and _bids(tables) == before
+
+
+def _bars(spark, rows):
+    """Rows ``(symbol_key, window_key, ms after D0, close)``."""
+    df = spark.createDataFrame(
+        [(s, w, D0 + t, float(c)) for s, w, t, c in rows],
+        "symbol_key int, window_key int, window_start long, close double")
+    return df.withColumn("datetime_key", clock.datetime_key("window_start")).withColumns({
+        "window_end": F.col("window_start") + 1000, "trade_count": F.lit(1),
+        **{c: F.col("close") for c in ("open", "high", "low", "vwap", "volume")},
+        **{c: F.lit(0) for c in ("price_change", "price_change_pct")},
+    })
+
+
+def _opened(df):
+    return {m for f in df.inputFiles() for m in re.findall(r"dt=([0-9-]+)", f)}
+
+
+@pytest.mark.parametrize("recorded,n_days", [(True, 1000), (False, 30)])
+def test_silent_symbols_do_not_widen_the_newest_reads(spark, tables, monkeypatch, recorded, n_days):
+    """Symbol 2 stopped on the first of the days, symbol 3 never traded, the others go on."""
+    from tickloom.plans import marts, serving
+
+    days = Tables(spark, root=tables.root, calendar=dims.Calendar(date(2024, 1, 1), date(2027, 1, 1)))
+    rows = [(s, 1, d * clock.DAY + m * clock.MINUTE, 100 * s + d + m / 10)
+            for d in range(n_days) for s in range(1, 9) for m in (0, 2) if s != 3 and (s != 2 or d == 0)]
+    days.append(_bars(spark, rows), "trade_agg")
+    if not recorded:
+        monkeypatch.setattr(Tables, "seen", lambda self, name: None)
+    for read in (serving.latest_prices, marts.mart_latest_prices):
+        out = read(days)
+        got = {r.symbol: float(r.last_price) for r in out.collect()}
+        assert len(got) == 7 and sorted(got.values())[:2] == sorted([200.2, 99.2 + n_days])[:2]
+        if recorded:
+            assert _opened(out) == {"2024-01-01", "2026-09-26"}
+    change = {r.symbol: float(r.price_change) for r in serving.latest_prices(days).collect()}
+    assert set(change.values()) == {0.2}
+    assert serving.price_history(days, "ETHUSDT", "1s", 5).count() == 2
+    out = serving.price_history(days, "BTCUSDT", "1s", 5)
+    assert [float(r.close) for r in out.collect()] == [97.2 + n_days, 98 + n_days, 98.2 + n_days, 99 + n_days, 99.2 + n_days]
+    if recorded:
+        assert len(_opened(out)) == 3
+
+
+def test_record_survives_replays_and_compaction(spark, tables):
+    first = _snap(spark, [(1, 0, 1.0), (2, 5, 1.0), (1, clock.DAY, 1.0)])
+    for _ in range(3):
+        tables.insert(first, "spread_snapshot")
+    tables.append(_snap(spark, [(1, 9, 1.0)]), "spread_snapshot", rows=1)
+
+    def record():
+        return sorted((r.symbol_key, str(r.dt), r["first"] - D0, r["last"] - D0) for r in tables.seen("spread_snapshot").collect())
+
+    want = [(1, "2024-01-01", 0, 9), (1, "2024-01-02", clock.DAY, clock.DAY), (2, "2024-01-01", 5, 5)]
+    assert record() == want
+    tables.compact("spread_snapshot", date(2024, 1, 1))
+    assert record() == want and len(_bids(tables)) == 4
+    assert len(list(Path(tables.root).glob("seen_*/writer=*/part-*.parquet"))) == 1
+
+
+def _slow_keep(tables, meanwhile):
+    """Makes a rewrite wait, after it has listed its files, until ``meanwhile`` is done."""
+    whole = tables._rewrite
+
+    def rewrite(name, writer, day, keep):
+        def kept(df):
+            meanwhile()
+            return keep(df)
+        whole(name, writer, day, kept)
+
+    tables._rewrite = rewrite
+
+
+@pytest.mark.parametrize("job", ["compact", "expire"])
+def test_rewrites_keep_rows_that_are_appended_meanwhile(spark, tables, job):
+    noon = 12 * clock.HOUR
+    tables.append(_snap(spark, [(s, noon, 1.0) for s in range(100)]), "spread_snapshot", rows=100)
+    late = tables.written_by("main")
+    _slow_keep(tables, lambda: late.append(_snap(spark, [(s, noon + 1, 2.0) for s in range(50)]), "spread_snapshot", rows=50))
+    if job == "compact":
+        tables.compact("spread_snapshot", date(2024, 1, 1))
+    else:
+        tables.append(_snap(spark, [(7, 0, 1.0)]), "spread_snapshot", rows=1)
+        assert tables.expire("spread_snapshot", D0 + 30 * clock.DAY + clock.HOUR) == 1
+    assert len(_bids(tables)) == 150
+    del tables._rewrite
+    tables.compact("spread_snapshot", date(2024, 1, 1))  # of a generation and new files
+    assert len(_bids(tables)) == 150
+    assert tables.vacuum("spread_snapshot") == 0 and tables.vacuum("spread_snapshot", 0) > 0
+    assert len(_bids(tables)) == 150
+    tables.insert(_snap(spark, [(s, noon, 9.0) for s in range(120)]), "spread_snapshot")
+    assert len(_bids(tables)) == 170
+
+
+def test_rewrites_of_two_drivers_exclude_each_other(spark, tables):
+    tables.append(_snap(spark, [(s, 0, 1.0) for s in range(100)]), "spread_snapshot", rows=100)
+    other, busy = Tables(spark, root=tables.root, calendar=inputs.CALENDAR), []
+
+    def meanwhile():
+        with pytest.raises(Busy):
+            other.compact("spread_snapshot", date(2024, 1, 1))
+        busy.append(True)
+
+    _slow_keep(tables, meanwhile)
+    tables.compact("spread_snapshot", date(2024, 1, 1))
+    assert busy == [True] and len(_bids(tables)) == 100
+    other.compact("spread_snapshot", date(2024, 1, 1))  # the lease is free again
+    assert len(_bids(tables)) == 100
+
+
+def test_append_of_another_process_during_a_rewrite(spark, tables):
+    """A writer of another process (plain Arrow files here) is not seen by any lock of this one."""
+    tables.append(_snap(spark, [(s, 0, 1.0) for s in range(100)]), "spread_snapshot", rows=100)
+    day = Path(tables.path("spread_snapshot")) / "writer=main" / "dt=2024-01-01"
+    code = (
+        "import pyarrow.parquet as pq, sys, glob\n"
+        "t = pq.read_table(glob.glob(sys.argv[1] + '/part-*.parquet')[0], partitioning=None).slice(0, 50)\n"
+        "pq.write_table(t, sys.argv[1] + '/part-other.parquet')\n")
+    _slow_keep(tables, lambda: subprocess.run([sys.executable, "-c", code, str(day)], check=True, timeout=60))
+    tables.compact("spread_snapshot", date(2024, 1, 1))
+    assert tables.fact("spread_snapshot").count() == 150

@@ -27,12 +27,13 @@ def _sum(column: str) -> Column:
 
 
 def mart_latest_prices(tables) -> DataFrame:
-    def seconds(low: int | None = None, high: int | None = None) -> DataFrame:
-        rows = staging.stg_trade_agg(tables, from_ms=low, to_ms=high)
+    def seconds(from_ms: int | None = None, to_ms: int | None = None, **bounds) -> DataFrame:
+        rows = staging.stg_trade_agg(tables, from_ms=from_ms, to_ms=to_ms, **bounds)
         return rows.filter(F.col("window_type") == "1s")
 
-    since = tables.newest_from("trade_agg", seconds, key="symbol")
-    return latest_per(seconds(since), ["symbol"], [F.col("window_start").desc()]).select(
+    of = F.col("window_key") == tables.window_key("1s")
+    bounds = tables.newest_from("trade_agg", seconds, key="symbol", of=of)
+    return latest_per(seconds(**bounds), ["symbol"], [F.col("window_start").desc()]).select(
         "symbol", "display_name", "category", F.col("close").alias("last_price"),
         "vwap", "volume", "price_change", "price_change_pct", "trade_count",
         clock.whole_seconds("window_start").alias("updated_at"), "trading_session",
@@ -64,18 +65,19 @@ def mart_daily_performance(
 
 
 def mart_technical_signals(tables) -> DataFrame:
-    def signals(low: int | None = None, high: int | None = None) -> DataFrame:
-        candles = staging.stg_kline_closed(tables, from_ms=low, to_ms=high).select(
+    def signals(from_ms: int | None = None, to_ms: int | None = None, **bounds) -> DataFrame:
+        bounds |= {"from_ms": from_ms, "to_ms": to_ms}
+        candles = staging.stg_kline_closed(tables, **bounds).select(
             "symbol", "interval_key", "open_time", "open", "high", "low", "close", "volume",
             "is_bullish", "amplitude",
         )
-        return staging.stg_technical_indicator(tables, from_ms=low, to_ms=high).join(
+        return staging.stg_technical_indicator(tables, **bounds).join(
             candles, ["symbol", "interval_key", "open_time"]
         )
 
-    since = tables.newest_from("technical_indicator", signals, key="symbol")
+    bounds = tables.newest_from("technical_indicator", signals, key="symbol")
     newest = latest_per(
-        signals(since), ["symbol"], [F.col("open_time").desc(), F.col("interval_key")]
+        signals(**bounds), ["symbol"], [F.col("open_time").desc(), F.col("interval_key")]
     )
     return newest.select(
         "symbol", "open_time", clock.whole_seconds("open_time").alias("candle_time"),

@@ -49,36 +49,44 @@ def _of_window(tables, df: DataFrame, window: str) -> DataFrame:
 def _tail_of(tables, name: str, symbol: str, limit: int, window: str | None) -> DataFrame:
     """Enough of a symbol's newest stored days to hold its last ``limit`` rows."""
 
-    def rows(low: int | None, high: int | None = None) -> DataFrame:
-        found = _of_symbol(tables, tables.fact(name, low, high), symbol)
+    def rows(from_ms: int | None = None, to_ms: int | None = None, **bounds) -> DataFrame:
+        found = _of_symbol(tables, tables.fact(name, from_ms, to_ms, **bounds), symbol)
         return found if window is None else _of_window(tables, found, window)
 
-    return rows(tables.newest_from(name, rows, limit, symbols=_named(tables, symbol)))
+    of = None if window is None else F.col("window_key") == tables.window_key(window)
+    return rows(**tables.newest_from(name, rows, limit, symbols=_named(tables, symbol), of=of))
 
 
 def latest_prices(tables, gap_ms: int = 60_000) -> DataFrame:
     """Newest one-second price a symbol, with its change against ``gap_ms`` earlier.
 
-    Reads the newest stored days that hold each symbol's last row and, for the earlier price,
-    those that hold a row before the earliest symbol's cutoff.
+    By the record of what was seen when, only the days are read that hold a symbol's last rows
+    and its last row before the gap, however old they are; symbols that never traded add none.
     """
     def seconds(low: int | None, high: int | None = None) -> DataFrame:
         return _of_window(tables, tables.fact("trade_agg", low, high), "1s")
 
     names = tables.dim("symbol").select("symbol_key", "symbol", "display_name", "category")
-    since = tables.newest_from("trade_agg", seconds, symbols=names)
-    recent = tables.fact("trade_agg", from_ms=since)
+    symbols = names.select("symbol_key")
+    one_second = F.col("window_key") == tables.window_key("1s")
+    days = tables.newest_days("trade_agg", symbols, gap_ms, one_second)
+    if days is not None:
+        recent = tables.fact("trade_agg", days=days)
+    else:
+        recent = tables.fact("trade_agg", **tables.newest_from("trade_agg", seconds, symbols=names))
     newest_any = (
         recent.groupBy("symbol_key").agg(F.max("window_start").alias("newest"))
-        .join(names.select("symbol_key"), "symbol_key")
+        .join(symbols, "symbol_key")
     )
     latest = latest_per(
         _of_window(tables, recent, "1s"), ["symbol_key"], [F.col("window_start").desc()]
     )
-    first = newest_any.agg(F.min("newest")).first()[0]
-    symbols = names.select("symbol_key")
-    cutoff = None if first is None else first - gap_ms
-    earlier = seconds(tables.reach_back("trade_agg", symbols, cutoff, 1, seconds))
+    if days is not None:
+        earlier = _of_window(tables, recent, "1s")
+    else:
+        first = newest_any.agg(F.min("newest")).first()[0]
+        cutoff = None if first is None else first - gap_ms
+        earlier = seconds(tables.reach_back("trade_agg", symbols, cutoff, 1, seconds))
     previous = asof_previous(
         earlier.select("symbol_key", "window_start", F.col("close").alias("prev_close")),
         newest_any, "symbol_key", "window_start", gap_ms, tables.few_symbols,
@@ -151,15 +159,15 @@ def technical(tables, symbol: str, limit: int = 1) -> DataFrame:
     _limit(limit, 200)
     key = ["symbol_key", "interval_key", "open_time"]
 
-    def signals(low: int | None, high: int | None = None) -> DataFrame:
-        facts = tables.fact("technical_indicator", low, high)
-        candles = tables.fact("kline_closed", low, high).select(
+    def signals(from_ms: int | None = None, to_ms: int | None = None, **bounds) -> DataFrame:
+        facts = tables.fact("technical_indicator", from_ms, to_ms, **bounds)
+        candles = tables.fact("kline_closed", from_ms, to_ms, **bounds).select(
             *key, "close_time", "open", "high", "low", "close", "volume", "is_bullish"
         )
         return _of_symbol(tables, facts, symbol).join(candles, key)
 
-    since = tables.newest_from("technical_indicator", signals, limit, symbols=_named(tables, symbol))
-    rows = newest(signals(since), ["open_time", "interval_key"], limit)
+    bounds = tables.newest_from("technical_indicator", signals, limit, symbols=_named(tables, symbol))
+    rows = newest(signals(**bounds), ["open_time", "interval_key"], limit)
     return rows.select(
         "symbol",
         clock.whole_seconds("open_time").alias("open_time"),
@@ -203,14 +211,14 @@ def alerts(
 def spread_history(tables, symbol: str, limit: int = 60) -> DataFrame:
     _limit(limit, 1440)
 
-    def snapshots(low: int | None, high: int | None = None) -> DataFrame:
-        rows = stg_spread_snapshot(tables, from_ms=low, to_ms=high)
+    def snapshots(from_ms: int | None = None, to_ms: int | None = None, **bounds) -> DataFrame:
+        rows = stg_spread_snapshot(tables, from_ms=from_ms, to_ms=to_ms, **bounds)
         return rows.filter(F.col("symbol") == symbol.upper())
 
-    since = tables.newest_from(
+    bounds = tables.newest_from(
         "spread_snapshot", snapshots, limit, key="symbol", symbols=_named(tables, symbol)
     )
-    return tail(snapshots(since), "snapshot_time", limit).select(
+    return tail(snapshots(**bounds), "snapshot_time", limit).select(
         "snapshot_time", "bid_price", "ask_price", "mid_price", "spread", "spread_pct",
         "bid_qty", "ask_qty", "liquidity_imbalance",
     )

@@ -70,6 +70,11 @@ class Fact:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def series(self) -> list[str]:
+        """What tells the series of a fact apart: its key without the time."""
+        return [c for c in self.keys if c != self.time]
+
     @property
     def required(self) -> list[str]:
         return [c for c in self.columns if c not in self.nullable]

@@ -5,18 +5,22 @@ from __future__ import annotations
 import copy
 import re
 import threading
+import time
+import uuid
 from collections import defaultdict
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from datetime import date, timedelta
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickloom.functions import clock
 from tickloom.operators.upsert import insert_if_absent, retained
 from tickloom.schemas import FACTS, conform
 from tickloom.sources import dims
+from tickloom.sources.shared import Shared
 
 # The calendar range of the star schema.
 DEFAULT_CALENDAR = dims.Calendar(date(2025, 1, 1), date(2027, 1, 1))
@@ -38,7 +42,15 @@ def _day(ms: int) -> date:
 
 class Tables:
     """Facts by name, either given as DataFrames or stored as Parquet by writer and day under
-    ``root``. Queries that write side by side each take a catalog of :meth:`written_by`."""
+    ``root``. Queries that write side by side each take a catalog of :meth:`written_by`.
+
+    A day is rewritten as a generation: a folder beside the writer's own (``writer=<name>+<id>``)
+    that appears by one rename and names the files it stands for. Files that are appended
+    meanwhile are not among them, so a rewrite never loses rows.
+
+    Beside each fact lies a record of what its series have on which days. It is written after
+    the rows; days without a record are always looked at.
+    """
 
     def __init__(
         self, spark: SparkSession, root: str | None = None,
@@ -79,28 +91,51 @@ class Tables:
             raise LookupError(f"fact {name} is not given and the catalog has no root")
         return f"{self.root}/fact_{name}"
 
+    @cached_property
+    def _shared(self) -> Shared:
+        return Shared(self.spark, self.root)
+
     def _folders(self, name: str) -> list[tuple[str, date]]:
         """(writer, day) of the stored folders; no file is listed."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/writer=*/dt=*")
-        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        listed = " ".join(s.getPath().toString() for s in fs.globStatus(path) or [])
+        found = " ".join(self._shared.matching(f"{self.path(name)}/writer=*/dt=*"))
         return sorted(
             (w, date.fromisoformat(d))
-            for w, d in re.findall(r"/writer=([^/]+)/dt=(\d{4}-\d\d-\d\d)", listed)
+            for w, d in re.findall(r"/writer=([^/]+)/dt=(\d{4}-\d\d-\d\d)", found)
         )
 
+    def _replaced(self, name: str) -> set[str]:
+        """Files that a generation stands for, as ``writer=.../dt=.../file``."""
+        notes = self._shared.matching(f"{self.path(name)}/writer=*/_replaces")
+        return {line for n in notes for line in self._shared.read_text(n).split("\n") if line}
+
+    def _sources(self, name: str, folders: list[tuple[str, date]]) -> list[str]:
+        """Folders to read; of those that a generation replaces in part, the other files."""
+        replaced, out = self._replaced(name), []
+        partly = {f.rpartition("/")[0] for f in replaced}
+        for writer, day in folders:
+            folder = f"writer={writer}/dt={day}"
+            if folder not in partly:
+                out.append(f"{self.path(name)}/{folder}")
+            else:
+                out += [
+                    f for f in self._shared.data_files(f"{self.path(name)}/{folder}")
+                    if "/".join(f.rsplit("/", 3)[1:]) not in replaced
+                ]
+        return out
+
     def days(self, name: str) -> list[date]:
         """Days the stored fact has, from the folder names."""
         return sorted({d for _, d in self._folders(name)})
 
     def fact(
-        self, name: str, from_ms: int | Column | None = None, to_ms: int | Column | None = None
+        self, name: str, from_ms: int | Column | None = None, to_ms: int | Column | None = None,
+        days: Collection[date] | None = None,
     ) -> DataFrame:
-        """The fact, optionally within ``[from_ms, to_ms]``; stored days outside are not read."""
+        """The fact, optionally within ``[from_ms, to_ms]`` or of some days; no other is read."""
         spec = FACTS[name]
         if name in self._facts:
             df = self._facts[name]
-        elif not (paths := self._paths(name, from_ms, to_ms)):
+        elif not (paths := self._paths(name, from_ms, to_ms, days)):
             return self.spark.range(0).filter(F.lit(False)).select(
                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema]
             )
@@ -118,16 +153,99 @@ class Tables:
                 df = df.filter(getattr(F.col("dt"), keep)(clock.day(limit)))
         return df.select(*spec.columns)
 
-    def _paths(self, name: str, from_ms, to_ms) -> list[str]:
+    def _paths(
+        self, name: str, from_ms, to_ms, days: Collection[date] | None = None
+    ) -> list[str]:
         """The day folders that can hold rows of the range: no other is opened or listed."""
         low, high = (
             _day(b) if isinstance(b, int) else edge
             for b, edge in ((from_ms, date.min), (to_ms, date.max))
         )
-        return [
-            f"{self.path(name)}/writer={w}/dt={d}"
-            for w, d in self._folders(name) if low <= d <= high
-        ]
+        return self._sources(name, [
+            (w, d) for w, d in self._folders(name)
+            if low <= d <= high and (days is None or d in days)
+        ])
+
+    # -- what was seen when -------------------------------------------------------------
+
+    def _seen_path(self, name: str) -> str:
+        return f"{self.root}/seen_{name}"
+
+    def _seen_schema(self, name: str) -> str:
+        keys = ", ".join(f"{c} {FACTS[name].schema[c].dataType.simpleString()}" for c in FACTS[name].series)
+        return f"{keys}, dt date, first bigint, last bigint, rows bigint"
+
+    def _note(self, name: str, rows: DataFrame) -> None:
+        """Records days, first and last time and number of the rows of each series.
+
+        ``rows`` are all stored by now; some may have been before, so ``rows`` of the record is
+        a number that is not exceeded.
+        """
+        spec = FACTS[name]
+        found = rows.withColumn("dt", clock.day(spec.time)).groupBy(*spec.series, "dt").agg(
+            F.min(spec.time).alias("first"), F.max(spec.time).alias("last"),
+            F.count("*").alias("rows"),
+        )
+        path = f"{self._seen_path(name)}/writer={self.writer}"
+        with _lock(path):
+            found.coalesce(1).write.mode("append").parquet(path)
+
+    def seen(self, name: str) -> DataFrame | None:
+        """(series, dt, first, last, rows) of the stored fact; ``None`` without a record."""
+        if name in self._facts:
+            return None
+        self._folders(name)  # a catalog that builds its facts does it now
+        notes = self._shared.matching(f"{self._seen_path(name)}/writer=*")
+        if not notes:
+            return None
+        found = self.spark.read.schema(self._seen_schema(name)).parquet(*notes)
+        return found.groupBy(*FACTS[name].series, "dt").agg(
+            F.min("first").alias("first"), F.max("last").alias("last"), F.sum("rows").alias("rows")
+        )
+
+    def compact_record(self, name: str) -> None:
+        """One file for the record of this catalog's writer."""
+        path = f"{self._seen_path(name)}/writer={self.writer}"
+        with _lock(path):
+            files = self._shared.data_files(path)
+            if len(files) < 2:
+                return
+            whole = self.spark.read.schema(self._seen_schema(name)).parquet(*files)
+            merged = whole.groupBy(*FACTS[name].series, "dt").agg(
+                F.min("first").alias("first"), F.max("last").alias("last"),
+                F.sum("rows").alias("rows"))
+            merged.coalesce(1).write.mode("append").parquet(path)
+            for f in files:
+                self._shared.delete(f)
+
+    def newest_days(
+        self, name: str, keys: DataFrame, gap_ms: int | None = None,
+        of: Column | None = None,
+    ) -> list[date] | None:
+        """Days that together hold the newest row of each of ``keys``.
+
+        ``of`` narrows the series that count. With ``gap_ms``, also the newest row of any
+        series, and the newest counted one that is more than this before it. ``None``: there is
+        no record, so it isn't known.
+        """
+        seen = self.seen(name)
+        if seen is None:
+            return None
+        seen, counts = seen.withColumn("_of", F.lit(True) if of is None else of), F.col("_of")
+        by_day = seen.join(keys, keys.columns, "left_semi").groupBy(*keys.columns, "dt").agg(
+            F.max("last").alias("any"), F.max(F.when(counts, F.col("last"))).alias("last"),
+            F.min(F.when(counts, F.col("first"))).alias("first"),
+        )
+        own = Window.partitionBy(*keys.columns)
+        wanted = F.col("last") == F.max("last").over(own)
+        if gap_ms is not None:
+            newest = F.max("any").over(own)
+            early = F.when(F.col("first") < newest - gap_ms, F.col("dt"))
+            wanted = wanted | (F.col("any") == newest) | (early == F.max(early).over(own))
+        marked = by_day.withColumn("_wanted", wanted).filter("_wanted").select("dt").distinct()
+        known = {r[0] for r in seen.select("dt").distinct().collect()}  # as many as day folders
+        stored = set(self.days(name))
+        return sorted(({r[0] for r in marked.collect()} & stored) | (stored - known))
 
     def reach_back(
         self, name: str, keys: DataFrame, before_ms: int | None, depth: int,
@@ -148,6 +266,12 @@ class Tables:
             days = [d for d in days if (d - date(1970, 1, 1)).days * clock.DAY <= last]
         if rows is None:
             rows = lambda low, high: self.fact(name, low, high)
+        seen = self.seen(name)
+        if seen is not None and set(keys.columns) <= set(FACTS[name].series):
+            # Keys that never had enough rows must not make this look at everything.
+            had = seen if last is None else seen.filter(F.col("first") <= last)
+            enough = had.groupBy(*keys.columns).agg(F.sum("rows").alias("_n")).filter(F.col("_n") >= depth)
+            keys = keys.join(enough, keys.columns, "left_semi")
         back = 1
         while back < len(days):
             start = (days[-back] - date(1970, 1, 1)).days * clock.DAY
@@ -159,16 +283,36 @@ class Tables:
         return None
 
     def newest_from(
-        self, name: str, rows: Callable[[int | None, int | None], DataFrame], depth: int = 1,
-        key: str = "symbol_key", symbols: DataFrame | None = None,
-    ) -> int | None:
-        """A time from which each of the symbols has its newest ``depth`` rows.
+        self, name: str, rows: Callable[..., DataFrame], depth: int = 1,
+        key: str = "symbol_key", symbols: DataFrame | None = None, of: Column | None = None,
+    ) -> dict:
+        """Bounds of :meth:`fact` within which each of the symbols has its newest ``depth`` rows.
 
         ``symbols`` must be all those that the caller's ``rows`` can hold: by default the
-        active ones.
+        active ones. By the record these are the symbols' own days, however old, and what they
+        hold is checked (``of`` narrows the recorded series). Without a record: a span of days.
         """
-        keys = (self.symbols() if symbols is None else symbols).select(key)
-        return self.reach_back(name, keys, None, depth, rows)
+        names = (self.symbols() if symbols is None else symbols).select("symbol_key", *{key} - {"symbol_key"})
+        seen = self.seen(name)
+        if seen is None:
+            return {"from_ms": self.reach_back(name, names.select(key), None, depth, rows)}
+        known = {r[0] for r in seen.select("dt").distinct().collect()}  # as many as day folders
+        stored = set(self.days(name))
+        own = (
+            (seen if of is None else seen.filter(of)).join(names, "symbol_key")
+            .groupBy(key, "dt").agg(F.sum("rows").alias("rows"))
+        )
+        newer = Window.partitionBy(key).orderBy(F.desc("dt")).rowsBetween(Window.unboundedPreceding, -1)
+        own = own.withColumn("newer", F.coalesce(F.sum("rows").over(newer), F.lit(0)))
+        taken = depth
+        while True:
+            found = own.filter(F.col("newer") < taken).select("dt").distinct().collect()
+            days = sorted(({r[0] for r in found} & stored) | (stored - known))
+            more = own.filter(F.col("newer") >= taken).select(key).distinct()
+            enough = rows(days=days).groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= depth)
+            if more.join(enough, key, "left_anti").isEmpty():
+                return {"days": days}
+            taken *= 4
 
     def window_key(self, window_type: str) -> Column:
         labels = self.dim("window_type").filter(F.col("window_label") == window_type)
@@ -189,10 +333,29 @@ class Tables:
         """Adds rows under their days, sorted by symbol and time within a file.
 
         ``rows``, if known, sets the number of writing tasks: a stream's batches are not
-        rebalanced at run time. Otherwise a rebalance splits large days and merges small ones.
+        rebalanced at run time. Otherwise a rebalance splits large days and merges small ones,
+        and the record is taken from the days that were written to, not from ``df`` again.
         """
+        stored = conform(df, name)
+        if rows is not None:
+            self._write(stored, name, rows)
+            self._note(name, stored)
+            return
+        days = Observation()
+        dt = clock.day(FACTS[name].time)
+        self._write(stored.observe(days, F.min(dt).alias("low"), F.max(dt).alias("high")), name, None)
+        low, high = days.get["low"], days.get["high"]
+        if low is not None:
+            touched = [(w, d) for w, d in self._stored_folders(name) if w == self.writer and low <= d <= high]
+            schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FACTS[name].schema)
+            self._note(name, self.spark.read.schema(schema).parquet(*self._sources(name, touched)))
+
+    def _stored_folders(self, name: str) -> list[tuple[str, date]]:
+        return Tables._folders(self, name)
+
+    def _write(self, stored: DataFrame, name: str, rows: int | None) -> None:
         spec = FACTS[name]
-        stored = conform(df, name).withColumn("dt", clock.day(spec.time))
+        stored = stored.withColumn("dt", clock.day(spec.time))
         dealt = (
             stored.hint("rebalance", "dt") if rows is None
             else stored.repartition(1 + rows // ROWS_PER_FILE, *spec.keys)
@@ -205,31 +368,60 @@ class Tables:
             )
 
     def compact(self, name: str, day: date) -> None:
-        """Rewrites a closed day, a few large files for each of its writers."""
-        for writer, d in self._folders(name):
-            if d == day:
+        """Rewrites a closed day, a few large files for each of its writers, and the record.
+
+        Raises :class:`tickloom.sources.shared.Busy` while another driver rewrites the fact.
+        """
+        with self._shared.lease(f"{self.path(name)}/_rewriting"):
+            for writer in {w.partition("+")[0] for w, d in self._folders(name) if d == day}:
                 self._rewrite(name, writer, day, lambda df: df)
+        self.compact_record(name)
 
     def _rewrite(
         self, name: str, writer: str, day: date, keep: Callable[[DataFrame], DataFrame]
-    ) -> bool:
-        """Replaces one writer's day by what is kept of it; whether anything is."""
-        spec, path = FACTS[name], f"{self.path(name)}/writer={writer}"
+    ) -> None:
+        """Puts a generation in place of the files that a writer's day has now."""
+        spec, root, shared = FACTS[name], self.path(name), self._shared
+        folders = [(w, d) for w, d in self._folders(name) if d == day and w.partition("+")[0] == writer]
+        sources = self._sources(name, folders)
+        files = [f for s in sources for f in ([s] if s.endswith(".parquet") else shared.data_files(s))]
+        if not files:
+            return
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.schema)
-        kept = keep(self.spark.read.schema(schema).parquet(f"{path}/dt={day}")).persist()
+        kept = keep(self.spark.read.schema(schema).parquet(*files))
+        made = f"{writer}+{uuid.uuid4().hex[:12]}"
+        draft = f"{root}/_draft-{made}"
         try:
-            rows = kept.count()
-            if rows:
-                (
-                    kept.withColumn("dt", F.lit(day))
-                    .repartition(1 + rows // ROWS_PER_FILE, *spec.keys)
-                    .sortWithinPartitions("symbol_key", spec.time)
-                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("dt").parquet(path)
-                )
-            return rows > 0
+            (
+                kept.withColumn("dt", F.lit(day)).hint("rebalance")
+                .sortWithinPartitions("symbol_key", spec.time)
+                .write.partitionBy("dt").parquet(draft)
+            )
+            shared.write_text(f"{draft}/_replaces", "\n".join("/".join(f.rsplit("/", 3)[1:]) for f in files))
+            shared.rename(draft, f"{root}/writer={made}")
         finally:
-            kept.unpersist()
+            shared.delete(draft)
+
+    def vacuum(self, name: str, older_than_s: float = 3600.0) -> int:
+        """Deletes files that a generation has stood for long enough for reads of them to end."""
+        shared, root, gone = self._shared, self.path(name), 0
+        with shared.lease(f"{root}/_rewriting"):
+            for note in shared.matching(f"{root}/writer=*/_replaces"):
+                if time.time() - shared.modified(note) < older_than_s:
+                    continue
+                for line in shared.read_text(note).split("\n"):
+                    if line and shared.exists(f"{root}/{line}"):
+                        shared.delete(f"{root}/{line}")
+                        gone += 1
+                generation = note.rpartition("/")[0]
+                replaced_itself = shared.matching(f"{generation}/dt=*") and not any(
+                    shared.data_files(d) for d in shared.matching(f"{generation}/dt=*"))
+                # A generation whose own files are gone, or whose sources are, needs its note no more.
+                shared.delete(generation if replaced_itself else note)
+            for folder in shared.matching(f"{root}/writer=*/dt=*"):
+                if not shared.matching(f"{folder}/*") and time.time() - shared.modified(folder) > older_than_s:
+                    shared.delete(folder)
+        return gone
 
     def insert(
         self, df: DataFrame, name: str, order_by: list[Column] | None = None,
@@ -260,7 +452,9 @@ class Tables:
                 incoming.join(known.select(*keys), keys, "left_anti") if unique
                 else insert_if_absent(known, incoming, keys, order)
             )
-            self.append(fresh, name, rows)
+            # The first write of a batch; its record is of all its rows, as a replay adds no others.
+            self._write(fresh, name, rows)
+            self._note(name, incoming)
         finally:
             if held is not None:
                 held.unpersist()
@@ -273,22 +467,17 @@ class Tables:
         spec = FACTS[name]
         cutoff = as_of_ms - spec.retention_days * clock.DAY
         edge = date(1970, 1, 1) + timedelta(days=cutoff // clock.DAY)
-        stored = self._folders(name)
-        deleted = self.fact(name, to_ms=cutoff - 1).count() if stored else 0
-        gone = [(w, d) for w, d in stored if d < edge]
-        if cutoff % clock.DAY:
-            gone += [
-                (w, d) for w, d in stored if d == edge and not self._rewrite(
-                    name, w, d,
-                    lambda df: retained(df, spec.time, spec.retention_days, as_of_ms),
-                )
-            ]
-        for writer, d in gone:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(
-                f"{self.path(name)}/writer={writer}/dt={d}"
-            )
-            fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-            fs.delete(folder, True)
+        with self._shared.lease(f"{self.path(name)}/_rewriting"):
+            stored = self._folders(name)
+            deleted = self.fact(name, to_ms=cutoff - 1).count() if stored else 0
+            if cutoff % clock.DAY and deleted:
+                for writer in {w.partition("+")[0] for w, d in stored if d == edge}:
+                    self._rewrite(
+                        name, writer, edge,
+                        lambda df: retained(df, spec.time, spec.retention_days, as_of_ms))
+            for writer, d in stored:
+                if d < edge:
+                    self._shared.delete(f"{self.path(name)}/writer={writer}/dt={d}")
         return deleted
 
     # -- joined shapes ------------------------------------------------------------------

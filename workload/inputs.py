@@ -152,10 +152,10 @@ class Warehouse(Tables):
         super().__init__(spark, root=scratch_dir(spark, "facts"), calendar=CALENDAR)
         self._sf_dir, self._clock, self._built = sf_dir, clock, set()
 
-    def fact(self, name: str, from_ms=None, to_ms=None) -> DataFrame:
+    def fact(self, name: str, from_ms=None, to_ms=None, days=None) -> DataFrame:
         if name not in self._built:
             self._build(name)
-        return super().fact(name, from_ms, to_ms)
+        return super().fact(name, from_ms, to_ms, days)
 
     def _folders(self, name: str):
         if name not in self._built:
