@@ -327,3 +327,13 @@ def test_append_of_another_process_during_a_rewrite(spark, tables):
     _slow_keep(tables, lambda: subprocess.run([sys.executable, "-c", code, str(day)], check=True, timeout=60))
     tables.compact("spread_snapshot", date(2024, 1, 1))
     assert tables.fact("spread_snapshot").count() == 150
+
+
+def test_appends_of_nothing(spark, tables):
+    none = _snap(spark, [(1, 0, 1.0)]).filter("symbol_key > 5")
+    for rows in (None, 0):
+        tables.append(none, "spread_snapshot", rows=rows)
+    tables.append(none.join(none.select("symbol_key"), "symbol_key"), "spread_snapshot")
+    assert _bids(tables) == []
+    tables.append(_snap(spark, [(1, 0, 1.0)]), "spread_snapshot")
+    assert tables.seen("spread_snapshot").count() == 1

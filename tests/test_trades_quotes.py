@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom import schemas
+from tickloom.functions.numbers import exact_sum
 from tickloom.operators import candles, quotes, trades
 from tickloom.sources.dims import seed_dims
 from workload import inputs
@@ -114,3 +116,49 @@ def test_outliers_fit_the_fact(spark):
     df = _trades(spark, [("BTCUSDT", 1, 1e-4, 1.0, True, 0), ("BTCUSDT", 2, 1e6, 1.0, True, 1)])
     row = trades.trade_agg_fact(trades.ohlcv(df, "1 second"), seed_dims(spark)).first()
     assert float(row.price_change_pct) == pytest.approx(1e12, rel=1e-6)
+
+
+ODD_NUMBERS = [None, float("nan"), float("inf"), float("-inf"), -1.0, 0.0, 1e-300, 1.0, 9.9e9, 1e10, 9.9e15, 1e16, 1e19, 1e300]
+
+
+def test_filters_keep_exactly_what_has_no_reason(spark):
+    from tickloom.operators import candles, rejects
+
+    pairs = [(s, a, b) for s in ("X", None) for a in ODD_NUMBERS for b in ODD_NUMBERS]
+    df = spark.createDataFrame(pairs, "symbol string, a double, b double").withColumn("is_closed", F.lit(True))
+    shapes = {
+        "trades": (trades.valid_trades, {"price": "a", "quantity": "b"}),
+        "quotes": (quotes.valid_quotes, {"bid_price": "a", "ask_price": "b", "bid_qty": "a", "ask_qty": "b"}),
+        "klines": (candles.closed_klines, {"close": "a", "volume": "b", "open": "b", "high": "a", "low": "b"}),
+    }
+    for kind, (keep, columns) in shapes.items():
+        rows = df.withColumns({c: F.col(v) for c, v in columns.items()})
+        kept, refused = keep(rows).count(), rejects.rejected(rows, kind)
+        assert 0 < kept == len(pairs) - refused.count(), kind
+        assert refused.join(keep(rows), ["symbol", "a", "b"], "left_semi").isEmpty(), kind
+
+
+def test_sums_beyond_all_amounts_are_set_aside(spark, tmp_path):
+    """Good trades whose window is too large to store, and a ratio to almost nothing."""
+    from tickloom.sources.dims import seed_dims
+    from tickloom.sources.tables import Tables
+    from tickloom.streaming import sinks
+    from workload import inputs
+
+    t0 = 1_704_067_200_000
+    rows = [("BTCUSDT", 1e-7, 9e15, t0 + k) for k in range(9)] + [("ETHUSDT", 1e-8, 1.0, t0), ("ETHUSDT", 9e9, 1.0, t0 + 1), ("BNBUSDT", 5.0, 2.0, t0)]
+    rows += [("SOLUSDT", 9e9, 1e8 - 1, t0 + k) for k in range(20)]
+    df = spark.createDataFrame(rows, "symbol string, price double, quantity double, trade_time long").withColumns(
+        {"trade_id": F.col("trade_time"), "buyer_maker": F.lit(True)})
+    bars = trades.ohlcv(trades.with_event_time(trades.valid_trades(df), "trade_time"), "5 seconds")
+    tables = Tables(spark, root=str(tmp_path), calendar=inputs.CALENDAR)
+    for _ in range(2):  # a replay adds nothing
+        sinks.trades_batch(tables)(bars, 0)
+    stored = {r.symbol_key: r for r in tables.fact("trade_agg").collect()}
+    names = {r.symbol: r.symbol_key for r in seed_dims(spark)["symbol"].collect()}
+    assert set(stored) == {names["BNBUSDT"], names["SOLUSDT"]}
+    found = {r.row.split('"symbol_key":')[1].split(",")[0]: r.reason for r in tables.rejects("trade_agg").collect()}
+    assert found == {str(names["BTCUSDT"]): "volume out of range", str(names["ETHUSDT"]): "price_change_pct out of range"}
+    sums = spark.createDataFrame([(float("nan"),), (1.0,)], "x double").agg(exact_sum("x")).first()[0]
+    assert sums is None
+    assert spark.createDataFrame([(9e17,)] * 20, "x double").agg(exact_sum("x")).first()[0] is None

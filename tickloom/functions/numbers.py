@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NANO = 1_000_000_000
+TERM_LIMIT = 9e18  # terms of a sum of longs
 DIGITS = 15  # significant decimal digits that a double holds
 
 
@@ -20,8 +21,12 @@ def exact_sum(x: Column | str) -> Column:
     into whole units, billionths and billionths of these. They are summed as longs, so the
     result does not depend on the order in which shuffled rows arrive (a retried task gives
     the same number), and the aggregation keeps plain long buffers instead of wide decimals.
+    Null where a term or the total is not finite or beyond what a long holds.
     """
     x = _col(x)
+    fits = F.abs(x) < TERM_LIMIT  # false of NaN
+    too_much = F.max(~fits)
+    x = F.when(fits, x)
     size = F.abs(x)
     # Of a number from 1 on: its digits as a whole number, and the power of ten they are scaled by.
     power = F.pow(F.lit(10.0), F.greatest(DIGITS - 1 - F.floor(F.log10(size)), F.lit(0))).cast("long")
@@ -32,16 +37,16 @@ def exact_sum(x: Column | str) -> Column:
     rest = F.when(large, scaled % power * _div(F.lit(NANO * NANO), power)).otherwise(small)
     sign = F.signum(x).cast("long")
     units, nanos, attos = (
-        F.sum(sign * part) for part in (whole, _div(rest, F.lit(NANO)), rest % NANO)
+        F.try_sum(sign * part) for part in (whole, _div(rest, F.lit(NANO)), rest % NANO)
     )
     nanos, attos = _carry(nanos, attos)
     units, nanos = _carry(units, nanos)
-    total = units.cast("decimal(18,0)")
+    total = units.try_cast("decimal(18,0)")
     for part, unit, scale in ((nanos, "1e-9", 9), (attos, "1e-18", 18)):
         total = total + part.cast("decimal(9,0)") * F.lit(unit).cast(f"decimal({scale},{scale})")
     # Beyond 18 digits a double has no decimals.
     huge = F.abs(units) >= NANO * NANO
-    return F.when(huge, units.cast("decimal(38,18)")).otherwise(total.cast("decimal(38,18)"))
+    return F.when(~too_much, F.when(huge, units.cast("decimal(38,18)")).otherwise(total.cast("decimal(38,18)")))
 
 
 def _div(a: Column, b: Column) -> Column:

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from tickloom.functions import clock
 from tickloom.functions.numbers import pct_change, safe_div
 from tickloom.operators.keys import resolve_interval, resolve_keys
+from tickloom.operators.rejects import AMOUNT_LIMIT, PRICE_LIMIT, absent_or_within, within
 from tickloom.schemas import conform
 
 
 def closed_klines(df: DataFrame) -> DataFrame:
+    """Closed candles with a symbol, a positive close and a volume; numbers finite and within the stored types."""
     return df.filter(
-        F.col("is_closed") & F.col("symbol").isNotNull()
-        & (F.col("close") > 0) & (F.col("volume") >= 0)
+        F.col("is_closed") & F.col("symbol").isNotNull() & within("close", PRICE_LIMIT)
+        & (F.col("volume") >= 0) & (F.col("volume") < AMOUNT_LIMIT)
+        & absent_or_within(df, ["open", "high", "low"], PRICE_LIMIT)
     )
 
 

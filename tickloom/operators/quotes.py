@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from tickloom.functions import clock
 from tickloom.functions.numbers import exact_avg, safe_div
 from tickloom.operators.keys import resolve_keys
+from tickloom.operators.rejects import AMOUNT_LIMIT, PRICE_LIMIT, absent_or_within, within
 from tickloom.schemas import conform
 
 
 def valid_quotes(df: DataFrame) -> DataFrame:
+    """Quotes with a symbol and positive prices; all numbers finite and within the stored types."""
     return df.filter(
-        F.col("symbol").isNotNull() & (F.col("bid_price") > 0) & (F.col("ask_price") > 0)
+        F.col("symbol").isNotNull() & within("bid_price", PRICE_LIMIT) & within("ask_price", PRICE_LIMIT)
+        & absent_or_within(df, ["bid_qty", "ask_qty"], AMOUNT_LIMIT)
     )
 
 

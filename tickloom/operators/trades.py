@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from tickloom.functions import clock
 from tickloom.functions.numbers import exact_sum, pct_change
 from tickloom.operators.keys import resolve_keys, resolve_window
+from tickloom.operators.rejects import AMOUNT_LIMIT, NOTIONAL_LIMIT, PRICE_LIMIT, within
 from tickloom.schemas import conform
 
 
 def valid_trades(df: DataFrame) -> DataFrame:
-    """Trades with a symbol and a positive price and quantity."""
+    """Trades with a symbol and a positive price and quantity, finite and within the stored types."""
     return df.filter(
-        F.col("symbol").isNotNull() & (F.col("price") > 0) & (F.col("quantity") > 0)
+        F.col("symbol").isNotNull() & within("price", PRICE_LIMIT) & within("quantity", AMOUNT_LIMIT)
+        & (F.col("price") * F.col("quantity") < NOTIONAL_LIMIT)
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -157,7 +157,16 @@ FACTS = {
 
 
 def conform(df: DataFrame, fact: str) -> DataFrame:
-    """The fact's columns in order, rounded to its stored DECIMAL types."""
+    """The fact's columns in order, rounded to its stored DECIMAL types.
+
+    What doesn't fit its type (a ratio to almost nothing, a sum beyond all amounts) becomes null.
+    """
     return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACTS[fact].schema]
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in FACTS[fact].schema]
     )
+
+
+def misfit(fact: str) -> Column:
+    """Of conformed rows whose required columns had values: which of these did not fit, else null."""
+    required = [c for c in FACTS[fact].required if c not in FACTS[fact].keys]
+    return F.coalesce(*(F.when(F.col(c).isNull(), f"{c} out of range") for c in required))

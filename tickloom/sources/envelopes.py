@@ -39,8 +39,12 @@ def _value(source: str, key: str, kind: str) -> Column:
 
 
 def _readable(source: str, fields: dict[str, tuple[str, str]]) -> Column:
-    """Whether every field is there and can be read as its type."""
-    return reduce(Column.__and__, [_value(source, *f).isNotNull() for f in fields.values()])
+    """Whether every field is there and can be read as its type, numbers as finite ones."""
+    def readable(key: str, kind: str) -> Column:
+        value = _value(source, key, kind)
+        return F.abs(value) < float("inf") if kind == "double" else value.isNotNull()
+
+    return reduce(Column.__and__, [F.coalesce(readable(*f), F.lit(False)) for f in fields.values()])
 
 
 def _parsed_once(df: DataFrame, name: str, parsed: Column) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Collection, Mapping
 from datetime import date, timedelta
 from functools import cached_property
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -344,7 +345,10 @@ class Tables:
         days = Observation()
         dt = clock.day(FACTS[name].time)
         self._write(stored.observe(days, F.min(dt).alias("low"), F.max(dt).alias("high")), name, None)
-        low, high = days.get["low"], days.get["high"]
+        try:
+            low, high = days.get["low"], days.get["high"]
+        except Py4JJavaError:  # a plan that turns out to be empty has no metrics
+            low = high = None
         if low is not None:
             touched = [(w, d) for w, d in self._stored_folders(name) if w == self.writer and low <= d <= high]
             schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FACTS[name].schema)
@@ -367,6 +371,22 @@ class Tables:
                 .write.mode("append").partitionBy("dt").parquet(path)
             )
 
+    def reject(self, rows: DataFrame, source: str, batch: str) -> None:
+        """Keeps rows that are not used, with their ``reason``; a replayed batch replaces its own."""
+        kept = rows.select("reason", F.to_json(F.struct(*[c for c in rows.columns if c != "reason"])).alias("row"))
+        if kept.isEmpty():
+            return
+        path = f"{self.root}/rejects/source={source}/writer={self.writer}/batch={batch}"
+        kept.write.mode("overwrite").parquet(path)
+
+    def rejects(self, source: str | None = None) -> DataFrame:
+        """(reason, row, source, writer, batch) of what was not used; ``row`` as JSON."""
+        schema = "reason string, row string, source string, writer string, batch string"
+        folders = self._shared.matching(f"{self.root}/rejects/source={source or '*'}")
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.option("basePath", f"{self.root}/rejects").schema(schema).parquet(*folders)
+
     def compact(self, name: str, day: date) -> None:
         """Rewrites a closed day, a few large files for each of its writers, and the record.
 

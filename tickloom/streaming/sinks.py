@@ -13,7 +13,9 @@ from tickloom.operators.archive import add_partition_cols, archivable
 from tickloom.operators.candles import kline_fact
 from tickloom.operators.indicators import BLOCK_MS, MACD_FRAME, technical_indicators
 from tickloom.operators.quotes import spread_fact
+from tickloom.operators.rejects import rejected
 from tickloom.operators.trades import order_flow_fact, trade_agg_fact
+from tickloom.schemas import misfit
 from tickloom.sources.topics import encode
 from tickloom.streaming.queries import trigger
 
@@ -33,7 +35,10 @@ def fan_out(
         if not rows:
             return None
         for name, transform in writes.items():
-            tables.insert(transform(batch), name, span=tuple(span), unique=True, rows=rows)
+            # Sums of good rows can still be too large to store; such windows are set aside.
+            facts = transform(batch).withColumn("reason", misfit(name))
+            tables.insert(facts.filter("reason IS NULL"), name, span=tuple(span), unique=True, rows=rows)
+            tables.reject(facts.filter("reason IS NOT NULL"), name, f"{span[0]}-{span[1]}-{rows}")
         return tuple(span)
     finally:
         batch.unpersist()
@@ -67,6 +72,14 @@ def trades_batch(tables) -> Sink:
     return sink
 
 
+def rejects_batch(tables, kind: str) -> Sink:
+    """Messages that are not used, with the reason, beside the query that uses the others."""
+    def sink(df: DataFrame, batch_id: int) -> None:
+        tables.reject(rejected(df, kind), kind, str(batch_id))
+
+    return sink
+
+
 def quotes_batch(tables) -> Sink:
     """Closed quote windows into the spread fact."""
     dims = _dims(tables)

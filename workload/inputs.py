@@ -53,6 +53,15 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bad_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of some good trades whose numbers no stored type can hold, one kind each."""
+    nan, inf = "double('NaN')", "double('Infinity')"
+    kinds = [(nan, "1D"), (inf, "1D"), ("5e18D", "1D"), ("1D", nan), ("1D", inf), ("1D", "1e17D"), ("9e9D", "9e9D")]
+    some = raw_trades(spark, sf_dir).filter("symbol is not null and trade_id % 10 < 7")
+    price, quantity = ("element_at(array({}), cast(trade_id % 10 as int) + 1)".format(", ".join(k[i] for k in kinds)) for i in (0, 1))
+    return some.withColumns({"price": F.expr(price), "quantity": F.expr(quantity), "trade_id": F.col("trade_id") + 10_000_000})
+
+
 def small_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades of tiny prices and quantities."""
     return raw_trades(spark, sf_dir).withColumns({

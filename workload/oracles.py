@@ -412,6 +412,14 @@ union all select 'bookticker', symbol, count(*) from quotes where symbol is not
   group by symbol"""
     parts["broken_trades"] = """
 select * from trades where symbol is null or price is null or buyer_maker is null"""
+    parts["rejected_trades"] = """
+select trade_id, case when symbol is null then 'no symbol' when price is null then 'no price'
+    when price <= 0 then 'price not positive' else 'quantity not positive' end as reason
+from trades where symbol is null or price is null or price <= 0 or quantity <= 0
+union all
+select trade_id + 10000000, ['price not finite', 'price not finite', 'price out of range', 'quantity not finite',
+    'quantity not finite', 'quantity out of range', 'notional out of range'][trade_id % 10 + 1]
+from trades where symbol is not null and trade_id % 10 < 7"""
     parts["trade_close"] = "select max(trade_time) - 2000 as mark from good_trades"
     parts["quote_close"] = """
 select max(ingested_at) - 2000 as mark from quotes
@@ -532,9 +540,9 @@ select 'bookticker' as event_type, symbol, bid_price, bid_qty, ask_price, ask_qt
 select route, cast(sum(messages) as bigint) as messages from envelope_counts group by route
 union all select 'ignored', (select count(*) from events)
 union all select 'malformed', (select count(*) from broken_trades)
-  + (select count(*) from quotes where symbol is null) + 4 * (select count(*) from events)""",
+  + (select count(*) from quotes where symbol is null) + 6 * (select count(*) from events)""",
         "malformed": """
-select 'trade' as kind, (select count(*) from broken_trades) + 2 * (select count(*) from events) as messages
+select 'trade' as kind, (select count(*) from broken_trades) + 4 * (select count(*) from events) as messages
 union all select 'bookTicker', (select count(*) from quotes where symbol is null)
   + (select count(*) from events)
 union all select 'none', (select count(*) from events)""",
@@ -771,6 +779,15 @@ union all select '(deleted)', count(*) from quotes_c
   where ingested_at < {CALENDAR_AS_OF} - 7 * 86400000""",
         "stream_ohlcv_5s": f"""
 select {F_TRADE} from f_trade, trade_close where window_key = 2 and window_end <= mark""",
+        "stream_bad_trades": f"""
+select {F_TRADE} from f_trade, trade_close where window_key = 2 and window_end <= mark""",
+        "stream_rejects": """
+select reason, count(*) as messages, min(trade_id) as first_id, max(trade_id) as last_id
+from rejected_trades group by reason""",
+        "rejected_rows": """
+select 'trades' as source, reason, count(*) as messages from rejected_trades group by reason
+union all select 'quotes', 'no symbol', count(*) from quotes where symbol is null having count(*) > 0
+union all select 'klines', 'not closed', count(*) from klines where not is_closed having count(*) > 0""",
         "stream_late_rows": f"""
 select {F_TRADE} from f_trade, trade_close where window_key = 2 and window_end <= mark""",
         "stream_interval_trigger": f"""

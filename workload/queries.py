@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DecimalType, ShortType, TimestampType
 
 from tickloom.functions import clock
 from tickloom.operators import alerts as rules
-from tickloom.operators import archive, candles, indicators, keys, ordering, quotes, trades, upsert
+from tickloom.operators import archive, candles, indicators, keys, ordering, quotes, rejects, trades, upsert
 from tickloom.plans import marts, quality, serving, staging
 from tickloom.schemas import FACTS
 from tickloom.sources import dims, envelopes, topics
@@ -95,12 +95,14 @@ def _envelope(df, data, suffix):
 
 
 def faulty_envelopes(spark, sf_dir):
-    """Broken JSON, an unknown kind, a price that is no number, a null symbol and a quote
-    without one, one each for every event."""
+    """Broken JSON, an unknown kind, numbers that are none or not finite, a null symbol and a
+    quote without one, one each for every event."""
     events = inputs.ev(spark, sf_dir)
     lines = F.array(
         F.lit("{"), F.lit('{"stream":"x@depth","data":{"e":"depth"}}'),
         F.lit('{"stream":"x@trade","data":{"e":"trade","s":"X","t":1,"p":"abc","q":"1","m":true,"T":1}}'),
+        F.lit('{"stream":"x@trade","data":{"e":"trade","s":"X","t":1,"p":"NaN","q":"1","m":true,"T":1}}'),
+        F.lit('{"stream":"x@trade","data":{"e":"trade","s":"X","t":1,"p":"1","q":"Infinity","m":true,"T":1}}'),
         F.lit('{"stream":"x@trade","data":{"e":"trade","s":null,"t":1,"p":"1","q":"1","m":true,"T":1}}'),
         F.lit('{"stream":"x@bookTicker","data":{"b":"1"}}'),
     )
@@ -671,6 +673,35 @@ def stream_ohlcv_5s(spark, sf_dir):
     return streams.run_trades(spark, sf_dir, "5 seconds", sinks.trades_batch).fact("trade_agg")
 
 
+@query
+def stream_bad_trades(spark, sf_dir):
+    """Messages that no stored type can hold change nothing and don't end the stream."""
+    return streams.run_bad_trades(spark, sf_dir).fact("trade_agg")
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """What the same run sets aside, by reason."""
+    stored = streams.run_bad_trades(spark, sf_dir).rejects("trades")
+    trade = F.get_json_object("row", "$.trade_id").cast("long")
+    return stored.groupBy("reason").agg(
+        F.count("*").alias("messages"), F.min(trade).alias("first_id"), F.max(trade).alias("last_id"))
+
+
+@query
+def rejected_rows(spark, sf_dir):
+    """Trades, quotes and candles that are not used, by reason."""
+    sources = {
+        "trades": inputs.raw_trades(spark, sf_dir).unionByName(inputs.bad_trades(spark, sf_dir)),
+        "quotes": inputs.raw_quotes(spark, sf_dir), "klines": inputs.raw_klines(spark, sf_dir),
+    }
+    out = None
+    for kind, rows in sources.items():
+        part = rejects.rejected(rows, kind).groupBy("reason").agg(F.count("*").alias("messages")).withColumn("source", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def stream_late_rows(spark, sf_dir):
     """Rows that come after their windows closed change nothing."""

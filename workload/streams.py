@@ -58,6 +58,24 @@ def run_trades(spark: SparkSession, sf_dir: str, duration: str, sink) -> Tables:
     return tables
 
 
+def run_bad_trades(spark: SparkSession, sf_dir: str) -> Tables:
+    """As :func:`run_trades`, with messages between that cannot be used; these go to the rejects."""
+    root = scratch_dir(spark, "bad")
+    tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
+    messages = inputs.raw_trades(spark, sf_dir).unionByName(inputs.bad_trades(spark, sf_dir))
+
+    def run() -> None:
+        topic = _topic(spark, f"{root}/topic", schemas.TRADE)
+        bars = trades.ohlcv(watermarked(trades.valid_trades(topic), "trade_time"), "5 seconds")
+        run_all(spark, [
+            Spec("bars", bars, sinks.trades_batch(tables), f"{root}/checkpoint"),
+            Spec("rejects", topic, sinks.rejects_batch(tables, "trades"), f"{root}/checkpoint-rejects"),
+        ])
+
+    in_slices(messages, "trade_time", f"{root}/topic", run)
+    return tables
+
+
 def run_late_trades(spark: SparkSession, sf_dir: str) -> Tables:
     """As :func:`run_trades`; at last the first slice comes again, long after its windows closed."""
     root = scratch_dir(spark, "late")
