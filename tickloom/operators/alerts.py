@@ -7,6 +7,7 @@ newest row of each symbol; the replay form feeds it every row with its own trail
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,7 +20,7 @@ from tickloom.functions.numbers import decimal_avg
 from tickloom.operators.blocks import trailing_avg, with_previous
 from tickloom.operators.keys import resolve_alert_type
 from tickloom.operators.ordering import last_rows
-from tickloom.schemas import conform
+from tickloom.schemas import FACTS, conform
 
 BLOCK_MS = 6 * HOUR
 KEY = ["symbol_key"]
@@ -211,10 +212,20 @@ def alert_fact(detected: list[DataFrame], dim_alert_type: DataFrame) -> DataFram
     )
 
 
-def detect_alerts(tables, as_of_ms: int | Column | None = None, t: Thresholds = DEFAULTS):
-    """All four rules on the newest rows, as alert facts; by default as of now."""
+def detect_alerts(
+    tables, as_of_ms: int | Column | None = None, t: Thresholds = DEFAULTS, by_minutes: bool | None = None
+):
+    """All four rules on the newest rows, as alert facts; by default as of now.
+
+    A store that keeps minute sums is read by these (``by_minutes=False``: by its rows), with the
+    same result.
+    """
     if as_of_ms is None:  # a number, so that stored days can be chosen by it
         as_of_ms = int(time.time() * 1000)
+    if by_minutes is None:
+        by_minutes = isinstance(as_of_ms, int) and tables.keeps_minutes
+    if by_minutes:
+        return alert_fact(_judged_by_minutes(tables, as_of_ms, t), tables.dim("alert_type"))
     trades, quotes = _recent_rows(tables, as_of_ms, t)
     detected = [
         price_spikes(trades, as_of_ms, t), volume_surges(trades, as_of_ms, t),
@@ -223,6 +234,69 @@ def detect_alerts(tables, as_of_ms: int | Column | None = None, t: Thresholds =
     return alert_fact(detected, tables.dim("alert_type"))
 
 
+# -- as of a time, by minute sums -----------------------------------------------------------
+
+NEAR_MS = 2 * MINUTE
+
+
+def _newest_rows(tables, name: str, rows: Callable[..., DataFrame], as_of_ms: int) -> DataFrame:
+    """Each active symbol's last two rows are in the result: rows of the last two minutes, and,
+    of symbols that were silent then, those of the days on which they had their last ones."""
+    near = rows(from_ms=as_of_ms - NEAR_MS, to_ms=as_of_ms)
+    busy = near.groupBy(*KEY).agg(F.count("*").alias("_n")).filter("_n > 1")
+    silent = tables.symbols().join(busy, KEY, "left_anti").select(*KEY)
+    if silent.isEmpty():
+        return near
+
+    def earlier(**bounds) -> DataFrame:
+        return rows(to_ms=as_of_ms, **bounds).join(silent, KEY, "left_semi")
+
+    bounds = tables.newest_from(name, earlier, 2, symbols=silent)
+    return near.unionByName(earlier(**bounds).filter(F.col(FACTS[name].time) < as_of_ms - NEAR_MS))
+
+
+def _baselines(
+    tables, name: str, sums: DataFrame, value: str, rows: DataFrame, span_ms: int, as_of_ms: int
+) -> DataFrame:
+    """Mean of ``value`` in ``[as_of - span, as_of]``: whole minutes from ``sums``, the rest of the
+    first and the last minute from ``rows``."""
+    low, time = as_of_ms - span_ms, F.col("ts")
+    first, last = -(-low // MINUTE) * MINUTE, (as_of_ms + 1) // MINUTE * MINUTE
+    whole = sums.filter((F.col("minute") >= first) & (F.col("minute") < last)).select(*KEY, F.col(value).alias("s"), "n")
+    edges = rows.filter((time >= low) & (time <= as_of_ms) & ((time < first) | (time >= last)))
+    parts = whole.unionByName(edges.select(*KEY, F.col("value").cast("decimal(38,8)").alias("s"), F.lit(1).cast("long").alias("n")))
+    return parts.groupBy(*KEY).agg(decimal_avg(F.sum("s"), F.sum("n")).alias("baseline"))
+
+
+def _judged_by_minutes(tables, as_of_ms: int, t: Thresholds) -> list[DataFrame]:
+    active, five = tables.symbols().select(*KEY), F.col("window_key") == tables.window_key("5s")
+
+    def trades(**bounds) -> DataFrame:
+        return tables.windowed("trade_agg", "5s", **bounds)
+
+    def quotes(**bounds) -> DataFrame:
+        return active_snapshots(tables, **bounds)
+
+    def judged(name, rows, shape, value, span_ms, newest, narrow=None) -> DataFrame:
+        low = as_of_ms - span_ms
+        first, last = -(-low // MINUTE) * MINUTE, (as_of_ms + 1) // MINUTE * MINUTE
+        sums = tables.minute_sums(name, first, last).join(active, KEY, "left_semi")
+        edges = shape(rows(from_ms=low, to_ms=min(first - 1, as_of_ms))).unionByName(
+            shape(rows(from_ms=max(last, low, first), to_ms=as_of_ms)))
+        means = _baselines(tables, name, sums if narrow is None else sums.filter(narrow), value, edges, span_ms, as_of_ms)
+        top = shape(newest).groupBy(*KEY).agg(F.max(F.struct("ts", "value")).alias("_newest"))
+        return top.join(means.filter(F.col("baseline").isNotNull()), KEY).select(*KEY, "_newest.ts", "_newest.value", "baseline")
+
+    last_trades = _newest_rows(tables, "trade_agg", trades, as_of_ms)
+    last_quotes = _newest_rows(tables, "spread_snapshot", quotes, as_of_ms)
+    return [
+        price_spikes(last_trades, as_of_ms, t),
+        surge_rule(judged("trade_agg", trades, _volumes, "volume", t.surge_span_ms, last_trades, five), t),
+        widening_rule(judged("spread_snapshot", quotes, _spreads, "spread", t.widening_span_ms, last_quotes), t),
+        liquidity_rule(judged("spread_snapshot", quotes, _depths, "depth", t.liquidity_span_ms, last_quotes), t),
+    ]
+
+
 def store_alerts(tables, as_of_ms: int, t: Thresholds = DEFAULTS) -> None:
     """Detects and stores; an alert that is stored already is not stored again."""
     found = detect_alerts(tables, as_of_ms, t).persist()

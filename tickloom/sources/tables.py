@@ -28,6 +28,12 @@ DEFAULT_CALENDAR = dims.Calendar(date(2025, 1, 1), date(2027, 1, 1))
 SMALL_DIM_ROWS = 100_000
 ROWS_PER_FILE = 2_000_000
 
+#: Sums that are kept for each minute of a series, where a store keeps them.
+MINUTE_SUMS = {
+    "trade_agg": {"volume": "volume"},
+    "spread_snapshot": {"spread": "spread", "depth": "bid_qty + ask_qty"},
+}
+
 _locks: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)
 _locking = threading.Lock()
 
@@ -315,6 +321,56 @@ class Tables:
                 return {"days": days}
             taken *= 4
 
+    # -- sums by minute -----------------------------------------------------------------
+
+    @property
+    def keeps_minutes(self) -> bool:
+        """Whether every write to this store also brings its minutes up to date."""
+        return self.root is not None and self._shared.exists(f"{self.root}/_minutes")
+
+    def keep_minutes(self) -> None:
+        """From now on, this store keeps the sums of each minute; those of stored rows are added."""
+        if self.keeps_minutes:
+            return
+        self._shared.write_text(f"{self.root}/_minutes", "")
+        for name in MINUTE_SUMS:
+            if days := self.days(name):
+                low, high = ((d - date(1970, 1, 1)).days * clock.DAY for d in (days[0], days[-1]))
+                self._sum_minutes(name, low, high + clock.DAY - 1)
+
+    def _sum_minutes(self, name: str, low: int, high: int) -> None:
+        """Sums the minutes from ``low`` to ``high`` from what is stored by now.
+
+        A minute that gets more rows is summed again: of its entries the one of most rows holds.
+        So replays, late rows and writers side by side need no bookkeeping.
+        """
+        if name not in MINUTE_SUMS or not self.keeps_minutes:
+            return
+        spec, minute = FACTS[name], clock.MINUTE
+        rows = self.fact(name, low // minute * minute, high // minute * minute + minute - 1)
+        sums = rows.groupBy(*spec.series, (clock.floor_div(spec.time, minute) * minute).alias("minute")).agg(
+            F.count("*").alias("n"),
+            *[F.sum(F.expr(e)).cast("decimal(38,8)").alias(c) for c, e in MINUTE_SUMS[name].items()],
+        ).withColumn("dt", clock.day("minute"))
+        short = high - low <= clock.HOUR
+        path = f"{self.root}/minutes_{name}/writer={self.writer}"
+        with _lock(path):
+            (sums.coalesce(1) if short else sums.repartition("dt")).write.mode("append").partitionBy("dt").parquet(path)
+
+    def minute_sums(self, name: str, low: int, high: int) -> DataFrame:
+        """(series, minute, n, sums) of the minutes that begin in ``[low, high)``."""
+        series = [f"{c} {FACTS[name].schema[c].dataType.simpleString()}" for c in FACTS[name].series]
+        sums = [f"{c} decimal(38,8)" for c in MINUTE_SUMS[name]]
+        schema = ", ".join([*series, "minute bigint", "n bigint", *sums])
+        root = f"{self.root}/minutes_{name}"
+        days = {str(_day(low) + timedelta(days=k)) for k in range((_day(high) - _day(low)).days + 1)}
+        folders = [f for f in self._shared.matching(f"{root}/writer=*/dt=*") if f.rpartition("dt=")[2] in days]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        found = self.spark.read.schema(schema).parquet(*folders).filter((F.col("minute") >= low) & (F.col("minute") < high))
+        best = F.max_by(F.struct("n", *MINUTE_SUMS[name]), "n").alias("s")
+        return found.groupBy(*FACTS[name].series, "minute").agg(best).select(*FACTS[name].series, "minute", "s.*")
+
     def window_key(self, window_type: str) -> Column:
         labels = self.dim("window_type").filter(F.col("window_label") == window_type)
         return labels.select("window_key").scalar()
@@ -341,6 +397,10 @@ class Tables:
         if rows is not None:
             self._write(stored, name, rows)
             self._note(name, stored)
+            if name in MINUTE_SUMS and self.keeps_minutes:
+                low, high = stored.agg(F.min(FACTS[name].time), F.max(FACTS[name].time)).first()
+                if low is not None:
+                    self._sum_minutes(name, low, high)
             return
         days = Observation()
         dt = clock.day(FACTS[name].time)
@@ -353,6 +413,8 @@ class Tables:
             touched = [(w, d) for w, d in self._stored_folders(name) if w == self.writer and low <= d <= high]
             schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FACTS[name].schema)
             self._note(name, self.spark.read.schema(schema).parquet(*self._sources(name, touched)))
+            first, last = ((d - date(1970, 1, 1)).days * clock.DAY for d in (low, high))
+            self._sum_minutes(name, first, last + clock.DAY - 1)
 
     def _stored_folders(self, name: str) -> list[tuple[str, date]]:
         return Tables._folders(self, name)
@@ -475,6 +537,7 @@ class Tables:
             # The first write of a batch; its record is of all its rows, as a replay adds no others.
             self._write(fresh, name, rows)
             self._note(name, incoming)
+            self._sum_minutes(name, low, high)
         finally:
             if held is not None:
                 held.unpersist()

@@ -612,6 +612,7 @@ select series as symbol, open_time, bb_upper, bb_middle, bb_lower, bb_width from
         "spread_widening": stg("now_wide"),
         "low_liquidity": stg("now_thin"),
         "detect_alerts": f"select {F_ALERT} from f_alert_now",
+        "detect_alerts_by_minutes": f"select {F_ALERT} from f_alert_now",
         "price_spikes_replay": stg("replay_spike"),
         "volume_surges_replay": _fires(
             "volume_surge", "r_surge", RATIO, f">= {LIMITS.surge_ratio}",

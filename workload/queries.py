@@ -409,10 +409,20 @@ def low_liquidity(spark, sf_dir):
 @query
 def detect_alerts(spark, sf_dir):
     return rules.detect_alerts(
-        inputs.tables(spark, sf_dir), inputs.tick_as_of(spark, sf_dir), LIMITS
+        inputs.tables(spark, sf_dir), inputs.tick_as_of(spark, sf_dir), LIMITS, by_minutes=False
     )
 
 
+@query
+def detect_alerts_by_minutes(spark, sf_dir):
+    """The same poll of a store that keeps minute sums: hours of baselines without their rows."""
+    stored = inputs.tables(spark, sf_dir)
+    for name in ("trade_agg", "spread_snapshot"):
+        stored.fact(name)  # built before its minutes are summed
+    stored.keep_minutes()
+    return rules.detect_alerts(stored, inputs.tick_as_of(spark, sf_dir), LIMITS)
+
+
 @query
 def price_spikes_replay(spark, sf_dir):
     return rules.price_spikes_replay(_windows_of(spark, sf_dir))
