@@ -385,3 +385,96 @@ def test_languages_of_large_and_several_alphabets():
     model = langid.Model(tuple((name, f(4_000)) for name, f in sorted(spoken.items())))
     for name, f in spoken.items():
         assert [p for p, _ in model.predict([f(8) for _ in range(25)])].count(name) >= 24, name
+
+
+# -- main text of ordinary layouts --
+
+LONG = "Plenty of words make this paragraph long enough to surge over the threshold of the windows, says its author."
+SIX = "".join(f"<p>{LONG} {i}</p>" for i in range(6))
+WHOLE = "\n".join(["Title", *(f"{LONG} {i}" for i in range(6))])
+
+
+@pytest.mark.parametrize("page", [
+    f'<body><article class="post has-sidebar related"><h1>Title</h1>{SIX}</article></body>',
+    f'<body><div id="page" class="no-sidebar search-enabled"><article><h1>Title</h1>{SIX}</article></div></body>',
+    f'<body><div class="content"><h1>Title</h1>{SIX}</div><article><a href="1">Teaser one</a></article><article><a href="2">Teaser two</a></article></body>',
+    f'<body class="comments-open sidebar-left"><div class="related"><h1>Title</h1>{SIX}</div></body>',
+    f'<body><nav class="menu">{SIX}</nav><article><h1>Title</h1>{SIX}<div class="user-comments">{SIX}{SIX}</div></article><div class="related-posts">{SIX}</div></body>',
+    f'<body><div class="siteHeader"><p>{LONG}</p></div><div><h1>Title</h1>{SIX}</div><div class="cookie-notice"><p>{LONG}</p></div><div class="footer2">{SIX[:99]}</div></body>',
+])
+def test_pages_keep_their_article(page):
+    assert main_text.extract(page) == WHOLE
+
+
+def test_names_that_say_something_else():
+    page = f'<article><h1>Title</h1>{SIX}<div class="social-history"><p>Of old {LONG}</p></div><p class="notice-of-copyright">By {LONG}</p></article>'
+    assert main_text.extract(page) == f"{WHOLE}\nOf old {LONG}\nBy {LONG}"
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    for page in ("<div>" * 100_000 + "</td>" * 100_000 + "x", '<div class="related">' * 50_000 + "x", "<div><td>" * 60_000 + "</div>" * 60_000):
+        since = time.process_time()
+        main_text.extract(page)
+        assert time.process_time() - since < 10, page[:30]
+
+
+class PlainPage(__import__("html.parser").parser.HTMLParser):
+    """Blocks of a well-formed page that lie in its article and not beside the text, the plain way."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.path, self.blocks, self.now = [], [], []
+        self.feed(page)
+        self.close()
+        self.flush()
+
+    def flush(self):
+        text = " ".join("".join(self.now).split())
+        if text and any(t in main_text.CORE for t, _ in self.path) and not any(b for _, b in self.path):
+            self.blocks.append(text)
+        self.now = []
+
+    def handle_starttag(self, tag, attributes):
+        if tag in main_text.BLOCKS:
+            self.flush()
+        if tag in ("br", "img", "wbr", "hr", "meta", "link", "input"):
+            self.now.append("\n" * (tag != "hr"))
+            return
+        core = any(t in main_text.CORE for t, _ in self.path)
+        names = " ".join(v or "" for k, v in attributes if k in ("class", "id"))
+        roles = [v for k, v in attributes if k == "role"]
+        beside = (tag in main_text.SKIPPED or tag in main_text.ASIDE or (tag == "header" and not core) or "hidden" in dict(attributes)
+                  or any(r in main_text.ROLES for r in roles) or "display:none" in (dict(attributes).get("style") or "").replace(" ", "")
+                  or (tag not in main_text.CORE and tag not in main_text.PAGE and main_text._named(names, core) > 0))
+        self.path.append((tag, beside))
+
+    def handle_endtag(self, tag):
+        if tag in main_text.BLOCKS:
+            self.flush()
+        if any(t == tag for t, _ in self.path):
+            while self.path.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if not any(t in main_text.SKIPPED for t, _ in self.path):
+            self.now.append(data)
+
+
+def test_given_pages_equal_a_plain_reading(spark):
+    pages = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    same = [main_text.extract(p) == "\n".join(PlainPage(p).blocks) for p in pages if p]
+    assert len(same) > 200 and sum(same) >= 0.98 * len(same), sum(same) / len(same)
+
+
+def test_training_on_a_very_long_text_takes_linear_time(spark):
+    import time
+
+    words = "die der und in zu den das nicht von sie ist des sich mit dem dass er es ein ich auf so eine auch als an nach wie im für".split()
+    text = " ".join(f"{words[i % 31]} {words[i * 7 % 31]}{i % 977}" for i in range(1_200_000))
+    docs = spark.createDataFrame([(text[:300], "en")], "text string, lang string").union(
+        spark.range(1).selectExpr(f"repeat('{text[:20_000]}', 600) as text", "'de' as lang"))
+    since = time.time()
+    texts = langid.training_texts(docs)  # 12 MB in one row
+    assert [l for l, _ in texts] == ["de", "en"] and time.time() - since < 40

@@ -222,9 +222,9 @@ def training_texts(labelled: DataFrame, text: str = "text", lang: str = "lang")
     most = max(1, chars // CHUNK)
     # A share of all chunks by hash first, so that the exact choice is among few.
     share = F.create_map(*(F.lit(x) for l, n in counts.items() for x in (l, min(1.0, 8.0 * most / max(1, n)))))[F.col("l")]
-    chunks = rows.select("l", F.explode(F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), (F.length("t") - 1).cast("int")), F.lit(CHUNK)),
-        lambda i: F.substring("t", i + 1, F.lit(CHUNK)))).alias("c")).withColumn("h", F.xxhash64("c"))
+    # One pass cuts a text; a substring for each chunk would walk it from its start each time.
+    pieces = F.regexp_extract_all("t", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    chunks = rows.select("l", F.explode(pieces).alias("c")).withColumn("h", F.xxhash64("c"))
     drawn = chunks.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).distinct()
     rank = F.row_number().over(Window.partitionBy("l").orderBy("h", "c"))
     kept = drawn.withColumn("k", rank).where(F.col("k") <= most).collect()
