@@ -472,7 +472,7 @@ def test_training_on_a_very_long_text_takes_linear_time(spark):
     import time
 
     words = "die der und in zu den das nicht von sie ist des sich mit dem dass er es ein ich auf so eine auch als an nach wie im für".split()
-    text = " ".join(f"{words[i % 31]} {words[i * 7 % 31]}{i % 977}" for i in range(1_200_000))
+    text = " ".join(f"{words[i % 30]} {words[i * 7 % 30]}{i % 977}" for i in range(3_000))
     docs = spark.createDataFrame([(text[:300], "en")], "text string, lang string").union(
         spark.range(1).selectExpr(f"repeat('{text[:20_000]}', 600) as text", "'de' as lang"))
     since = time.time()
