@@ -111,3 +111,37 @@ def test_archive_folders(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert (tmp_path / "out/symbol=BTCUSDT/year=2024/month=01/day=01/hour=01").is_dir()
     assert out.filter(F.col("hour") == 1).count() == 2 and out.count() == 3
+
+
+def test_progress_is_logged_beyond_what_a_session_remembers(spark, tmp_path):
+    from tickloom.streaming.progress import ProgressLog, late_rows, parse_progress, progress_alerts
+
+    log = ProgressLog(spark, str(tmp_path / "log"))
+    assert log.rows().count() == 0
+    for i in range(300):
+        log.record(json.dumps({
+            "name": "q", "runId": f"r{i // 150}", "batchId": i, "timestamp": f"2024-01-01T00:{i // 10:02d}:{i % 10 * 6:02d}.000Z", "numInputRows": 2,
+            "durationMs": {"triggerExecution": 6000 if i == 7 else 10}, "stateOperators": [{"numRowsDroppedByWatermark": i % 3}],
+            "sources": [{"metrics": {"maxOffsetsBehindLatest": "20000" if i < 30 else "0"}}]}))
+    for _ in range(2):  # before and after it is compacted
+        assert [tuple(r) for r in late_rows(log.rows()).collect()] == [("q", 600, 300)]
+        fired = {(r.rule, r.batch_id) for r in progress_alerts(parse_progress(log.rows())).collect()}
+        assert ("slow_batch", 7) in fired and {r for r, _ in fired} == {"slow_batch", "lag"}
+        assert min(b for r, b in fired if r == "lag") == 20  # held for two minutes
+        log.compact()
+    assert len(list((tmp_path / "log").glob("part-*"))) == 1
+
+
+def test_listener_logs_every_run(spark, setup, tmp_path):
+    from tickloom.streaming.progress import ProgressLog, late_rows
+
+    tables, topic, run = setup
+    log = ProgressLog(spark, str(tmp_path / "log"))
+    spark.streams.addListener(log)
+    try:
+        for name, rows in (("a", [(1, 0), (2, 12_500)]), ("b", [(3, 1_000), (4, 30_000)])):
+            _feed(topic, name, rows)
+            log.wait_for([run()])
+    finally:
+        spark.streams.removeListener(log)
+    assert [tuple(r) for r in late_rows(log.rows()).collect()] == [("t", 4, 1)]

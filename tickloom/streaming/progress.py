@@ -1,15 +1,18 @@
-"""Rules on recorded query progress: lag, stalled ingest and slow batches."""
+"""A durable log of query progress, and rules on it: lag, stalled ingest, slow batches, late rows."""
 
 from __future__ import annotations
 
 import json
+import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tickloom.functions.clock import DAY, MINUTE, SECOND
 from tickloom.operators.blocks import trailing_avg
+from tickloom.sources.shared import Shared
 
 # Limits of the three rules and how long each must hold.
 MAX_LAG, LAG_FOR_MS = 10_000, 2 * MINUTE
@@ -22,6 +25,73 @@ _PROGRESS = (
 )
 
 
+class ProgressLog(StreamingQueryListener):
+    """Keeps each trigger's progress as one small file of a shared folder, whichever driver ran it.
+
+    A session remembers the last 100 triggers of a query only, and forgets them when it ends.
+    Files are named by run, batch and time, so a repeated event replaces itself.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder.rstrip("/")
+        self._shared, self._ended = Shared(spark, folder), set()
+        self._changed = threading.Condition()
+
+    def record(self, progress: str) -> None:
+        p = json.loads(progress)
+        stamp = p["timestamp"].replace(":", "")
+        self._shared.write_text(f"{self._folder}/{p['runId']}-{p['batchId']}-{stamp}.json", " ".join(progress.split()) + "\n")
+
+    def rows(self) -> DataFrame:
+        """All recorded progress as JSON rows."""
+        if not self._shared.data_files(self._folder):
+            return self._spark.createDataFrame([], "value string")
+        return self._spark.read.text(self._folder)
+
+    def compact(self) -> None:
+        """One file for all that is recorded so far."""
+        files = self._shared.data_files(self._folder)
+        if len(files) > 1:
+            self._spark.read.text(files).coalesce(1).write.mode("append").text(self._folder)
+            for f in files:
+                self._shared.delete(f)
+
+    def wait_for(self, queries: list[StreamingQuery], seconds: float = 60.0) -> None:
+        """Events come after a query has ended: waits until all of these have."""
+        runs, until = {str(q.runId) for q in queries}, time.monotonic() + seconds
+        with self._changed:
+            while not runs <= self._ended and (left := until - time.monotonic()) > 0:
+                self._changed.wait(left)
+        if not runs <= self._ended:
+            raise TimeoutError("progress of ended queries has not arrived")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.record(event.progress.json)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+
+def late_rows(df: DataFrame) -> DataFrame:
+    """Of progress JSON, by query: rows read, and rows that came too late for their windows.
+
+    Late rows are counted where they would enter the state, after a task has combined its own.
+    """
+    schema = "name string, numInputRows long, stateOperators array<struct<numRowsDroppedByWatermark: long>>"
+    p = df.select(F.from_json("value", schema).alias("p"))
+    dropped = F.aggregate("p.stateOperators", F.lit(0).cast("long"), lambda a, s: a + F.coalesce(s["numRowsDroppedByWatermark"], F.lit(0)))
+    return p.groupBy(F.col("p.name").alias("name")).agg(
+        F.sum("p.numInputRows").alias("input_rows"), F.sum(F.coalesce(dropped, F.lit(0))).alias("late_rows"))
+
+
 def progress_rows(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
     """The progress a session still remembers, as JSON rows to be appended to a log."""
     lines = [(json.dumps(dict(p), default=str),) for q in queries for p in q.recentProgress]

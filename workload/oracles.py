@@ -791,6 +791,10 @@ union all select 'quotes', 'no symbol', count(*) from quotes where symbol is nul
 union all select 'klines', 'not closed', count(*) from klines where not is_closed having count(*) > 0""",
         "stream_late_rows": f"""
 select {F_TRADE} from f_trade, trade_close where window_key = 2 and window_end <= mark""",
+        "late_rows_logged": """
+select 'late' as name, count(*) + count(*) filter (where trade_time < low + (high - low) // 2) as input_rows,
+  true as some_late
+from trades, (select min(trade_time) as low, max(trade_time) as high from trades)""",
         "stream_interval_trigger": f"""
 select {F_SPREAD} from f_spread, quote_close where snapshot_time + 1000 <= mark""",
         "expire_stored": f"""

@@ -19,6 +19,7 @@ from tickloom import schemas
 from tickloom.session import scratch_dir
 from tickloom.sources.tables import Tables
 from tickloom.streaming import sinks
+from tickloom.streaming.progress import late_rows
 from workload import inputs, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -718,6 +719,13 @@ def stream_late_rows(spark, sf_dir):
     return streams.run_late_trades(spark, sf_dir).fact("trade_agg")
 
 
+@query
+def late_rows_logged(spark, sf_dir):
+    """Rows read and rows too late, from the durable log of a query's three runs."""
+    found = late_rows(streams.run_logged(spark, sf_dir).rows())
+    return found.select("name", "input_rows", (F.col("late_rows") > 0).alias("some_late"))
+
+
 @query
 def stream_interval_trigger(spark, sf_dir):
     return streams.run_on_interval(spark, sf_dir).fact("spread_snapshot")

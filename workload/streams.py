@@ -19,6 +19,7 @@ from tickloom.session import scratch_dir
 from tickloom.sources.tables import Tables
 from tickloom.sources.topics import decode, read_topic
 from tickloom.streaming import sinks
+from tickloom.streaming.progress import ProgressLog
 from tickloom.streaming.queries import Spec, run_all, start, watermarked
 from workload import inputs
 
@@ -76,7 +77,18 @@ def run_bad_trades(spark: SparkSession, sf_dir: str) -> Tables:
     return tables
 
 
-def run_late_trades(spark: SparkSession, sf_dir: str) -> Tables:
+def run_logged(spark: SparkSession, sf_dir: str) -> ProgressLog:
+    """The log of :func:`run_late_trades`: its three runs on one checkpoint."""
+    log = ProgressLog(spark, scratch_dir(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        run_late_trades(spark, sf_dir, log)
+    finally:
+        spark.streams.removeListener(log)
+    return log
+
+
+def run_late_trades(spark: SparkSession, sf_dir: str, log: ProgressLog | None = None) -> Tables:
     """As :func:`run_trades`; at last the first slice comes again, long after its windows closed."""
     root = scratch_dir(spark, "late")
     tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
@@ -85,7 +97,9 @@ def run_late_trades(spark: SparkSession, sf_dir: str) -> Tables:
     def run() -> None:
         ticks = trades.valid_trades(_topic(spark, f"{root}/topic", schemas.TRADE))
         frame = trades.ohlcv(watermarked(ticks, "trade_time"), "5 seconds")
-        run_all(spark, [Spec("late", frame, sinks.trades_batch(tables), f"{root}/checkpoint")])
+        ran = run_all(spark, [Spec("late", frame, sinks.trades_batch(tables), f"{root}/checkpoint")])
+        if log is not None:
+            log.wait_for(ran)
 
     in_slices(messages, "trade_time", f"{root}/topic", run)
     low, high = messages.agg(F.min("trade_time"), F.max("trade_time")).first()
