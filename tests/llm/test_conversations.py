@@ -170,9 +170,10 @@ def plain_trie(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("stretch", [2, 4096])
+@pytest.mark.parametrize("stretch,frequent", [(2, 10_000), (4096, 3)])
 @pytest.mark.parametrize("parts", ["1", "9"])
-def test_trie_of_odd_rows(spark, monkeypatch, stretch, parts):
+def test_trie_of_odd_rows(spark, monkeypatch, stretch, frequent, parts):
+    monkeypatch.setattr(trie, "MOST_FREQUENT", frequent)
     monkeypatch.setattr(trie, "STRETCH", stretch)
     rows = odd_rows(3, same=40)
     spark.conf.set("spark.sql.shuffle.partitions", parts)

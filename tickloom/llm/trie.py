@@ -38,6 +38,8 @@ from tickloom.llm.turns import digest, in_order
 STRETCH = 4096
 #: Most skeleton nodes (three short columns) that are broadcast for their members' smallest id.
 MOST_BROADCAST = 100_000
+#: Ids of more than this part of all rows are frequent, so there are at most as many (16 bytes each).
+MOST_FREQUENT = 10_000
 ID = 16
 NO_IDS = hashlib.sha256(b"").hexdigest()
 COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
@@ -62,8 +64,12 @@ def _id(turn: Column) -> Column:
 
 def _shared(rows: DataFrame, convs: DataFrame) -> DataFrame:
     """``convs`` (conv_id, length) with ``shared``: the depth down to which others have the same turns."""
-    common = rows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
-    deep = rows.join(common, ["a", "b"], "left_semi").groupBy("conv_id").agg(F.max("depth").alias("shared"))
+    common = stored(rows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1"), "trie-common")
+    # The rows of a very common beginning stay where they are; any other id has few enough for one task.
+    frequent = F.broadcast(common.where(F.col("n") * MOST_FREQUENT > rows.count()).select("a", "b"))
+    rest = rows.join(frequent, ["a", "b"], "left_anti").join(common, ["a", "b"], "left_semi")
+    both = rows.join(frequent, ["a", "b"], "left_semi").unionByName(rest)
+    deep = both.groupBy("conv_id").agg(F.max("depth").alias("shared"))
     return convs.join(deep, "conv_id", "left").select("conv_id", "length", F.coalesce("shared", F.lit(0)).cast("bigint").alias("shared"))
 
 
