@@ -104,6 +104,33 @@ def test_suite_finds_each_fault_and_nothing_else(spark, columns, want):
     assert _failures(spark, _facts(spark, **columns)) == want
 
 
+def test_ledger_reads_changed_days_only(spark, tmp_path, monkeypatch):
+    t, read = Tables(spark, root=str(tmp_path), calendar=inputs.CALENDAR), []
+    whole = quality._checked_days
+    monkeypatch.setattr(quality, "_checked_days", lambda tables, fact, as_of, days: read.append(sorted(str(d) for d in days)) or whole(tables, fact, as_of, days))
+
+    def both(as_of):
+        read.clear()
+        days = {tuple(r) for r in quality.run_checks_by_day(t, as_of, ["trade_agg", "order_flow"]).collect()}
+        assert days == {tuple(r) for r in quality.run_checks(t, as_of, ["trade_agg", "order_flow"]).collect()}
+        return list(read)
+
+    day = 86_400_000
+    assert both(T0) == []  # nothing is stored
+    start = f"{T0}L + (id div 7) * {day}L + if(id % 7 = 6, 5, id % 7) * 1000"
+    t.append(_facts(spark, window_start=start, symbol_key="if(id = 9, 99, 1)", price_change_pct="if(id = 3, null, 0)"), "trade_agg")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert both(T0 + 9 * day) == [days]
+    assert both(T0 + 9 * day) == []
+    assert both(T0 + 2 * day - 20_000) == [days[2:]]  # its rows are in the future now
+    assert both(T0 + 2 * day - 10_000) == [days[2:]]
+    assert both(T0 + 9 * day) == []
+    t.append(_facts(spark, window_start=f"{T0 + day}L + id * 1000"), "trade_agg")
+    assert both(T0 + 9 * day) == [days[1:2]]  # more copies of keys
+    t.compact("trade_agg", t.days("trade_agg")[0])
+    assert both(T0 + 9 * day) == [days[:1]]
+
+
 def test_single_checks(spark):
     r = spark.createDataFrame([(101.0,), (-1.0,), (50.0,), (None,)], "rsi_14 double")
     assert quality.rsi_in_range(r).count() == 2

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import copy
+import hashlib
 import re
 import threading
 import time
@@ -134,6 +135,20 @@ class Tables:
         """Days the stored fact has, from the folder names."""
         return sorted({d for _, d in self._folders(name)})
 
+    def keeps(self, path: str) -> bool:
+        """Whether a folder of the store is there."""
+        return self._shared.exists(path)
+
+    def versions(self, name: str) -> dict[date, str]:
+        """By stored day, a digest of the files that hold it: it changes with each write to the day."""
+        self._folders(name)  # a catalog that builds its facts does it now
+        replaced, files = self._replaced(name), defaultdict(list)
+        for path in self._shared.matching(f"{self.path(name)}/writer=*/dt=*/*"):
+            file = "/".join(path.rsplit("/", 3)[1:])
+            if file not in replaced and not re.search(r"/[._][^/]*$", file):
+                files[date.fromisoformat(file.split("/")[1].removeprefix("dt="))].append(file)
+        return {d: hashlib.md5("\n".join(sorted(f)).encode()).hexdigest() for d, f in files.items()}
+
     def fact(
         self, name: str, from_ms: int | Column | None = None, to_ms: int | Column | None = None,
         days: Collection[date] | None = None,

@@ -767,6 +767,7 @@ from (select *, lag(minute) over (order by minute) as previous
         "orphans": f"select {TRADE_COLUMNS} from trades t where not exists"
                    " (select 1 from dim_symbol d where d.symbol = t.symbol)",
         "run_checks": " union all ".join(checks),
+        "run_checks_by_day": " union all ".join(checks),
         "insert_if_absent": f"""
 select {QUOTE_COLUMNS} from quotes q
 where symbol is not null and not exists (select 1 from quotes o where o.symbol = q.symbol

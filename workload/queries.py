@@ -626,6 +626,14 @@ def orphans(spark, sf_dir):
     return keys.orphans(inputs.raw_trades(spark, sf_dir).drop("event_type"), known, "symbol")
 
 
+@query
+def run_checks_by_day(spark, sf_dir):
+    """The same results from the ledger of days; the second run finds no day changed."""
+    t, as_of = inputs.tables(spark, sf_dir), inputs.tick_as_of(spark, sf_dir) - 60_000
+    quality.run_checks_by_day(t, as_of)
+    return quality.run_checks_by_day(t, as_of)
+
+
 @query
 def run_checks(spark, sf_dir):
     t = inputs.tables(spark, sf_dir)
