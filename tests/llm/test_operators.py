@@ -372,3 +372,27 @@ def test_paths_longer_than_the_tree_are_a_step_of_their_own(spark):
     by = {p: (t, x) for p, t, x in got}
     assert len(got) == 3 and by["/a/b/c/d/e"][0] == by["/a/b/c"][0] + "/**"
     assert by["/a/b/c/d/e"][1] > 0.9 and by["/a/b/c"][1] < 0.1
+
+
+def test_stages_with_odd_rows(spark, sf, odd):
+    """Nulls, empty and very long texts, repeated rows and an empty table go through all five stages."""
+    for docs in (odd, odd.limit(0)):
+        before = docs
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            after = stage(spark, before, sf)
+            rows = after.collect()
+            if k + 1 < len(corpus_pipeline.STAGES):
+                assert after.columns == docs.columns, name
+                texts = [r["text"] for r in before.collect()]
+                assert len(rows) <= len(texts), name
+                if name != "secret_scans":
+                    assert all(r["text"] in texts for r in rows), name
+                else:
+                    assert len(rows) == len(texts) and not any("abcdefgh" in (r["text"] or "") for r in rows)
+            if not docs.head(1):
+                assert rows == [], name
+            before = stored(after, f"odd-{name}")
+    kept = corpus_pipeline.near_duplicates(spark, odd, sf).collect()  # on its own: what the rules would have dropped
+    assert sum(r["doc_id"] is None for r in kept) == 2 and sum(r["text"] is None for r in kept) == 2
+    masked = {r["doc_id"]: r for r in corpus_pipeline.mask_secrets(spark, odd, sf).collect()}
+    assert masked[4]["text"] is None and masked[4]["n_chars"] is None and masked[9]["text"].endswith("[assign]")
