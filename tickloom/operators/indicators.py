@@ -195,7 +195,11 @@ def technical_indicators(klines: DataFrame, block_ms: int = BLOCK_MS) -> DataFra
         "symbol_key", "interval_key", "datetime_key", "open_time",
         "high", "low", "close", "volume",
     )
-    df = with_frame(candles, ["symbol_key", "interval_key"], MACD_FRAME, block_ms)
+    return over_frames(with_frame(candles, ["symbol_key", "interval_key"], MACD_FRAME, block_ms))
+
+
+def over_frames(framed: DataFrame) -> DataFrame:
+    """The indicator fact of candles that have their ``frame``."""
     for step in (with_rsi, with_macd, with_bollinger, with_atr, with_obv):
-        df = step(df)
-    return conform(df, "technical_indicator")
+        framed = step(framed)
+    return conform(framed, "technical_indicator")

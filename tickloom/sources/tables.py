@@ -304,6 +304,39 @@ class Tables:
             back *= 4
         return None
 
+    def preceding_days(
+        self, name: str, keys: DataFrame, before_ms: int | None, depth: int
+    ) -> list[date] | None:
+        """Days that hold the newest ``depth`` rows of each of ``keys`` before ``before_ms``.
+
+        ``keys`` are columns of the recorded series. Of a key with fewer rows it is all its days, so
+        a series that is short or was silent opens its own days and none between. ``None``: no record.
+        """
+        seen, by = self.seen(name), keys.columns
+        if seen is None:
+            return None
+        known = {r[0] for r in seen.select("dt").distinct().collect()}  # as many as day folders
+        last = None if before_ms is None else before_ms - 1
+        stored = {d for d in self.days(name) if last is None or d <= _day(last)}
+        had = seen if last is None else seen.filter(F.col("first") <= last)
+        # Of a day that goes on after the time, it isn't known how many rows count.
+        rows = F.col("rows") if last is None else F.when(F.col("last") <= last, F.col("rows")).otherwise(0)
+        newer = Window.partitionBy(*by).orderBy(F.desc("dt")).rowsBetween(Window.unboundedPreceding, -1)
+        own = (
+            had.withColumn("rows", rows).join(keys, by, "left_semi")
+            .groupBy(*by, "dt").agg(F.sum("rows").alias("rows"))
+            .withColumn("newer", F.coalesce(F.sum("rows").over(newer), F.lit(0)))
+        )
+        taken = depth
+        while True:  # a recorded number may exceed the stored one: what the days hold is counted
+            found = own.filter(F.col("newer") < taken).select("dt").distinct().collect()
+            days = sorted(({r[0] for r in found} & stored) | (stored - known))
+            more = own.filter(F.col("newer") >= taken).select(*by).distinct()
+            counted = self.fact(name, to_ms=last, days=days).groupBy(*by).agg(F.count("*").alias("_n"))
+            if more.join(counted.filter(F.col("_n") >= depth), by, "left_anti").isEmpty():
+                return days
+            taken *= 4
+
     def newest_from(
         self, name: str, rows: Callable[..., DataFrame], depth: int = 1,
         key: str = "symbol_key", symbols: DataFrame | None = None, of: Column | None = None,

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tickloom.functions.clock import DAY
 from tickloom.operators import alerts as rules
 from tickloom.operators.archive import add_partition_cols, archivable
 from tickloom.operators.candles import kline_fact
-from tickloom.operators.indicators import BLOCK_MS, MACD_FRAME, technical_indicators
+from tickloom.operators.indicators import BLOCK_MS, MACD_FRAME, over_frames, technical_indicators
 from tickloom.operators.quotes import spread_fact
 from tickloom.operators.rejects import rejected
 from tickloom.operators.trades import order_flow_fact, trade_agg_fact
@@ -108,16 +110,7 @@ def indicators_batch(tables, block_ms: int = BLOCK_MS) -> Sink:
             span = first, last
             order = [F.col("close_time"), F.col("trade_count")]
             tables.insert(facts, "kline_closed", order, span, rows=rows)
-            since = tables.reach_back(
-                "kline_closed", facts.select(*series).distinct(), first, MACD_FRAME - 1
-            )
-            # Only the batch's own series: a new listing widens the look-back, not the work.
-            stored = tables.fact("kline_closed", since, last).join(
-                facts.select(*series).distinct(), series, "left_semi"
-            )
-            wanted = technical_indicators(stored, _block(since, last, block_ms)).join(
-                facts.select(*series, "open_time"), [*series, "open_time"], "left_semi"
-            )
+            wanted = _from_stored(tables, facts, first, last, block_ms)
             tables.insert(wanted, "technical_indicator", span=span, unique=True, rows=rows)
         finally:
             facts.unpersist()
@@ -125,6 +118,51 @@ def indicators_batch(tables, block_ms: int = BLOCK_MS) -> Sink:
     return sink
 
 
+def _from_stored(tables, facts: DataFrame, first: int, last: int, block_ms: int) -> DataFrame:
+    """The indicators of candles that are stored, from the stored candles of their series."""
+    name, series = "kline_closed", ["symbol_key", "interval_key"]
+    wanted = facts.select(*series).distinct()
+    days = tables.preceding_days(name, wanted, first, MACD_FRAME - 1)
+    if days is None:
+        since = tables.reach_back(name, wanted, first, MACD_FRAME - 1)
+        stored = tables.fact(name, since, last)
+    else:
+        low, high = (date(1970, 1, 1) + timedelta(days=t // DAY) for t in (first, last))
+        days = sorted({*days, *(d for d in tables.days(name) if low <= d <= high)})
+        since = (days[0] - date(1970, 1, 1)).days * DAY
+        stored = tables.fact(name, to_ms=last, days=days)
+    # Only the batch's own series: a new listing widens the look-back, not the work.
+    return technical_indicators(
+        stored.join(wanted, series, "left_semi"), _block(since, last, block_ms)
+    ).join(facts.select(*series, "open_time"), [*series, "open_time"], "left_semi")
+
+
+def framed_batch(tables, block_ms: int = BLOCK_MS) -> Sink:
+    """Candles with their kept frames into the candle fact and the indicator fact.
+
+    No stored history is read, but the keys of the batch's own time range. Only candles that came
+    later than their series' kept candles reach take their frames from the store.
+    """
+    def sink(df: DataFrame, batch_id: int) -> None:
+        batch = df.persist()
+        try:
+            first, last, rows = _measured(batch, "open_time")
+            if not rows:
+                return
+            tables.insert(batch.drop("frame"), "kline_closed", span=(first, last), unique=True, rows=rows)
+            found = over_frames(batch.filter("frame is not null"))
+            tables.insert(found, "technical_indicator", span=(first, last), unique=True, rows=rows)
+            behind = batch.filter("frame is null")
+            first, last, rows = _measured(behind, "open_time")
+            if rows:
+                found = _from_stored(tables, behind, first, last, block_ms)
+                tables.insert(found, "technical_indicator", span=(first, last), unique=True, rows=rows)
+        finally:
+            batch.unpersist()
+
+    return sink
+
+
 def _store_alerts(tables, found: list[DataFrame], span: tuple[int, int]) -> None:
     """Stores the alerts of the batch's own time range."""
     fresh = rules.alert_fact(found, tables.dim("alert_type")).filter(

@@ -168,6 +168,18 @@ from {prefix}_values""",
     }
 
 
+def _tech(source: str) -> str:
+    return f"""
+select series as symbol_key, {_dtkey('open_time')} as datetime_key, 1 as interval_key, open_time,
+  cast(rsi_14 as decimal(8,4)) as rsi_14, cast(macd as decimal(18,8)) as macd,
+  cast(macd_signal as decimal(18,8)) as macd_signal,
+  cast(macd_hist as decimal(18,8)) as macd_hist, cast(bb_upper as decimal(18,8)) as bb_upper,
+  cast(bb_middle as decimal(18,8)) as bb_middle, cast(bb_lower as decimal(18,8)) as bb_lower,
+  cast(bb_width as decimal(24,6)) as bb_width, cast(atr_14 as decimal(18,8)) as atr_14,
+  cast(obv as decimal(24,8)) as obv
+from {source}"""
+
+
 def _trailing(source: str, ts: str, value: str, span: int) -> str:
     return f"""
 select symbol_key, {ts} as ts, cast({value} as double) as value,
@@ -310,15 +322,10 @@ select symbol_key as series, open_time, cast(high as double) as high, cast(low a
         "raw_candles": "select symbol as series, open_time, high, low, close, volume from good_klines",
         **_indicator_parts("candles", "ind"),
         **_indicator_parts("raw_candles", "rawind"),
-        "f_tech": f"""
-select series as symbol_key, {_dtkey('open_time')} as datetime_key, 1 as interval_key, open_time,
-  cast(rsi_14 as decimal(8,4)) as rsi_14, cast(macd as decimal(18,8)) as macd,
-  cast(macd_signal as decimal(18,8)) as macd_signal,
-  cast(macd_hist as decimal(18,8)) as macd_hist, cast(bb_upper as decimal(18,8)) as bb_upper,
-  cast(bb_middle as decimal(18,8)) as bb_middle, cast(bb_lower as decimal(18,8)) as bb_lower,
-  cast(bb_width as decimal(24,6)) as bb_width, cast(atr_14 as decimal(18,8)) as atr_14,
-  cast(obv as decimal(24,8)) as obv
-from ind""",
+        "early_candles": f"select * from candles where open_time // {KLINE_MS} % 23 <> 5",
+        **_indicator_parts("early_candles", "early"),
+        "f_tech": _tech("ind"),
+        "f_tech_early": _tech("early"),
         "t5": "select * from f_trade where window_key = 2",
         "depths": "select symbol_key, snapshot_time, spread, bid_qty + ask_qty as depth from f_spread",
         "r_spike": """
@@ -808,6 +815,9 @@ select {F_FLOW} from f_flow, trade_close where window_key = 1 and window_start +
         "stream_spread_snapshot": f"""
 select {F_SPREAD} from f_spread, quote_close where snapshot_time + 1000 <= mark""",
         "stream_klines_indicators": f"select {F_TECH} from f_tech",
+        "stream_kept_indicators": f"""
+select {F_TECH} from (select * from f_tech_early
+  union all select * from f_tech where open_time // {KLINE_MS} % 23 = 5)""",
         "stream_alerts": f"""
 select {F_ALERT} from f_alert, trade_close, quote_close
 where case when alert_type_key in (1, 2) then triggered_at + 5000 <= trade_close.mark

@@ -754,6 +754,12 @@ def stream_klines_indicators(spark, sf_dir):
     return streams.run_klines(spark, sf_dir).fact("technical_indicator")
 
 
+@query
+def stream_kept_indicators(spark, sf_dir):
+    """Indicators from kept frames over three runs, late candles in the last."""
+    return streams.run_kept_klines(spark, sf_dir).fact("technical_indicator")
+
+
 @query
 def stream_alerts(spark, sf_dir):
     return streams.run_alerts(spark, sf_dir)

@@ -19,6 +19,7 @@ from tickloom.session import scratch_dir
 from tickloom.sources.tables import Tables
 from tickloom.sources.topics import decode, read_topic
 from tickloom.streaming import sinks
+from tickloom.streaming.frames import last_candles, with_kept_frame
 from tickloom.streaming.progress import ProgressLog
 from tickloom.streaming.queries import Spec, run_all, start, watermarked
 from workload import inputs
@@ -154,6 +155,31 @@ def run_klines(spark: SparkSession, sf_dir: str) -> Tables:
     return tables
 
 
+def run_kept_klines(spark: SparkSession, sf_dir: str) -> Tables:
+    """As :func:`run_klines` with frames kept as state; at last candles come that were held back.
+
+    Each of the two slices and the late candles are a run of its own on one checkpoint.
+    """
+    root = scratch_dir(spark, "kept")
+    tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
+
+    def run() -> None:
+        facts = candles.kline_fact(
+            candles.closed_klines(_topic(spark, f"{root}/topic", schemas.KLINE)),
+            {n: tables.dim(n) for n in ("symbol", "kline_interval")})
+        frames = with_kept_frame(facts, last_candles(tables))
+        sink = sinks.framed_batch(tables, inputs.BLOCK_MS)
+        run_all(spark, [Spec("kept", frames, sink, f"{root}/checkpoint")])
+
+    klines = inputs.raw_klines(spark, sf_dir)
+    late = F.expr(f"open_time div {inputs.KLINE_MS} % 23 = 5")
+    in_slices(klines.filter(~late), "open_time", f"{root}/topic", run)
+    low, high = klines.agg(F.min("open_time"), F.max("open_time")).first()
+    deliver(klines.filter(late), "open_time", f"{root}/topic", low, high + 1)
+    run()
+    return tables
+
+
 def run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     spikes = run_trades(spark, sf_dir, "5 seconds", sinks.trade_alerts_batch)
     spreads = run_quotes(spark, sf_dir, sinks.quote_alerts_batch)
