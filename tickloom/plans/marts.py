@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 from datetime import date as Date
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 from tickloom.functions import clock, labels
 from tickloom.functions.numbers import decimal_avg, round_numeric
 from tickloom.operators.ordering import latest_per
-from tickloom.plans import staging
+from tickloom.plans import staging, states
+from tickloom.plans.states import State
 
 
 def _exact(column: str, scale: int) -> Column:
@@ -64,6 +67,52 @@ def mart_daily_performance(
     )
 
 
+def _kept_sum(expression: str, scale: int) -> str:
+    """As :func:`_exact` of stored columns, summed."""
+    return f"sum({re.sub(r'[a-z_]+', lambda c: f'cast(double({c[0]}) as decimal(28,{scale}))', expression)})"
+
+
+# What is kept of each symbol's candles of a day.
+DAYS = State(
+    "candle_days", "kline_closed",
+    "symbol_key int, low double, high double, open double, close double, volume decimal(38,8), "
+    "trades long, candles long, bullish long, bearish long, amplitude decimal(38,6), amplitudes long",
+    {"symbol_key": "symbol_key"},
+    {
+        "low": "min(double(low))", "high": "max(double(high))",
+        "open": "min_by(double(open), open_time)", "close": "max_by(double(close), open_time)",
+        "volume": _kept_sum("volume", 8), "trades": "sum(trade_count)", "candles": "count(*)",
+        "bullish": "count_if(is_bullish)", "bearish": "count_if(not is_bullish)",
+        "amplitude": _kept_sum("amplitude", 6), "amplitudes": "count(amplitude)",
+    },
+)
+
+
+def daily_performance_by_day(tables, as_of_ms: int | None = None, days: int = 30) -> DataFrame:
+    """As :func:`mart_daily_performance`, reading candles of days that were written to since the last call."""
+    now = _now() if as_of_ms is None else as_of_ms
+    since = (now // clock.DAY - days) * clock.DAY
+    kept = states.by_day(tables, DAYS, since).filter(_in_calendar(tables, F.unix_date("dt").cast("long") * clock.DAY))
+    return kept.join(tables.symbols().select("symbol_key", "symbol"), "symbol_key").select(
+        "symbol", F.col("dt").alias("date"),
+        F.round("low", 8).alias("day_low"), F.round("high", 8).alias("day_high"),
+        F.round("open", 8).alias("day_open"), F.round("close", 8).alias("day_close"),
+        F.round(F.col("volume").cast("double"), 8).alias("day_volume"), F.col("trades").alias("day_trade_count"),
+        F.col("candles").alias("candle_count"), F.col("bullish").alias("bullish_candles"),
+        F.col("bearish").alias("bearish_candles"),
+        round_numeric(decimal_avg(F.col("amplitude"), F.col("amplitudes")), 4).alias("avg_amplitude"),
+    ).orderBy(F.col("date").desc(), "symbol")
+
+
+def _now() -> int:
+    return int(time.time() * 1000)
+
+
+def _in_calendar(tables, ms: Column) -> Column:
+    """Whether the computed calendar, which has whole days, holds a time."""
+    return tables.calendar.holds(clock.datetime_key(ms))
+
+
 def mart_technical_signals(tables) -> DataFrame:
     def signals(from_ms: int | None = None, to_ms: int | None = None, **bounds) -> DataFrame:
         bounds |= {"from_ms": from_ms, "to_ms": to_ms}
@@ -136,6 +185,50 @@ def mart_spread_by_session(
     )
 
 
+# What is kept of each symbol's snapshots of an hour.
+HOURS = State(
+    "spread_hours", "spread_snapshot",
+    "symbol_key int, hour long, spread_pct decimal(38,6), spread_pcts long, spread decimal(38,8), "
+    "spreads long, imbalance decimal(38,6), imbalances long, depth decimal(38,8), snapshots long",
+    {"symbol_key": "symbol_key", "hour": f"floor(snapshot_time / double({clock.HOUR})) * {clock.HOUR}L"},
+    {
+        "spread_pct": _kept_sum("spread_pct", 6), "spread_pcts": "count(spread_pct)",
+        "spread": _kept_sum("spread", 8), "spreads": "count(spread)",
+        "imbalance": _kept_sum("liquidity_imbalance", 6), "imbalances": "count(liquidity_imbalance)",
+        "depth": _kept_sum("bid_qty + ask_qty", 8), "snapshots": "count(*)",
+    },
+    "spread > 0",
+)
+
+
+def spread_by_session_by_day(tables, as_of_ms: int | None = None, span_ms: int = clock.DAY) -> DataFrame:
+    """As :func:`mart_spread_by_session`: whole hours from kept sums, snapshots of the first hour only.
+
+    A session begins and ends with an hour.
+    """
+    since = (_now() if as_of_ms is None else as_of_ms) - span_ms
+    whole = since // clock.HOUR * clock.HOUR + clock.HOUR
+    first = tables.fact("spread_snapshot", since, whole - 1).filter(F.col("snapshot_time") > since)
+    hours = states.by_day(tables, HOURS, whole).drop("dt").filter(F.col("hour") >= whole).unionByName(states.summed(first, HOURS))
+
+    def mean(parts: str, n: str, digits: int) -> Column:
+        return round_numeric(decimal_avg(F.sum(parts), F.sum(n)), digits)
+
+    return (
+        hours.filter(_in_calendar(tables, F.col("hour")))
+        .join(tables.symbols().select("symbol_key", "symbol"), "symbol_key")
+        .groupBy("symbol", clock.trading_session("hour").alias("trading_session"))
+        .agg(
+            mean("spread_pct", "spread_pcts", 4).alias("avg_spread_pct"),
+            mean("spread", "spreads", 8).alias("avg_spread_abs"),
+            mean("imbalance", "imbalances", 4).alias("avg_imbalance"),
+            mean("depth", "snapshots", 4).alias("avg_total_qty"),
+            F.sum("snapshots").alias("snapshot_count"),
+        )
+        .orderBy(F.col("avg_spread_pct").desc(), "symbol", "trading_session")
+    )
+
+
 def mart_alert_summary(
     tables, as_of_ms: int | Column | None = None, span_ms: int = clock.DAY
 ) -> DataFrame:
@@ -182,6 +275,7 @@ def materialize(df: DataFrame, name: str, kind: str = "view") -> None:
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
+        df.sparkSession.catalog.dropTempView(name)  # a view of that name would hide the table
         df.write.mode("overwrite").saveAsTable(name)
         df.sparkSession.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
     else:
@@ -192,16 +286,25 @@ def materialize(df: DataFrame, name: str, kind: str = "view") -> None:
 STORED_MARTS = ("mart_daily_performance", "mart_spread_by_session")
 
 
-def refresh_marts(tables, as_of_ms: int | Column | None = None) -> list[str]:
-    """Publishes all six marts."""
+def refresh_marts(
+    tables, as_of_ms: int | Column | None = None, stored: tuple[str, ...] = STORED_MARTS
+) -> list[str]:
+    """Publishes all six marts, those of ``stored`` as tables.
+
+    Over stored facts the two marts of a history merge kept results by day, so that a refresh
+    reads the days that were written to since the last one.
+    """
+    merged = states.kept(tables) and not isinstance(as_of_ms, Column)
+    daily = daily_performance_by_day if merged else mart_daily_performance
+    sessions = spread_by_session_by_day if merged else mart_spread_by_session
     marts = {
         "mart_latest_prices": mart_latest_prices(tables),
-        "mart_daily_performance": mart_daily_performance(tables, as_of_ms),
+        "mart_daily_performance": daily(tables, as_of_ms),
         "mart_technical_signals": mart_technical_signals(tables),
         "mart_orderflow_summary": mart_orderflow_summary(tables, as_of_ms),
-        "mart_spread_by_session": mart_spread_by_session(tables, as_of_ms),
+        "mart_spread_by_session": sessions(tables, as_of_ms),
         "mart_alert_summary": mart_alert_summary(tables, as_of_ms),
     }
     for name, df in marts.items():
-        materialize(df, name, "table" if name in STORED_MARTS else "view")
+        materialize(df, name, "table" if name in stored else "view")
     return list(marts)

@@ -661,6 +661,14 @@ select symbol, trading_session,
   {_mean('liquidity_imbalance', 6, 4)} as avg_imbalance,
   {_mean('bid_qty + ask_qty', 8, 4)} as avg_total_qty, count(*) as snapshot_count
 from s_spread_c where snapshot_time > {CALENDAR_AS_OF} - 86400000
+group by symbol, trading_session""",
+        "refreshed_daily_performance": "select * from days",
+        "spread_by_session_merged": f"""
+select symbol, trading_session,
+  {_mean('spread_pct', 6, 4)} as avg_spread_pct, {_mean('spread', 8, 8)} as avg_spread_abs,
+  {_mean('liquidity_imbalance', 6, 4)} as avg_imbalance,
+  {_mean('bid_qty + ask_qty', 8, 4)} as avg_total_qty, count(*) as snapshot_count
+from s_spread_c where snapshot_time > {CALENDAR_AS_OF} - 1234567 - 86400000
 group by symbol, trading_session""",
         "mart_alert_summary": f"""
 select v.*, {TICK_AS_OF} - a.triggered_at as age_ms

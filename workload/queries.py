@@ -474,6 +474,22 @@ def mart_spread_by_session(spark, sf_dir):
     return marts.mart_spread_by_session(t, inputs.CALENDAR_AS_OF)
 
 
+@query
+def refreshed_daily_performance(spark, sf_dir):
+    """The daily mart of a second refresh: no day changed, so its days are merged from the first one's."""
+    t = inputs.tables(spark, sf_dir)
+    for _ in range(2):
+        marts.refresh_marts(t, inputs.CALENDAR_AS_OF, stored=())
+    return spark.table("mart_daily_performance")
+
+
+@query
+def spread_by_session_merged(spark, sf_dir):
+    """Sessions of a span that begins within an hour, from kept sums by hour."""
+    t = inputs.tables(spark, sf_dir, "calendar")
+    return marts.spread_by_session_by_day(t, inputs.CALENDAR_AS_OF - 1_234_567)
+
+
 @query
 def mart_alert_summary(spark, sf_dir):
     as_of = inputs.tick_as_of(spark, sf_dir)
