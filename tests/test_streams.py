@@ -113,6 +113,24 @@ def test_archive_folders(spark, tmp_path):
     assert out.filter(F.col("hour") == 1).count() == 2 and out.count() == 3
 
 
+def test_archive_of_a_hot_folder_is_dealt_evenly(spark, tmp_path):
+    hot = spark.range(9_000).selectExpr("'BTCUSDT' as symbol", f"{T0} + id as trade_time", "id as trade_id")
+    rest = spark.range(1_000).selectExpr("concat('S', id % 50) as symbol", f"{T0} + id as trade_time", "id as trade_id")
+    odd = spark.sql("select 'BTCUSDT' as symbol, cast(null as bigint) as trade_time, -1L as trade_id")
+    rows, cols = hot.unionByName(rest).unionByName(odd), ["symbol", "year", "month", "day", "hour"]
+    sink = sinks.archive_batch(str(tmp_path), cols, "trade_time", rows_per_file=1_000)
+    for batch in (0, 1, 1):  # the last is a replay
+        sink(rows, batch)
+    stored = spark.read.parquet(str(tmp_path)).withColumn("file", F.input_file_name())
+    assert stored.groupBy("batch").count().orderBy("batch").collect() == [(0, 10_001), (1, 10_001)]
+    again = stored.filter("batch = 1")
+    assert again.select("symbol", "trade_time", "trade_id").exceptAll(rows).isEmpty()
+    sizes = [r["count"] for r in again.filter("symbol = 'BTCUSDT' and trade_time is not null").groupBy("file").count().collect()]
+    assert len(sizes) == 9 and max(sizes) < 1_300 and min(sizes) > 700
+    others = again.filter("symbol <> 'BTCUSDT'").groupBy("symbol").agg(F.countDistinct("file").alias("n"))
+    assert others.filter("n > 1").isEmpty() and others.count() == 50
+
+
 def test_progress_is_logged_beyond_what_a_session_remembers(spark, tmp_path):
     from tickloom.streaming.progress import ProgressLog, late_rows, parse_progress, progress_alerts
 

@@ -22,6 +22,7 @@ from tickloom.sources.topics import encode
 from tickloom.streaming.queries import trigger
 
 Sink = Callable[[DataFrame, int], None]
+ARCHIVE_ROWS = 500_000  # rows of a large archive file
 
 
 def fan_out(
@@ -229,25 +230,66 @@ def quote_alerts_batch(tables, t: rules.Thresholds = rules.DEFAULTS) -> Sink:
     return sink
 
 
+def dealt_by_folder(batch: DataFrame, folder: list[str], rows_per_file: int) -> DataFrame:
+    """The rows dealt to writing tasks of similar size, from the batch's own counts by folder.
+
+    A folder of more than ``rows_per_file`` rows is spread over as many tasks as it has such parts,
+    each its own; any other folder is written by one task, together with others. Only the large
+    folders are known to the driver and broadcast: there are at most rows / ``rows_per_file``.
+    """
+    counts = batch.groupBy(*folder).agg(F.count("*").alias("_n"))
+    large = counts.filter(F.col("_n") > rows_per_file).collect()
+    others = counts.filter(F.col("_n") <= rows_per_file).agg(F.sum("_n")).first()[0] or 0
+    shared = max(1, -(-others // rows_per_file))
+    slot, tasks = F.pmod(F.xxhash64(*folder), F.lit(shared)), shared
+    if large:
+        starts = []
+        for row in large:
+            starts.append((*row[:-1], tasks, parts := -(-row["_n"] // rows_per_file)))
+            tasks += parts
+        types = ", ".join(f"_{c} {batch.schema[c].dataType.simpleString()}" for c in folder)
+        known = batch.sparkSession.createDataFrame(starts, f"{types}, _start long, _parts long")
+        same = F.lit(True)
+        for c in folder:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        spread = F.col("_start") + F.pmod(F.xxhash64(*batch.columns), F.col("_parts"))
+        slot = F.coalesce(spread, slot)
+        batch = batch.join(F.broadcast(known), same, "left").select(*batch.columns, slot.cast("int").alias("_slot"))
+    else:
+        batch = batch.withColumn("_slot", slot.cast("int"))
+    return batch.repartitionById(tasks, "_slot").drop("_slot")
+
+
+def archive_batch(path: str, partition_cols: list[str], ts: str, rows_per_file: int = ARCHIVE_ROWS) -> Sink:
+    """Raw rows into folders by symbol and time; a replayed batch replaces its own files.
+
+    The last folder level is the batch's number, which makes that so; readers can drop it.
+    """
+    def sink(df: DataFrame, batch_id: int) -> None:
+        rows = add_partition_cols(archivable(df), ts).select(*df.columns, *[
+            c for c in partition_cols if c not in df.columns
+        ]).persist()
+        try:
+            if rows.isEmpty():
+                return
+            (
+                dealt_by_folder(rows, partition_cols, rows_per_file).withColumn("batch", F.lit(batch_id))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*partition_cols, "batch").parquet(path)
+            )
+        finally:
+            rows.unpersist()
+
+    return sink
+
+
 def archive_stream(
     df: DataFrame, path: str, partition_cols: list[str], ts: str, checkpoint: str,
-    interval: str | None = "5 minutes", files_per_folder: int = 4,
+    interval: str | None = "5 minutes", rows_per_file: int = ARCHIVE_ROWS,
 ) -> StreamingQuery:
-    """Raw rows to Parquet folders by symbol and hour (or day).
-
-    Rows of a folder are spread over a few tasks, so a busy symbol is not written by one and
-    a batch does not leave one file a task in every folder.
-    """
-    rows = add_partition_cols(archivable(df), ts).select(*df.columns, *[
-        c for c in partition_cols if c not in df.columns
-    ])
-    spread = F.pmod(F.xxhash64(ts, "symbol"), F.lit(files_per_folder))
-    writer = (
-        rows.repartition(*[F.col(c) for c in partition_cols], spread)
-        .writeStream.outputMode("append").format("parquet")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .partitionBy(*partition_cols)
-    )
+    """Raw rows to Parquet folders by symbol and hour (or day), see :func:`archive_batch`."""
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(
+        archive_batch(path, partition_cols, ts, rows_per_file))
     return trigger(writer, interval).start()
 
 

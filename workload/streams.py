@@ -235,4 +235,4 @@ def run_archive(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return spark.read.schema(
         ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         + "".join(f", {c} string" for c in levels)
-    ).parquet(f"{root}/archive")
+    ).parquet(f"{root}/archive").drop("batch")
