@@ -193,6 +193,29 @@ def test_licence_expressions(expression, freedom, labels):
     assert value[0] == pytest.approx(freedom) and value[1] == labels
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under the BSD 3-Clause License. Apache-2.0. GPLv3. Creative Commons Attribution 4.0 International.",
+     "apache,bsd,cc-by,gpl"),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0", "cc-by-nc-sa"),
+    ("https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa"), ("CC BY-NC-ND", "cc-by,cc-by-nc-nd"),
+    ("under the MIT licence or LGPLv3", "lgpl,mit"), ("GNU General Public Licence", "gpl"),
+    ("GNU Lesser General Public License", "lgpl"), ("apache 2, gplv, bsd clause, attribution", ""),
+    ("SPDX-License-Identifier: MIT OR GPL. All rights reserved, LGPLv3", "gpl,lgpl,mit,reserved"),
+    ("creative commons attribution. creative commons attribution share alike", "cc-by,cc-by-sa"),
+])
+def test_licence_names(text, labels):
+    found = licences.scan_text(text)
+    assert found[5] == labels
+    assert found[:5] == plain_licence(text)
+    assert found[6] == min((licences.freedom(name) for name in labels.split(",") if name), default=0.0)
+
+
+def test_names_in_a_tags_expression_are_no_notices():
+    found = licences.scan_text("# SPDX-License-Identifier: (MIT OR GPLv3)\nfree of charge")
+    assert found[5:] == ("gplv3,mit", licences.freedom("mit"))
+    assert licences.scan_text("SPDX-License-Identifier: OR GPLv3")[5] == "gpl"  # nothing well formed to read
+
+
 def test_licence_expressions_without_a_value():
     assert [licences.evaluate(e) for e in ("", "(MIT", ") MIT", "AND MIT", "*")] == [None] * 5
     found = licences.scan_text("x\n# SPDX-License-Identifier: MIT OR GPL-3.0\nMIT license")
