@@ -136,3 +136,17 @@ def test_indicators_beside_the_store_for_a_sparse_series(spark, tmp_path):
         sink(spark.createDataFrame(rows, schemas.KLINE), i)
     assert _got(tables) == _expected(spark, tables, [first, second])
     assert tables.fact("technical_indicator").filter(F.col("bb_middle").isNotNull()).count() > 70
+
+
+def test_kept_frames_in_a_session_with_sparks_own_state_store(spark, setup):
+    tables, run, _ = setup
+    key = "spark.sql.streaming.stateStore.providerClass"
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    own, first = spark.conf.get(key), [_candle("BTCUSDT", m * MINUTE) for m in range(40)]
+    spark.conf.set(key, heap)
+    try:
+        run("a", first)
+        assert spark.conf.get(key) == heap  # the session's settings are as before
+    finally:
+        spark.conf.set(key, own)
+    assert _got(tables) == _expected(spark, tables, [first])

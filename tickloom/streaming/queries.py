@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.trades import with_event_time
+from tickloom.session import SETTINGS
 
 # Watermark delay, rate cap and trigger intervals of the running jobs.
 WATERMARK = "2 seconds"
 TRADES_PER_TRIGGER = 50_000
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+HEAP_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 TRIGGERS = {
     "trades_1s": "1 second", "trades_5s": "5 seconds", "klines": "1 minute",
     "quotes": "1 second", "archive": "5 minutes", "alerts": "5 seconds",
@@ -40,7 +44,28 @@ def start(spec: Spec, mode: str = "append") -> StreamingQuery:
         spec.frame.writeStream.queryName(spec.name).outputMode(mode)
         .option("checkpointLocation", spec.checkpoint).foreachBatch(spec.sink)
     )
-    return trigger(writer, spec.trigger).start()
+    with state_off_heap(spec.frame.sparkSession):
+        return trigger(writer, spec.trigger).start()
+
+
+@contextmanager
+def state_off_heap(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state on RocksDB, also in a session with Spark's own settings.
+
+    A query takes the session's settings when it starts, or its checkpoint's store if it has one. A store
+    that the session names, other than Spark's default, is left; keyed state needs one with column families.
+    """
+    wanted = {k: v for k, v in SETTINGS.items() if ".stateStore." in k}
+    if not spark.conf.get(STATE_STORE, HEAP_STORE).endswith(".HDFSBackedStateStoreProvider"):
+        wanted = {}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def trigger(writer, interval: str | None):
