@@ -337,3 +337,22 @@ def test_appends_of_nothing(spark, tables):
     assert _bids(tables) == []
     tables.append(_snap(spark, [(1, 0, 1.0)]), "spread_snapshot")
     assert tables.seen("spread_snapshot").count() == 1
+
+
+def test_the_record_of_a_write_is_not_aggregated_by_one_task(spark, tables):
+    """Shuffled parts that one task aggregates add up to its peak memory, and more of them come with the rows."""
+    sc, conf = spark.sparkContext, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    rows, own = _snap(spark, [(s, t * 1000, 1.0) for s in range(1, 9) for t in range(9)]), {k: spark.conf.get(k) for k in conf}
+    sc.setJobGroup("record", "a record")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        tables._note("spread_snapshot", rows)
+    finally:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup("record") for s in status.getJobInfo(j).stageIds}
+    assert 7 in {i.numTasks for s in stages if (i := status.getStageInfo(s))}  # the aggregate's own stage
+    assert tables.seen("spread_snapshot").count() == 8

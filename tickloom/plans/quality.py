@@ -266,7 +266,7 @@ def run_checks_by_day(tables, as_of_ms: int, facts: list[str] | None = None) ->
             found = _checked_days(tables, fact, as_of_ms, changed).select(
                 F.lit(fact).alias("fact"), "dt", stamped[F.col("dt")].alias("version"), "check", "failures", "last",
                 F.lit(as_of_ms).cast("long").alias("as_of"))
-            found.coalesce(1).write.mode("append").parquet(path)
+            found.repartition(1).write.mode("append").parquet(path)
         current += [(fact, d, v) for d, v in versions.items()]
     ledger = spark.read.schema(_LEDGER).parquet(path) if tables.keeps(path) else known
     live = spark.createDataFrame(current, "fact string, dt date, version string")

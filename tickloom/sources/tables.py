@@ -210,7 +210,8 @@ class Tables:
         )
         path = f"{self._seen_path(name)}/writer={self.writer}"
         with _lock(path):
-            found.coalesce(1).write.mode("append").parquet(path)
+            # Not coalesced, which would have one task aggregate all shuffled parts one after another.
+            found.repartition(1).write.mode("append").parquet(path)
 
     def seen(self, name: str) -> DataFrame | None:
         """(series, dt, first, last, rows) of the stored fact; ``None`` without a record."""
@@ -236,7 +237,7 @@ class Tables:
             merged = whole.groupBy(*FACTS[name].series, "dt").agg(
                 F.min("first").alias("first"), F.max("last").alias("last"),
                 F.sum("rows").alias("rows"))
-            merged.coalesce(1).write.mode("append").parquet(path)
+            merged.repartition(1).write.mode("append").parquet(path)
             for f in files:
                 self._shared.delete(f)
 
@@ -403,7 +404,7 @@ class Tables:
         short = high - low <= clock.HOUR
         path = f"{self.root}/minutes_{name}/writer={self.writer}"
         with _lock(path):
-            (sums.coalesce(1) if short else sums.repartition("dt")).write.mode("append").partitionBy("dt").parquet(path)
+            (sums.repartition(1) if short else sums.repartition("dt")).write.mode("append").partitionBy("dt").parquet(path)
 
     def minute_sums(self, name: str, low: int, high: int) -> DataFrame:
         """(series, minute, n, sums) of the minutes that begin in ``[low, high)``."""
