@@ -396,3 +396,24 @@ def test_stages_with_odd_rows(spark, sf, odd):
     assert sum(r["doc_id"] is None for r in kept) == 2 and sum(r["text"] is None for r in kept) == 2
     masked = {r["doc_id"]: r for r in corpus_pipeline.mask_secrets(spark, odd, sf).collect()}
     assert masked[4]["text"] is None and masked[4]["n_chars"] is None and masked[9]["text"].endswith("[assign]")
+
+
+def test_frequent_shingles_are_counted_over_all_documents(spark, monkeypatch):
+    import numpy as np
+    passage = "these eight words stand in some few documents"
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(7)) + (f" {passage}" if i % 1000 == 1 else "")) for i in range(9000)]
+    rows += [(10_000 + i, "one text that comes many times over and over") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for counted in (jaccard.COUNTED, 1_500):  # one task, several
+        monkeypatch.setattr(jaccard, "COUNTED", counted)
+        found = np.frombuffer(jaccard.frequent_elements(frame, 4), np.uint64)
+        expected = np.unique(jaccard.shingles(passage, 4) >> np.uint64(64 - jaccard.BUCKET_BITS))
+        assert set(expected.tolist()) <= set(found.tolist()) and len(found) <= len(expected) + (counted < 9000) * 6
+
+
+def test_texts_are_never_broadcast(spark):
+    texts = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d f")], "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+    found = jaccard.compared(pairs, texts, 4)
+    assert [(r.na, r.nb, len(r.d)) for r in found.collect()] == [(2, 2, 2)]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()

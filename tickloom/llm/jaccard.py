@@ -10,9 +10,9 @@ part on which both agree there are only parts on which they differ. Sets with at
 also sign each element of their prefix (the first elements in one order of all, more than two linked sets
 can differ by); two such sets are found by that.
 
-Elements found frequent (passages that many documents share) are left out of the parts and come last in
-the order of prefixes. That is exact for any choice of them - two sets differ no more without them - so
-they are looked for among a share of the documents that grows with the input.
+Frequent elements (passages that many documents share) are left out of the parts and come last in the
+order of prefixes. That is exact for any choice of them: two sets differ no more without them. They are
+counted over all documents, by buckets of their hashes, which need no shuffle of elements.
 
 Candidates are compared exactly, without listing all pairs of a group. The documents of a signature are
 first compared with its lead, the one that shares signatures with most others; what is then in one
@@ -32,13 +32,15 @@ names are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickloom.llm.common import broadcast_if, per_batch, per_pair, python_settings, stored
 
@@ -46,9 +48,11 @@ from tickloom.llm.common import broadcast_if, per_batch, per_pair, python_settin
 BAND, SPARE = 1.8, 1.25
 #: Up to this k all pairs of k + 2 parts are signed.
 PAIRS_UP_TO = 3
-#: Part of the documents in which frequent elements are looked for (1 / SAMPLE), least number of them, and
-#: the share of these, at least FREQUENT_LEAST, that makes an element frequent.
-SAMPLE, SAMPLE_LEAST, FREQUENT, FREQUENT_LEAST = 64, 8_192, 0.0007, 5
+#: Highest bits of an element that are its bucket; the share of all texts, at least FREQUENT_LEAST, that makes a
+#: bucket frequent, if it also has so many times the elements of an average bucket.
+BUCKET_BITS, FREQUENT, FREQUENT_LEAST, FREQUENT_TIMES = 22, 0.0007, 5, 4
+#: Documents of a counting task, where the input's parts are not larger; texts that it remembers as counted.
+COUNTED, REMEMBERED = 16_384, 100_000
 #: Up to so many documents under one signature are compared by listing their pairs.
 FEW = 16
 #: Share of a lead's documents whose difference has an element, from which that is put last.
@@ -81,10 +85,10 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 
 class Signer:
-    """Signatures for one threshold, in percent."""
+    """Signatures for one threshold, in percent; ``frequent`` are elements without their lowest ``shift`` bits."""
 
-    def __init__(self, percent: int, frequent: np.ndarray) -> None:
-        self.percent, self.frequent = percent, np.sort(frequent.astype(np.uint64))
+    def __init__(self, percent: int, frequent: np.ndarray, shift: int = 0) -> None:
+        self.percent, self.frequent, self.shift = percent, np.sort(frequent.astype(np.uint64)), np.uint64(shift)
         self.ratio = max(BAND, 110 / percent)
         self.starts = [1]
 
@@ -103,8 +107,9 @@ class Signer:
             return []
         rare = np.ones(size, bool)
         if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, s), len(self.frequent) - 1)
-            rare = self.frequent[at] != s
+            bucket = s >> self.shift
+            at = np.minimum(np.searchsorted(self.frequent, bucket), len(self.frequent) - 1)
+            rare = self.frequent[at] != bucket
         band = self.band(size)
         out = self._of_band(s, rare, band, 100 * size // self.percent)
         if -(-self.percent * size // 100) < self.starts[band]:  # a smaller partner may be a band below
@@ -143,7 +148,7 @@ class Signer:
 
 @lru_cache(4)
 def _signer(percent: int, frequent: bytes) -> Signer:
-    return Signer(percent, np.frombuffer(frequent, np.uint64))
+    return Signer(percent, np.frombuffer(frequent, np.uint64), 64 - BUCKET_BITS)
 
 
 def _signed(width: int, percent: int, frequent: bytes):
@@ -163,23 +168,51 @@ def _signed(width: int, percent: int, frequent: bytes):
     return per_batch(make, {"n": "long", "f1": "long", "f2": "long", "sigs": "longs"})
 
 
-def _sets(width: int):
-    def make() -> Callable[[list], list[tuple]]:
-        return lambda texts: [(shingles(t, width).astype(np.int64),) for t in texts]
+def _counted(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts the elements of a task's distinct texts by bucket, and sends those that have half a task's share of
+    what is frequent: a bucket that is so over all is so in some task. Bucket -1 has the texts, -2 the elements."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, texts, seen = np.zeros(1 << BUCKET_BITS, np.int64), 0, set()
+        for batch in batches:
+            sets = []
+            for text in batch.column(0).to_pylist():
+                key = xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass"))
+                if key not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(key)
+                    sets.append(shingles(text, width) >> np.uint64(64 - BUCKET_BITS))
+            if sets:
+                texts += len(sets)
+                bucket, n = np.unique(np.concatenate(sets), return_counts=True)
+                counts[bucket.astype(np.int64)] += n
+        whole = int(counts.sum())
+        some = np.flatnonzero(counts >= max(1.0, _least(texts, whole) / 2))
+        out = {"bucket": np.concatenate([[-1, -2], some]), "n": np.concatenate([[texts, whole], counts[some]])}
+        yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
+
+    return run
 
-    return per_batch(make, {"set": "longs"})
+
+def _least(texts: int, elements: int) -> float:
+    """From how many elements of so many texts a bucket is frequent."""
+    return max(FREQUENT * texts, FREQUENT_TIMES * elements / (1 << BUCKET_BITS))
 
 
 def frequent_elements(docs: DataFrame, width: int) -> bytes:
-    """Elements of at least ``FREQUENT`` of the distinct texts looked at: at most 1 / FREQUENT times as
-    many as a text has on average."""
-    n = docs.count()
-    share = int(min(1.0, max(1 / SAMPLE, SAMPLE_LEAST / max(1, n))) * (1 << 30))
-    drawn = docs.select("text", F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1 << 30)) < share).dropDuplicates(["h"])
-    elements = stored(drawn.select(_sets(width)("text")["set"].alias("s")), "jaccard-sample")
-    least = max(FREQUENT_LEAST, int(FREQUENT * elements.count()))
-    rows = elements.select(F.explode("s").alias("e")).groupBy("e").count().where(F.col("count") >= least).select("e").collect()
-    return np.sort(np.array([r["e"] for r in rows], np.int64).astype(np.uint64)).tobytes()
+    """Buckets of the elements that many of all texts have.
+
+    A bucket in ``FREQUENT`` of the texts may miss up to half of these, from tasks where it is rarer; none below
+    half is taken. Copies count once a task, of about ``COUNTED`` documents, so they alone are never frequent.
+    """
+    tasks = max(1, -(-docs.count() // COUNTED))
+    found = docs.select("text").coalesce(tasks).mapInArrow(_counted(width), "bucket long, n long")
+    sums = stored(found.groupBy("bucket").agg(F.sum("n").alias("n")), "jaccard-frequent")
+    whole = {r["bucket"]: r["n"] for r in sums.where("bucket < 0").collect()}
+    least = max(FREQUENT_LEAST, _least(whole.get(-1, 0), whole.get(-2, 0)) / 2)
+    rows = sums.where((F.col("bucket") >= 0) & (F.col("n") >= least)).select("bucket").collect()
+    return np.sort(np.array([r["bucket"] for r in rows], np.uint64)).tobytes()
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -214,11 +247,12 @@ def _compared(width: int):
 def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """``pairs`` (a, b, ...) with the sizes of both sets, na and nb, and the elements d of only one.
 
-    Texts travel, not sets: they compress, and hashes don't.
+    Texts travel, not sets: they compress, and hashes don't. They are shuffled however few they are, as
+    texts that unpack to many times their files must not be sent whole to the driver and every executor.
     """
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(second, "b").join(first, "a")
+    both = pairs.join(second.hint("merge"), "b").join(first.hint("merge"), "a")
     return both.withColumn("c", _compared(width)("ta", "tb")).select(*pairs.columns, "c.na", "c.nb", "c.d")
 
 
@@ -310,8 +344,9 @@ def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     # Documents that share a signature, and among them the one that shares most: the lead.
     signed = named.where("doc_id = rep").select(F.explode("sigs").alias("sig"), F.col("rep").alias("id"))
-    shared = signed.groupBy("sig").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("sig")
-    members = stored(signed.join(shared, "sig").distinct(), "jaccard-members")
+    under = Window.partitionBy("sig")  # one shuffle of all signatures; most are of one document
+    shared = signed.withColumn("alone", F.min("id").over(under) == F.max("id").over(under)).where("NOT alone")
+    members = stored(shared.select("sig", "id").distinct(), "jaccard-members")
     members = members.join(members.groupBy("sig").agg(F.count("*").alias("size")), "sig")
     weight = stored(members.groupBy("id").agg(F.sum("size").alias("w")), "jaccard-weights")
     leads = members.join(weight, "id").groupBy("sig").agg(F.max(F.struct("w", (-F.col("id")).alias("id"))).alias("l"))
