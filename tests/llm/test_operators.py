@@ -411,9 +411,9 @@ def test_frequent_shingles_are_counted_over_all_documents(spark, monkeypatch):
         assert set(expected.tolist()) <= set(found.tolist()) and len(found) <= len(expected) + (counted < 9000) * 6
 
 
-def test_texts_are_never_broadcast(spark):
-    texts = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d f")], "doc_id long, text string")
-    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
-    found = jaccard.compared(pairs, texts, 4)
-    assert [(r.na, r.nb, len(r.d)) for r in found.collect()] == [(2, 2, 2)]
-    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+def test_only_texts_of_a_pair_travel(spark):
+    rows = [(i, f"a b c d e{i}") for i in range(50)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.compared(spark.createDataFrame([(1, 2)], "a long, b long"), texts, 4)
+    assert [(r.a, r.b, r.na, r.nb, len(r.d)) for r in found.collect()] == [(1, 2, 2, 2, 2)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2

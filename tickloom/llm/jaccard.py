@@ -247,12 +247,13 @@ def _compared(width: int):
 def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """``pairs`` (a, b, ...) with the sizes of both sets, na and nb, and the elements d of only one.
 
-    Texts travel, not sets: they compress, and hashes don't. They are shuffled however few they are, as
-    texts that unpack to many times their files must not be sent whole to the driver and every executor.
+    Texts travel, not sets: they compress, and hashes don't. Of each side only those in a pair do.
     """
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(second.hint("merge"), "b").join(first.hint("merge"), "a")
+    def side(c: str) -> DataFrame:
+        ids = broadcast_if(pairs.select(F.col(c).alias("doc_id")).distinct(), MOST_BROADCAST)
+        return texts.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias(c), F.col("text").alias(f"t{c}"))
+
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
     return both.withColumn("c", _compared(width)("ta", "tb")).select(*pairs.columns, "c.na", "c.nb", "c.d")
 
 
