@@ -417,3 +417,32 @@ def test_only_texts_of_a_pair_travel(spark):
     found = jaccard.compared(spark.createDataFrame([(1, 2)], "a long, b long"), texts, 4)
     assert [(r.a, r.b, r.na, r.nb, len(r.d)) for r in found.collect()] == [(1, 2, 2, 2, 2)]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
+
+
+def test_texts_travel_only_for_pairs_whose_sketches_may_link(spark, monkeypatch):
+    import numpy as np
+
+    random = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(f"u{i}x{k}" if random.random() < share else w for k, w in enumerate(base)))
+            for i, share in enumerate([0.0, 0.005, 0.01, 0.02, 0.05, 0.2, 0.5, 1.0])]
+    rows += [(9, " ".join(base)), (9, "one more text of the same document"), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = sorted({i for i, _ in rows})
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "a long, b long")
+    texts = jaccard.texts_of(docs, docs.select("doc_id").distinct(), 4)
+    sets = defaultdict(list)
+    for i, text in rows:
+        sets[i].append(set(jaccard.shingles(text, 4).tolist()))
+
+    def links(a, b):
+        return any(100 * len(x & y) >= 85 * len(x | y) for x in sets[a] for y in sets[b])
+
+    expected = {(a, b) for a in ids for b in ids if a < b and links(a, b)}
+    kept = {tuple(r) for r in jaccard.possible(pairs, texts, 85).collect()}
+    assert expected <= kept and not kept & {(0, 7), (6, 7), (5, 6), (0, 6)} and len(expected) > 3
+    asked = []
+    compared = jaccard.compared
+    monkeypatch.setattr(jaccard, "compared", lambda p, *rest: asked.append(p.count()) or compared(p, *rest))
+    assert {tuple(r) for r in jaccard.linked(pairs, texts, 4, 85).collect()} == expected
+    assert asked == [len(kept)]

@@ -19,7 +19,7 @@ BATCH_ROWS = 256
 #: name -> (Arrow type, Spark type) of what a text function may return.
 TYPES = {
     "long": (pa.int64(), T.LongType()), "double": (pa.float64(), T.DoubleType()),
-    "string": (pa.string(), T.StringType()), "longs": (pa.list_(pa.int64()), T.ArrayType(T.LongType())),
+    "string": (pa.string(), T.StringType()), "binary": (pa.binary(), T.BinaryType()), "longs": (pa.list_(pa.int64()), T.ArrayType(T.LongType())),
 }
 
 

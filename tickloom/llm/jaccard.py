@@ -14,7 +14,8 @@ Frequent elements (passages that many documents share) are left out of the parts
 order of prefixes. That is exact for any choice of them: two sets differ no more without them. They are
 counted over all documents, by buckets of their hashes, which need no shuffle of elements.
 
-Candidates are compared exactly, without listing all pairs of a group. The documents of a signature are
+Candidates whose sketches (numbers of elements by part of the domain) differ by more than linked sets can are
+dropped before any text travels. The others are compared exactly, without listing all pairs of a group. The documents of a signature are
 first compared with its lead, the one that shares signatures with most others; what is then in one
 component needs no further comparison. Documents that are not linked with their lead are compared with
 the others: in small groups all of these, in larger ones those that a prefix join of their differences
@@ -57,6 +58,8 @@ COUNTED, REMEMBERED = 16_384, 100_000
 FEW = 16
 #: Share of a lead's documents whose difference has an element, from which that is put last.
 COMMON = 0.2
+#: Parts of a sketch, a power of two.
+SKETCH = 512
 #: Ids of documents (eight bytes each) that may be broadcast.
 MOST_BROADCAST = 400_000
 
@@ -215,10 +218,50 @@ def frequent_elements(docs: DataFrame, width: int) -> bytes:
     return np.sort(np.array([r["bucket"] for r in rows], np.uint64)).tobytes()
 
 
-def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents asked for."""
+def _sketched(width: int):
+    """A column function: size of the set, and how many of its elements fall into each of ``SKETCH`` parts."""
+
+    def make() -> Callable[[list], list[tuple]]:
+        def one(text: str | None) -> tuple:
+            s = shingles(text, width)
+            parts = np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+            return len(s), np.minimum(parts, 255).astype(np.uint8).tobytes()
+
+        return lambda texts: [one(t) for t in texts]
+
+    return per_batch(make, {"n": "long", "parts": "binary"})
+
+
+def _apart():
+    """A column function of two sketches: at least so many elements are in only one of the sets."""
+
+    def make() -> Callable[[bytes, bytes], tuple]:
+        def least(a: bytes, b: bytes) -> tuple:
+            x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+            return (int(np.abs(x - y).sum()),)
+
+        return least
+
+    return per_pair(make, {"least": "long"})
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text) of the documents asked for, with the sketch of their sets, s."""
     asked = docs.select("doc_id", "text").join(broadcast_if(ids, MOST_BROADCAST), "doc_id", "left_semi")
-    return stored(asked.dropDuplicates(["doc_id", "text"]), "jaccard-texts")
+    return stored(asked.dropDuplicates(["doc_id", "text"]).withColumn("s", _sketched(width)("text")), "jaccard-texts")
+
+
+def possible(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sketches don't rule out, exactly: sets differ by no less than their sketches.
+
+    Sketches are far smaller than texts, and most candidates end here. Where rows share a doc_id, any of them may.
+    """
+    def side(c: str) -> DataFrame:
+        return texts.select(F.col("doc_id").alias(c), F.col("s.n").alias(f"n{c}"), F.col("s.parts").alias(f"s{c}"))
+
+    both = pairs.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a").withColumn("d", _apart()("sa", "sb"))
+    fits = (100 + percent) * F.col("d.least") <= (100 - percent) * (F.col("na") + F.col("nb"))
+    return stored(both.where(fits).select("a", "b").distinct(), "jaccard-possible")
 
 
 def _compared(width: int):
@@ -259,7 +302,7 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
 def linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
-    both = compared(pairs.select("a", "b"), texts, width).withColumn("n", F.size("d"))
+    both = compared(possible(pairs, texts, percent), texts, width).withColumn("n", F.size("d"))
     return both.where(100 * (F.col("na") + F.col("nb") - F.col("n")) >= percent * (F.col("na") + F.col("nb") + F.col("n"))).select("a", "b").distinct()
 
 
@@ -353,7 +396,7 @@ def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     leads = members.join(weight, "id").groupBy("sig").agg(F.max(F.struct("w", (-F.col("id")).alias("id"))).alias("l"))
     members = stored(members.join(leads.select("sig", (-F.col("l.id")).alias("lead")), "sig").where("id <> lead"), "jaccard-members")
     pairs = stored(members.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "jaccard-pairs")
-    texts = texts_of(docs, weight.select(F.col("id").alias("doc_id")))
+    texts = texts_of(docs, weight.select(F.col("id").alias("doc_id")), width)
     edges = stored(linked(pairs, texts, width, percent), "jaccard-links")
     # Rows that share a doc_id are one document.
     several = named.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("doc_id", "a")
