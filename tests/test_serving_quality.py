@@ -189,3 +189,15 @@ def test_progress_rules_need_the_whole_span(spark):
     assert sorted(got["lag"]) == list(range(180, 600, 30))
     assert sorted(got["stalled"]) == list(range(480, 600, 30))
     assert got["slow_batch"] == [605]
+
+
+def test_trades_are_aggregated_once_for_both_facts(spark, sf, monkeypatch):
+    calls, ohlcv = [], inputs.trades.ohlcv
+    monkeypatch.setattr(inputs.trades, "ohlcv", lambda *a: calls.append(a[1]) or ohlcv(*a))
+    t = inputs.Warehouse(spark, sf, "tick")
+    for name in ("trade_agg", "order_flow"):
+        stored = t.fact(name)
+        expected = inputs.fact(spark, sf, name).select(*stored.columns)
+        assert stored.exceptAll(expected).isEmpty() and expected.exceptAll(stored).isEmpty()
+        assert stored.count() > 0
+    assert calls == ["1 second"] * 3  # the two expected facts, and one for both that are stored

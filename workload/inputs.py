@@ -159,7 +159,7 @@ class Warehouse(Tables):
 
     def __init__(self, spark: SparkSession, sf_dir: str, clock: str):
         super().__init__(spark, root=scratch_dir(spark, "facts"), calendar=CALENDAR)
-        self._sf_dir, self._clock, self._built = sf_dir, clock, set()
+        self._sf_dir, self._clock, self._built, self._windows = sf_dir, clock, set(), None
 
     def fact(self, name: str, from_ms=None, to_ms=None, days=None) -> DataFrame:
         if name not in self._built:
@@ -171,9 +171,22 @@ class Warehouse(Tables):
             self._build(name)
         return super()._folders(name)
 
+    def _both_windows(self) -> DataFrame:
+        """:func:`both_windows`, aggregated and stored once for the two facts that are made of them."""
+        if self._windows is None:
+            seconds, longer = (f"{self.root}/windows/{label}" for label in ("1s", "5s"))
+            windows_1s(self.spark, self._sf_dir).write.parquet(seconds)
+            stored = self.spark.read.parquet(seconds)
+            trades.rollup(stored, 5_000).write.parquet(longer)
+            self._windows = stored.unionByName(self.spark.read.schema(stored.schema).parquet(longer))
+        return self._windows
+
     def _build(self, name: str) -> None:
         if name == "price_alert":
             derived = replay_alerts(self)
+        elif name in ("trade_agg", "order_flow"):
+            made = trades.trade_agg_fact if name == "trade_agg" else trades.order_flow_fact
+            derived = made(self._both_windows(), seed_dims(self.spark))
         elif name == "technical_indicator":
             derived = technical_indicators(self.fact("kline_closed"), BLOCK_MS)
         elif name == "spread_snapshot" and self._clock == "calendar":
