@@ -9,7 +9,7 @@ from tickloom.sources.tables import Tables
 from tickloom.sources.topics import decode, read_topic
 from tickloom.streaming import sinks
 from tickloom.streaming.queries import Spec, late_drops, run_all, watermarked
-from workload import inputs
+from workload import inputs, streams
 
 T0 = 1_704_067_200_000
 
@@ -163,3 +163,23 @@ def test_listener_logs_every_run(spark, setup, tmp_path):
     finally:
         spark.streams.removeListener(log)
     assert [tuple(r) for r in late_rows(log.rows()).collect()] == [("t", 4, 1)]
+
+
+def test_alert_queries_run_side_by_side(spark, sf, monkeypatch):
+    started = []
+
+    def note(_, specs):
+        started.append([spec.name for spec in specs])
+        assert all(spec.frame.sparkSession.read.text(f"{spec.checkpoint.rpartition('/')[0]}/topic").count() for spec in specs)
+        return []
+
+    monkeypatch.setattr(streams, "run_all", note)
+    assert streams.run_alerts(spark, sf).isEmpty()
+    assert started == [["trades", "quotes"]] * streams.SLICES
+
+
+def test_state_writes_look_no_key_up_to_count_rows(setup):
+    tables, topic, run = setup
+    _feed(topic, "a", [(1, 0), (2, 4_000), (3, 6_000), (4, 12_500)])
+    totals = {op["numRowsTotal"] for p in run().recentProgress for op in p["stateOperators"]}
+    assert totals == {0} and _stored(tables) == [(0, 2), (5, 1)]  # a window is kept, but not counted

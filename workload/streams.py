@@ -36,10 +36,20 @@ def deliver(messages: DataFrame, ts: str, folder: str, low: int, high: int) -> N
 def in_slices(
     messages: DataFrame, ts: str, folder: str, run: Callable[[], None], slices: int = SLICES
 ) -> None:
-    low, high = messages.agg(F.min(ts), F.max(ts)).first()
-    step = (high - low) // slices + 1
+    topics_in_slices([(messages, ts, folder)], run, slices)
+
+
+def topics_in_slices(
+    topics: list[tuple[DataFrame, str, str]], run: Callable[[], None], slices: int = SLICES
+) -> None:
+    """Each topic's messages come in slices of its own time; a run finds one slice of each."""
+    cuts = []
+    for messages, ts, _ in topics:
+        low, high = messages.agg(F.min(ts), F.max(ts)).first()
+        cuts.append((low, (high - low) // slices + 1))
     for i in range(slices):
-        deliver(messages, ts, folder, low + i * step, low + (i + 1) * step)
+        for (messages, ts, folder), (low, step) in zip(topics, cuts):
+            deliver(messages, ts, folder, low + i * step, low + (i + 1) * step)
         run()
 
 
@@ -47,14 +57,18 @@ def _topic(spark: SparkSession, folder: str, schema) -> DataFrame:
     return decode(read_topic(spark, folder, fmt="text"), schema)
 
 
+def _trades(spark: SparkSession, root: str, duration: str, sink: Callable[[DataFrame, int], None]) -> Spec:
+    ticks = trades.valid_trades(_topic(spark, f"{root}/topic", schemas.TRADE))
+    frame = trades.ohlcv(watermarked(ticks, "trade_time"), duration)
+    return Spec("trades", frame, sink, f"{root}/checkpoint")
+
+
 def run_trades(spark: SparkSession, sf_dir: str, duration: str, sink) -> Tables:
     root = scratch_dir(spark, "trades")
     tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
 
     def run() -> None:
-        ticks = trades.valid_trades(_topic(spark, f"{root}/topic", schemas.TRADE))
-        frame = trades.ohlcv(watermarked(ticks, "trade_time"), duration)
-        run_all(spark, [Spec("trades", frame, sink(tables), f"{root}/checkpoint")])
+        run_all(spark, [_trades(spark, root, duration, sink(tables))])
 
     in_slices(inputs.raw_trades(spark, sf_dir), "trade_time", f"{root}/topic", run)
     return tables
@@ -129,14 +143,18 @@ def run_on_interval(spark: SparkSession, sf_dir: str) -> Tables:
     return tables
 
 
+def _quotes(spark: SparkSession, root: str, sink: Callable[[DataFrame, int], None]) -> Spec:
+    valid = quotes.valid_quotes(_topic(spark, f"{root}/topic", schemas.BOOKTICKER))
+    frame = quotes.spread_snapshot(watermarked(valid, "ingested_at"))
+    return Spec("quotes", frame, sink, f"{root}/checkpoint")
+
+
 def run_quotes(spark: SparkSession, sf_dir: str, sink) -> Tables:
     root = scratch_dir(spark, "quotes")
     tables = Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR)
 
     def run() -> None:
-        valid = quotes.valid_quotes(_topic(spark, f"{root}/topic", schemas.BOOKTICKER))
-        frame = quotes.spread_snapshot(watermarked(valid, "ingested_at"))
-        run_all(spark, [Spec("quotes", frame, sink(tables), f"{root}/checkpoint")])
+        run_all(spark, [_quotes(spark, root, sink(tables))])
 
     in_slices(inputs.raw_quotes(spark, sf_dir), "ingested_at", f"{root}/topic", run)
     return tables
@@ -181,9 +199,24 @@ def run_kept_klines(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spikes = run_trades(spark, sf_dir, "5 seconds", sinks.trade_alerts_batch)
-    spreads = run_quotes(spark, sf_dir, sinks.quote_alerts_batch)
-    return spikes.fact("price_alert").unionByName(spreads.fact("price_alert"))
+    """The trade and the quote query side by side, each with a catalog of its own: one uses the
+    cores that the small steps of the other leave idle."""
+    roots = {kind: scratch_dir(spark, kind) for kind in ("trades", "quotes")}
+    tables = {
+        kind: Tables(spark, root=f"{root}/tables", calendar=inputs.CALENDAR) for kind, root in roots.items()
+    }
+
+    def run() -> None:
+        run_all(spark, [
+            _trades(spark, roots["trades"], "5 seconds", sinks.trade_alerts_batch(tables["trades"])),
+            _quotes(spark, roots["quotes"], sinks.quote_alerts_batch(tables["quotes"])),
+        ])
+
+    topics_in_slices([
+        (inputs.raw_trades(spark, sf_dir), "trade_time", f"{roots['trades']}/topic"),
+        (inputs.raw_quotes(spark, sf_dir), "ingested_at", f"{roots['quotes']}/topic"),
+    ], run)
+    return tables["trades"].fact("price_alert").unionByName(tables["quotes"].fact("price_alert"))
 
 
 def run_both_windows(spark: SparkSession, sf_dir: str) -> Tables:
