@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.operators import trades
+from tickloom.session import SETTINGS
 from tickloom.sources.tables import Tables
 from tickloom.sources.topics import decode, read_topic
 from tickloom.streaming import sinks
@@ -183,3 +184,23 @@ def test_state_writes_look_no_key_up_to_count_rows(setup):
     _feed(topic, "a", [(1, 0), (2, 4_000), (3, 6_000), (4, 12_500)])
     totals = {op["numRowsTotal"] for p in run().recentProgress for op in p["stateOperators"]}
     assert totals == {0} and _stored(tables) == [(0, 2), (5, 1)]  # a window is kept, but not counted
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_state_stores_share_one_bound_of_memory(spark, setup, named):
+    """Else each store has write buffers of its own, and an executor as many as it has partitions of state."""
+    tables, topic, run = setup
+    own = {k: spark.conf.get(k) for k in SETTINGS if ".stateStore." in k}
+    manager = spark._jvm.org.apache.spark.sql.execution.streaming.state.RocksDBMemoryManager
+    bounded, unbounded = manager.getNumRocksDBInstances(True), manager.getNumRocksDBInstances(False)
+    _feed(topic, "a", [(i, i * 1_000) for i in range(40)])
+    try:
+        for k in {} if named else own:  # a session with Spark's own settings
+            spark.conf.unset(k)
+        run()
+    finally:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+    assert manager.getNumRocksDBInstances(True) > bounded
+    assert manager.getNumRocksDBInstances(False) <= unbounded
+    assert sum(n for _, n in _stored(tables)) == 35

@@ -20,6 +20,9 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Else each write and removal looks its key up first, only to report the number of kept rows.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # Else each store buffers up to 128 MB of writes for as long as it is open, and an executor has
+    # several for each shuffle partition. Together they now take maxMemoryUsageMB, 500 by default.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 
